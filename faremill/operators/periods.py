@@ -6,6 +6,7 @@ calendar order.
 
 from __future__ import annotations
 
+from calendar import monthrange
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
 
@@ -34,6 +35,11 @@ def first_of_month(year: int | str, month: int | str, field: str = "period") ->
     return date(y, m, 1)
 
 
+def last_of_month(year: int | str, month: int | str) -> date:
+    first = first_of_month(year, month)
+    return first.replace(day=monthrange(first.year, first.month)[1])
+
+
 def as_period(day: date) -> Period:
     return f"{day.year:04d}", f"{day.month:02d}"
 

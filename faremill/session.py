@@ -10,6 +10,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # A task that writes a few partitions keeps a file open for each instead of
+    # sorting all of its rows by partition first.
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
 }
 
 
