@@ -25,9 +25,8 @@ def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def differences(spark, con, name: str, sf_dir: str) -> list[str]:
+def differences(frame, con, name: str) -> list[str]:
     """Empty if names, types and the bag of rows agree exactly."""
-    frame = QUERIES[name](spark, sf_dir)
     columns = sorted(frame.columns)
     rows = [tuple(row) for row in frame.select(*columns).collect()]
     twin = con.execute(ORACLE[name])
@@ -64,7 +63,7 @@ def main(sf_dir: str, names: list[str]) -> int:
     for name in names or sorted(QUERIES):
         started = time.perf_counter()
         try:
-            found = differences(spark, con, name, sf_dir)
+            found = differences(QUERIES[name](spark, sf_dir), con, name)
         except Exception as error:  # report every query, then fail at the end
             found = [f"{type(error).__name__}: {str(error)[:1500]}"]
         failed += bool(found)

@@ -1,8 +1,7 @@
 """Trip records, zones and zone points derived from the shared test tables.
 
 The tables hold no trips, so line items play that role: the ship date gives the
-pickup, the supplier's and customer's nations give the zones. Fixed remainders
-plant every kind of defect the quality rules look for.
+pickup, the supplier's and customer's nations give the zones.
 """
 
 from __future__ import annotations
@@ -10,30 +9,63 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows whose part number leaves remainder 0 get the named defect.
-NULL_DISTANCE = 101
-LONG_DISTANCE = 103
-NEXT_MONTH_FILE = 107
-NULL_PICKUP = 109
-NULL_DROPOFF = 113
-NULL_PAYMENT = 127
-LONG_DURATION = 131
-NULL_FARE = 137
-NULL_TOTAL = 139
-NEGATIVE_TOTAL = 149
-NULL_PICKUP_ZONE = 151
-ZERO_DROPOFF_ZONE = 157
-NULL_TIP = 163
-NEGATIVE_FARE = 83
-PAYMENT_ZERO = 73
-PAYMENT_SIX = 79
-# The same by supplier number.
-WRONG_TIME_SUPPLIER = 97
-BAD_PAYMENT_SUPPLIER = 89
+# Types of the shared test tables' columns that are read here.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz,"
+        " o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+        " l_quantity double, l_extendedprice double, l_tax double,"
+        " l_shipdate timestamp_ntz"
+    ),
+    "events": "ts timestamp_ntz",
+}
+
+# A trip's columns. Remainders of part and supplier numbers plant
+# defects: nulls, out-of-month files, negative money, unknown codes and so on.
+TRIP = {
+    "tpep_pickup_datetime": (
+        "if(l_partkey % 109 = 0, null, timestampadd(MINUTE, minute, l_shipdate))"
+    ),
+    "tpep_dropoff_datetime": (
+        "if(l_partkey % 113 = 0, null,"
+        " timestampadd(MINUTE, minute + length, l_shipdate))"
+    ),
+    "passenger_count": "cast(l_linenumber - 1 AS bigint)",
+    "trip_distance": (
+        "CASE WHEN l_partkey % 101 = 0 THEN null"
+        " WHEN l_partkey % 103 = 0 THEN l_quantity * 5"
+        " WHEN l_partkey % 167 = 0 THEN 0D ELSE l_quantity / 4 END"
+    ),
+    "PULocationID": "if(l_partkey % 151 = 0, null, s_nationkey + 1)",
+    "DOLocationID": "if(l_partkey % 157 = 0, 0, c_nationkey + 1)",
+    "payment_type": (
+        "CASE WHEN l_partkey % 127 = 0 THEN null WHEN l_suppkey % 89 = 0 THEN 99"
+        " WHEN l_partkey % 73 = 0 THEN 0 WHEN l_partkey % 79 = 0 THEN 6"
+        " ELSE cast(substring(o_orderpriority, 1, 1) AS bigint) END"
+    ),
+    "fare_amount": (
+        "CASE WHEN l_partkey % 137 = 0 THEN null"
+        " WHEN l_partkey % 83 = 0 THEN -l_extendedprice ELSE l_extendedprice END"
+    ),
+    "tip_amount": "if(l_partkey % 163 = 0, null, l_extendedprice * l_tax)",
+    "total_amount": (
+        "CASE WHEN l_partkey % 139 = 0 THEN null"
+        " WHEN l_partkey % 149 = 0 THEN -l_extendedprice ELSE l_extendedprice END"
+    ),
+    "year": "date_format(file_day, 'yyyy')",
+    "month": "date_format(file_day, 'MM')",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,87 +75,27 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     shuffled once more on the customer key when customers are too many to
     broadcast.
     """
-    items = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_partkey",
-        "l_suppkey",
-        "l_linenumber",
-        "l_quantity",
-        "l_extendedprice",
-        "l_tax",
-        "l_shipdate",
+    buyers = table(spark, sf_dir, "orders").join(
+        table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey")
     )
-    buyers = (
-        table(spark, sf_dir, "orders")
-        .join(
-            table(spark, sf_dir, "customer"),
-            F.col("o_custkey") == F.col("c_custkey"),
-        )
-        .select("o_orderkey", "o_orderpriority", "c_nationkey")
-    )
-    sellers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    joined = items.join(sellers, F.col("l_suppkey") == F.col("s_suppkey")).join(
-        buyers, F.col("l_orderkey") == F.col("o_orderkey")
+    joined = (
+        table(spark, sf_dir, "lineitem")
+        .join(table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey"))
+        .join(buyers, F.expr("l_orderkey = o_orderkey"))
     )
-
-    def part(modulus: int):
-        return F.col("l_partkey") % modulus == 0
-
-    minute = F.expr(
+    timed = joined.selectExpr(
+        "*",
         "cast((l_partkey * 7919 + l_suppkey * 104729 + l_linenumber * 613) % 1440"
-        " AS int)"
-    )
-    length = (
-        F.when(F.col("l_suppkey") % WRONG_TIME_SUPPLIER == 0, F.lit(-5))
-        .when(part(LONG_DURATION), F.lit(2000))
-        .otherwise(F.expr("cast(l_quantity * 2 + l_partkey % 7 AS int)"))
-    )
-    file_day = F.when(
-        part(NEXT_MONTH_FILE), F.add_months(F.trunc("l_shipdate", "MM"), 1)
-    ).otherwise(F.to_date("l_shipdate"))
-    timed = joined.withColumns(
-        {"minute": minute, "length": length, "file_day": file_day}
-    )
-    trip = F.struct(
-        F.when(
-            ~part(NULL_PICKUP), F.expr("timestampadd(MINUTE, minute, l_shipdate)")
-        ).alias("tpep_pickup_datetime"),
-        F.when(
-            ~part(NULL_DROPOFF),
-            F.expr("timestampadd(MINUTE, minute + length, l_shipdate)"),
-        ).alias("tpep_dropoff_datetime"),
-        (F.col("l_linenumber") - 1).cast("bigint").alias("passenger_count"),
-        F.when(part(NULL_DISTANCE), F.lit(None).cast("double"))
-        .when(part(LONG_DISTANCE), F.col("l_quantity") * 5)
-        .otherwise(F.col("l_quantity") / 4)
-        .alias("trip_distance"),
-        F.when(~part(NULL_PICKUP_ZONE), F.col("s_nationkey") + 1).alias("PULocationID"),
-        F.when(part(ZERO_DROPOFF_ZONE), F.lit(0))
-        .otherwise(F.col("c_nationkey") + 1)
-        .alias("DOLocationID"),
-        F.when(part(NULL_PAYMENT), F.lit(None).cast("bigint"))
-        .when(F.col("l_suppkey") % BAD_PAYMENT_SUPPLIER == 0, F.lit(99))
-        .when(part(PAYMENT_ZERO), F.lit(0))
-        .when(part(PAYMENT_SIX), F.lit(6))
-        .otherwise(F.substring("o_orderpriority", 1, 1).cast("bigint"))
-        .alias("payment_type"),
-        F.when(part(NULL_FARE), F.lit(None).cast("double"))
-        .when(part(NEGATIVE_FARE), -F.col("l_extendedprice"))
-        .otherwise(F.col("l_extendedprice"))
-        .alias("fare_amount"),
-        F.when(~part(NULL_TIP), F.col("l_extendedprice") * F.col("l_tax")).alias(
-            "tip_amount"
-        ),
-        F.when(part(NULL_TOTAL), F.lit(None).cast("double"))
-        .when(part(NEGATIVE_TOTAL), -F.col("l_extendedprice"))
-        .otherwise(F.col("l_extendedprice"))
-        .alias("total_amount"),
-        F.date_format("file_day", "yyyy").alias("year"),
-        F.date_format("file_day", "MM").alias("month"),
+        " AS int) AS minute",
+        "CASE WHEN l_suppkey % 97 = 0 THEN -5 WHEN l_partkey % 131 = 0 THEN 2000"
+        " ELSE cast(l_quantity * 2 + l_partkey % 7 AS int) END AS length",
+        "if(l_partkey % 107 = 0, add_months(trunc(l_shipdate, 'MM'), 1),"
+        " to_date(l_shipdate)) AS file_day",
     )
     # A generator row is computed once per trip. Plain columns would be copied
     # into every quality rule that reads them, which no raw file would cause.
-    return timed.select(F.inline(F.array(trip)))
+    fields = ", ".join(f"'{name}', {sql}" for name, sql in TRIP.items())
+    return timed.selectExpr(f"inline(array(named_struct({fields})))")
 
 
 def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,44 +152,25 @@ def raw_file_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     The keys of a month are the same for each of its rows, so they are made
     distinct on the map side before anything parses them.
     """
-    items = table(spark, sf_dir, "lineitem").select(
-        F.expr("trunc(l_shipdate, 'MM')").alias("day"),
-        F.when(F.col("l_partkey") % NEXT_MONTH_FILE == 0, "misplaced")
-        .when(F.col("l_linenumber") == 7, "green")
-        .when(F.col("l_suppkey") % BAD_PAYMENT_SUPPLIER == 0, "lookup")
-        .otherwise("yellow")
-        .alias("kind"),
+    items = table(spark, sf_dir, "lineitem").selectExpr(
+        "trunc(l_shipdate, 'MM') AS day",
+        "CASE WHEN l_partkey % 107 = 0 THEN 'misplaced' WHEN l_linenumber = 7"
+        " THEN 'green' WHEN l_suppkey % 89 = 0 THEN 'lookup' ELSE 'yellow' END AS kind",
     )
-    events = table(spark, sf_dir, "events").select(
-        F.expr("trunc(ts, 'MM')").alias("day"), F.lit("yellow").alias("kind")
+    events = table(spark, sf_dir, "events").selectExpr(
+        "trunc(ts, 'MM') AS day", "'yellow' AS kind"
     )
-    month_path = F.date_format("day", "'year='yyyy'/month='MM")
-    file_month = F.date_format("day", "yyyy-MM")
-    later = F.date_format(F.add_months("day", 1), "yyyy-MM")
-    yellow = F.concat(F.lit("nyc_taxi/raw/yellow/"), month_path)
+    folder = "'nyc_taxi/raw/{0}/', date_format(day, \"'year='yyyy'/month='MM\")"
+    file = "'/{0}_tripdata_', date_format({1}, 'yyyy-MM'), '.parquet'"
+    yellow = f"concat({folder}, {file})".format("yellow", "day")
+    misplaced = f"concat({folder}, {file})".format("yellow", "add_months(day, 1)")
+    green = f"concat({folder}, {file})".format("green", "day")
     return (
         items.unionByName(events)
         .distinct()
-        .select(
-            F.when(
-                F.col("kind") == "yellow",
-                F.concat(yellow, F.lit("/yellow_tripdata_"), file_month, F.lit(".parquet")),
-            )
-            .when(
-                F.col("kind") == "misplaced",
-                F.concat(yellow, F.lit("/yellow_tripdata_"), later, F.lit(".parquet")),
-            )
-            .when(
-                F.col("kind") == "green",
-                F.concat(
-                    F.lit("nyc_taxi/raw/green/"),
-                    month_path,
-                    F.lit("/green_tripdata_"),
-                    file_month,
-                    F.lit(".parquet"),
-                ),
-            )
-            .otherwise(F.lit("nyc_taxi/raw/lookup/taxi_zone_lookup.csv"))
-            .alias("path")
+        .selectExpr(
+            f"CASE kind WHEN 'yellow' THEN {yellow} WHEN 'misplaced' THEN {misplaced}"
+            f" WHEN 'green' THEN {green}"
+            " ELSE 'nyc_taxi/raw/lookup/taxi_zone_lookup.csv' END AS path"
         )
     )

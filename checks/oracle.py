@@ -74,6 +74,7 @@ CTES = {
     cast(l_linenumber - 1 AS bigint) AS passenger_count,
     CASE WHEN l_partkey % 101 = 0 THEN NULL
          WHEN l_partkey % 103 = 0 THEN l_quantity * 5
+         WHEN l_partkey % 167 = 0 THEN 0
          ELSE l_quantity / 4 END AS trip_distance,
     CASE WHEN l_partkey % 151 <> 0 THEN s_nationkey + 1 END AS PULocationID,
     CASE WHEN l_partkey % 157 = 0 THEN 0 ELSE c_nationkey + 1 END AS DOLocationID,
