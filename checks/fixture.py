@@ -59,8 +59,8 @@ TRIP = {
         "CASE WHEN l_partkey % 139 = 0 THEN null"
         " WHEN l_partkey % 149 = 0 THEN -l_extendedprice ELSE l_extendedprice END"
     ),
-    "year": "date_format(file_day, 'yyyy')",
-    "month": "date_format(file_day, 'MM')",
+    "year": "substring(cast(file_day AS string), 1, 4)",
+    "month": "substring(cast(file_day AS string), 6, 2)",
 }
 
 
@@ -150,7 +150,7 @@ def raw_file_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Object keys of raw files: trips, late events, junk and misplaced files.
 
     The keys of a month are the same for each of its rows, so they are made
-    distinct on the map side before anything parses them.
+    distinct first. The generator keeps filters on the path above that step.
     """
     items = table(spark, sf_dir, "lineitem").selectExpr(
         "trunc(l_shipdate, 'MM') AS day",
@@ -169,8 +169,8 @@ def raw_file_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         items.unionByName(events)
         .distinct()
         .selectExpr(
-            f"CASE kind WHEN 'yellow' THEN {yellow} WHEN 'misplaced' THEN {misplaced}"
-            f" WHEN 'green' THEN {green}"
-            " ELSE 'nyc_taxi/raw/lookup/taxi_zone_lookup.csv' END AS path"
+            f"explode(array(CASE kind WHEN 'yellow' THEN {yellow}"
+            f" WHEN 'misplaced' THEN {misplaced} WHEN 'green' THEN {green}"
+            " ELSE 'nyc_taxi/raw/lookup/taxi_zone_lookup.csv' END)) AS path"
         )
     )

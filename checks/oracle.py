@@ -558,6 +558,18 @@ def _grain(mart: str, keys: str) -> str:
     )
 
 
+_REPORT = (
+    'SELECT year, month, check_name AS "check", failed_rows, total_rows,'
+    " failed_rows / total_rows AS share FROM ("
+    + _union(
+        f"SELECT year, month, '{name}' AS check_name,"
+        f" count(*) FILTER (WHERE {sql}) AS failed_rows,"
+        " count(*) AS total_rows FROM flagged GROUP BY year, month"
+        for name, sql in {**{f: f for f in FLAGS}, "total_bad": BAD}.items()
+    )
+    + ")"
+)
+
 ORACLE: dict[str, str] = {
     "scan_month": _sql(
         """SELECT year, month, count(*) AS trips,
@@ -589,16 +601,11 @@ ORACLE: dict[str, str] = {
         f"SELECT * FROM flagged WHERE ({BAD}) IS NULL", "flagged"
     ),
     "silver_trips": _select("silver"),
-    "dq_report": _sql(
-        "SELECT year, month, check_name AS \"check\", failed_rows, total_rows,"
-        " failed_rows / total_rows AS share FROM ("
-        + _union(
-            f"SELECT year, month, '{name}' AS check_name,"
-            f" count(*) FILTER (WHERE {sql}) AS failed_rows,"
-            " count(*) AS total_rows FROM flagged GROUP BY year, month"
-            for name, sql in {**{f: f for f in FLAGS}, "total_bad": BAD}.items()
-        )
-        + ")",
+    "dq_report": _sql(_REPORT, "flagged"),
+    "dq_drift": _sql(
+        f"""SELECT year, month, "check", share,
+        lag(share) OVER w AS previous_share, share - lag(share) OVER w AS share_change
+        FROM ({_REPORT}) WINDOW w AS (PARTITION BY "check" ORDER BY year, month)""",
         "flagged",
     ),
     "row_retention": _sql(

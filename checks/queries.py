@@ -141,6 +141,13 @@ def dq_report(spark, sf_dir):
     return quality.quality_report(flagged(spark, sf_dir), PERIOD)
 
 
+@query
+def dq_drift(spark, sf_dir):
+    return quality.bad_share_drift(
+        quality.quality_report(flagged(spark, sf_dir), PERIOD)
+    )
+
+
 @query
 def row_retention(spark, sf_dir):
     kept = quality.row_retention(flagged(spark, sf_dir), PERIOD)

@@ -39,23 +39,27 @@ def exact_sum(value: Column, units: int = UNITS) -> Column:
     return F.sum(to_units(value, units))
 
 
-def exact_ratio(numerator: Column, denominator: Column) -> Column:
-    """Decimal quotient of two whole numbers; NULL for a zero denominator."""
-    return F.try_divide(
-        numerator.cast("decimal(20,0)"), denominator.cast("decimal(20,0)")
-    )
-
-
 def rounded_ratio(
-    numerator: Column, denominator: Column, places: int, scale: int = 1
+    numerator: str, denominator: str, places: int, scale: int = 1
 ) -> Column:
     """``numerator * scale / denominator`` of whole numbers, rounded half up.
 
-    The quotient is a decimal with 18 places, so ties round the same way on
-    every run. An undefined quotient is NULL.
+    Both are SQL over long columns. Ties are decided on whole numbers, so they
+    round the same way on every run; longs do for all but enormous totals, which
+    fall back to decimals. An undefined quotient is NULL.
     """
-    quotient = exact_ratio(numerator * F.lit(scale), denominator)
-    return F.round(quotient, places).cast("double")
+    top = f"({numerator}) * {scale}L" if scale != 1 else numerator
+    top, bottom, unit = f"({top})", f"({denominator})", 10**places
+    rounded = f"((2L * abs({top}) * {unit}L + {bottom}) div (2L * {bottom}))"
+    quotient = (
+        f"try_divide(cast({top} AS decimal(20,0)), cast({bottom} AS decimal(20,0)))"
+    )
+    return F.expr(
+        f"CASE WHEN {bottom} BETWEEN 1L AND {10**18}L"
+        f" AND abs({top}) <= {10**18 // unit}L"
+        f" THEN cast(if({top} < 0, -{rounded}, {rounded}) AS double) / {unit}D"
+        f" ELSE cast(round({quotient}, {places}) AS double) END"
+    )
 
 
 def round_half_up(value: Column, places: int) -> Column:
@@ -63,9 +67,9 @@ def round_half_up(value: Column, places: int) -> Column:
     return F.round(value.cast("decimal(28,6)"), places).cast("double")
 
 
-def from_units(total: Column, places: int, units: int = UNITS) -> Column:
+def from_units(total: str, places: int, units: int = UNITS) -> Column:
     """Turn a sum of units back into a rounded double."""
-    return rounded_ratio(total, F.lit(units), places)
+    return rounded_ratio(total, f"{units}L", places)
 
 
 def weighted_sum(value: str, weight: str) -> Column:
@@ -99,11 +103,11 @@ def payment_name(code: str) -> Column:
 
 
 def year_text(day: str) -> Column:
-    return F.date_format(F.col(day), "yyyy")
+    return F.expr(f"substring(cast({day} AS string), 1, 4)")
 
 
 def month_text(day: str) -> Column:
-    return F.date_format(F.col(day), "MM")
+    return F.expr(f"substring(cast({day} AS string), 6, 2)")
 
 
 def iso_weekday(day: str) -> Column:

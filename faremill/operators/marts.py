@@ -68,12 +68,12 @@ def _roll_up(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _total(measure: str) -> Column:
-    return from_units(F.col(f"{measure}_sum"), 2, _MEASURE_UNITS[measure])
+    return from_units(f"{measure}_sum", 2, _MEASURE_UNITS[measure])
 
 
 def _mean(measure: str) -> Column:
-    rows = F.col(f"{measure}_rows") * F.lit(_MEASURE_UNITS[measure])
-    return rounded_ratio(F.col(f"{measure}_sum"), rows, 2)
+    rows = f"{measure}_rows * {_MEASURE_UNITS[measure]}L"
+    return rounded_ratio(f"{measure}_sum", rows, 2)
 
 
 def _finish(sums: DataFrame, contract: schemas.MartContract) -> DataFrame:
@@ -100,10 +100,8 @@ def _finish(sums: DataFrame, contract: schemas.MartContract) -> DataFrame:
 
 
 def _tips_share() -> Column:
-    revenue = F.col("total_amount_sum")
-    return F.when(
-        revenue != 0, rounded_ratio(F.col("tip_amount_sum"), revenue, 4)
-    ).otherwise(F.lit(0.0))
+    share = rounded_ratio("tip_amount_sum", "total_amount_sum", 4)
+    return F.when(F.col("total_amount_sum") != 0, share).otherwise(F.lit(0.0))
 
 
 _TRAVEL_MEASURES = ("total_amount", "trip_distance", "trip_duration_minutes")

@@ -98,18 +98,15 @@ def discover_periods(paths: DataFrame, taxi_type: str = "yellow") -> DataFrame:
     The directory and the file name must agree; other objects are ignored.
     """
     pattern = (
-        rf"(?:^|/)raw/{taxi_type}/year=(\d{{4}})/month=(\d{{2}})/"
-        rf"{taxi_type}_tripdata_(\d{{4}})-(\d{{2}})\.parquet$"
+        rf"(?:^|/)raw/{taxi_type}/year=(?!0000)(\d{{4}})/month=(0[1-9]|1[0-2])/"
+        rf"{taxi_type}_tripdata_\1-\2\.parquet$"
     )
-    parts = [F.regexp_extract("path", pattern, group) for group in range(1, 5)]
-    names = ["path_year", "path_month", "file_year", "file_month"]
     return (
-        paths.select(*[part.alias(name) for part, name in zip(parts, names)])
-        .where(
-            "path_year <> '' AND path_year = file_year AND path_month = file_month"
-            " AND path_month BETWEEN '01' AND '12' AND path_year > '0000'"
+        paths.where(F.col("path").rlike(pattern))
+        .select(
+            F.regexp_extract("path", pattern, 1).alias("year"),
+            F.regexp_extract("path", pattern, 2).alias("month"),
         )
-        .select(F.col("path_year").alias("year"), F.col("path_month").alias("month"))
         .distinct()
         .orderBy("year", "month")
     )

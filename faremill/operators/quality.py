@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faremill.functions.columns import VALID_PAYMENT_TYPES, trip_class
@@ -195,3 +195,21 @@ def row_retention(flagged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             F.col("bronze_rows") > 0, F.col("silver_rows") / F.col("bronze_rows")
         ).otherwise(F.lit(0.0)),
     )
+
+
+def bad_share_drift(report: DataFrame) -> DataFrame:
+    """Each check's failure share next to the month before it.
+
+    Works on the written report, which has one row per check and month, so a
+    window partition holds as many rows as there are months.
+    """
+    by_month = Window.partitionBy("check").orderBy("year", "month")
+    before = F.lag("share").over(by_month)
+    return report.select(
+        "year",
+        "month",
+        "check",
+        "share",
+        before.alias("previous_share"),
+        (F.col("share") - before).alias("share_change"),
+    )

@@ -29,7 +29,7 @@ def stage_centroids(table: DataFrame) -> DataFrame:
 
 
 def _share(name: str) -> Column:
-    share = rounded_ratio(F.col(f"{name}_trips_count"), F.col("trips_count"), 4)
+    share = rounded_ratio(f"{name}_trips_count", "trips_count", 4)
     return F.when(F.col("trips_count") == 0, F.lit(0.0)).otherwise(share)
 
 
@@ -66,7 +66,7 @@ def dominant_class() -> Column:
 
 
 def daily_kpis(metrics: DataFrame) -> DataFrame:
-    revenue_units = F.rint(F.col("total_revenue") * 100)
+    cents = "cast(rint(total_revenue * 100) AS bigint)"
     return metrics.select(
         "pickup_date",
         "pickup_month",
@@ -78,7 +78,7 @@ def daily_kpis(metrics: DataFrame) -> DataFrame:
         F.when(F.col("is_weekend"), "Weekend").otherwise("Weekday").alias("day_type"),
         "trips_count",
         "total_revenue",
-        rounded_ratio(revenue_units, F.lit(100_000_000), 2).alias("total_revenue_mln"),
+        rounded_ratio(cents, "100000000L", 2).alias("total_revenue_mln"),
         "avg_check",
         "avg_trip_distance",
         "avg_trip_duration_minutes",

@@ -48,14 +48,14 @@ def _travel() -> list[Column]:
 
 
 def _per_trip(total: str) -> Column:
-    return rounded_ratio(F.col(total), F.col("trips") * F.lit(UNITS), 2)
+    return rounded_ratio(total, f"trips * {UNITS}L", 2)
 
 
 def _volume_columns(*share: Column) -> list[Column]:
     return [
         F.col("trips").alias("trips_count"),
         *share,
-        from_units(F.col("revenue"), 2).alias("total_revenue"),
+        from_units("revenue", 2).alias("total_revenue"),
         _per_trip("revenue").alias("avg_check"),
     ]
 
@@ -69,20 +69,22 @@ def _travel_columns() -> list[Column]:
 
 def _tip_columns() -> list[Column]:
     return [
-        from_units(F.col("tips"), 2).alias("total_tips"),
+        from_units("tips", 2).alias("total_tips"),
         _per_trip("tips").alias("avg_tip"),
-        rounded_ratio(F.col("tips"), F.col("revenue"), 2, scale=100).alias(
+        rounded_ratio("tips", "revenue", 2, scale=100).alias(
             "tips_share_from_revenue_pct"
         ),
     ]
 
 
-def _share_pct(*partition: str) -> Column:
-    """Percentage of the trips of a group, or of all rows without one."""
-    window = Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))
-    return rounded_ratio(
-        F.col("trips"), F.sum("trips").over(window), 2, scale=100
-    )
+def _with_group_trips(grouped: DataFrame, *partition: str) -> DataFrame:
+    """Add the trips of a row's group, or of all rows without one."""
+    window = Window.partitionBy(*(partition or [F.lit(0)]))
+    return grouped.withColumn("group_trips", F.sum("trips").over(window))
+
+
+def _share_pct() -> Column:
+    return rounded_ratio("trips", "group_trips", 2, scale=100)
 
 
 def _rank(partition: list[str], ties: list[str]) -> Column:
@@ -116,6 +118,7 @@ def peak_hours(hourly: DataFrame, limit: int = 24) -> DataFrame:
     return (
         hourly.groupBy("pickup_hour")
         .agg(*_volume(*_travel()))
+        .transform(_with_group_trips)
         .select(
             "pickup_hour",
             *_volume_columns(_share_pct().alias("trips_share_pct")),
@@ -131,11 +134,12 @@ def trip_type_distribution(hourly: DataFrame) -> DataFrame:
         hourly.where(is_filled("trip_type"))
         .groupBy("trip_type")
         .agg(*_volume(*_travel()))
+        .transform(_with_group_trips)
         .select(
             "trip_type",
             *_volume_columns(_share_pct().alias("trips_share_pct")),
             *_travel_columns(),
-            rounded_ratio(F.col("revenue"), F.col("distance"), 2).alias(
+            rounded_ratio("revenue", "distance", 2).alias(
                 "avg_cost_per_mile"
             ),
         )
@@ -148,11 +152,12 @@ def peak_hours_by_type(hourly: DataFrame, keep: int = 10) -> DataFrame:
         hourly.where(is_filled("trip_type"))
         .groupBy("trip_type", "pickup_hour")
         .agg(*_volume(*_travel()))
+        .transform(_with_group_trips, "trip_type")
         .select(
             "trip_type",
             _rank(["trip_type"], ["pickup_hour"]).alias("hour_rank_within_type"),
             "pickup_hour",
-            *_volume_columns(_share_pct("trip_type").alias("trips_share_within_type_pct")),
+            *_volume_columns(_share_pct().alias("trips_share_within_type_pct")),
             *_travel_columns(),
         )
         .where(F.col("hour_rank_within_type") <= keep)
@@ -211,11 +216,12 @@ def payment_by_type(payments: DataFrame) -> DataFrame:
     filled = is_filled("trip_type") & is_filled("payment_type_name")
     return (
         _payment_volume(payments.where(filled), "trip_type")
+        .transform(_with_group_trips, "trip_type")
         .select(
             "trip_type",
             "payment_type",
             "payment_type_name",
-            *_volume_columns(_share_pct("trip_type").alias("trips_share_within_type_pct")),
+            *_volume_columns(_share_pct().alias("trips_share_within_type_pct")),
             *_tip_columns(),
         )
         .orderBy(
@@ -230,11 +236,12 @@ def payment_trends(payments: DataFrame) -> DataFrame:
     month = F.trunc("pickup_date", "MM").alias("pickup_month")
     return (
         _payment_volume(payments.where(is_filled("payment_type_name")), month)
+        .transform(_with_group_trips, "pickup_month")
         .select(
             "pickup_month",
             "payment_type",
             "payment_type_name",
-            *_volume_columns(_share_pct("pickup_month").alias("trips_share_month_pct")),
+            *_volume_columns(_share_pct().alias("trips_share_month_pct")),
             *_tip_columns(),
         )
         .orderBy(
@@ -273,7 +280,7 @@ def _trips_part(model: RideShareModel, places: int, *factors: int) -> Column:
     product = model.groupable_pct
     for factor in factors:
         product *= factor
-    return rounded_ratio(F.col("trips") * F.lit(product), F.lit(10_000), places)
+    return rounded_ratio(f"trips * {product}L", "10000L", places)
 
 
 def _share_columns(model: RideShareModel) -> dict[str, Column]:
@@ -323,9 +330,7 @@ def rideshare_vehicle_model(
             parts["potential_groupable_trips"].alias("potential_groupable_passenger_trips"),
             parts["grouped_accepting_trips"].alias("grouped_accepting_passenger_trips"),
             rounded_ratio(
-                F.col("trips") * F.lit(model.groupable_pct * model.accepting_pct),
-                F.lit(20_000),
-                0,
+                f"trips * {model.groupable_pct * model.accepting_pct}L", "20000L", 0
             ).alias("grouped_vehicle_trips"),
             parts["individual_privacy_trips"].alias("individual_privacy_passenger_trips"),
             parts["grouped_discount_cost"].alias("grouped_discount_cost"),

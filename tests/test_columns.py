@@ -19,15 +19,26 @@ def test_rounding_ties_go_up_by_decimal_digits(spark):
         assert one(spark, c.round_half_up(F.col("x"), 2), x=value) == expected
 
 
-def test_rounded_ratio(spark):
-    ratio = lambda a, b, p, s=1: one(
-        spark, c.rounded_ratio(F.lit(a), F.lit(b), p, s), x=0.0
-    )
-    assert ratio(1, 3, 2) == 0.33
-    assert ratio(1001, 200, 2) == 5.01  # exactly 5.005
-    assert ratio(-1001, 200, 2) == -5.01
-    assert ratio(1, 8, 2, 100) == 12.5
-    assert ratio(1, 0, 2) is None
+@pytest.mark.parametrize(
+    "numerator, denominator, places, scale, expected",
+    [
+        (1, 3, 2, 1, 0.33),
+        (1001, 200, 2, 1, 5.01),  # exactly 5.005
+        (-1001, 200, 2, 1, -5.01),
+        (-1, 3, 2, 1, -0.33),
+        (1, 8, 2, 100, 12.5),
+        (1, 0, 2, 1, None),
+        (None, 4, 2, 1, None),
+        (4, None, 2, 1, None),
+        (1001, -200, 2, 1, -5.01),
+        (9 * 10**18, 200, 2, 1, 4.5e16),  # too large for the whole-number way
+        (3 * 10**17 + 1, 2, 0, 1, 150000000000000001.0),
+    ],
+)
+def test_rounded_ratio(spark, numerator, denominator, places, scale, expected):
+    frame = spark.createDataFrame([(numerator, denominator)], "a long, b long")
+    ratio = c.rounded_ratio("a", "b", places, scale)
+    assert frame.select(ratio.alias("v")).first()["v"] == expected
 
 
 def test_exact_sum_does_not_depend_on_partitions(spark):
