@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faremill.functions.columns import VALID_PAYMENT_TYPES, trip_class
+from faremill.operators.periods import first_of_month, last_of_month
 
 FLAG_PREFIX = "dq_"
 
@@ -19,28 +20,28 @@ MAX_TRIP_DISTANCE = 100
 
 @dataclass(frozen=True)
 class MonthBounds:
-    """Half-open date range ``[start, end)`` a trip's pickup must fall in.
+    """The month a trip's pickup must fall in.
 
-    Both ends are SQL expressions, so a frame that holds many months can take
-    its bounds from its own period columns.
+    ``template`` is SQL that is true for a ``{day}`` outside the month and NULL
+    for a NULL day. A frame that holds many months takes each row's month from
+    its own period columns.
     """
 
-    start: str
-    end: str
+    template: str
 
     @classmethod
     def of(cls, year: int | str, month: int | str) -> MonthBounds:
-        first = f"make_date({int(year)}, {int(month)}, 1)"
-        return cls(first, f"cast(add_months({first}, 1) AS date)")
+        start = first_of_month(year, month)
+        end = last_of_month(year, month)
+        return cls(f"({{day}} < DATE'{start}' OR {{day}} > DATE'{end}')")
 
     @classmethod
     def per_row(cls, year: str = "year", month: str = "month") -> MonthBounds:
-        first = f"make_date(cast({year} AS int), cast({month} AS int), 1)"
-        return cls(first, f"cast(add_months({first}, 1) AS date)")
+        expected = f"cast({year} AS int) * 12 + cast({month} AS int)"
+        return cls(f"(year({{day}}) * 12 + month({{day}}) <> {expected})")
 
     def outside(self, day: str) -> str:
-        """True outside the range, NULL for a NULL day."""
-        return f"({day} < {self.start} OR {day} >= {self.end})"
+        return self.template.format(day=day)
 
 
 def flag_rules(bounds: MonthBounds) -> dict[str, str]:
