@@ -160,7 +160,7 @@ def raw_file_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").selectExpr(
         "trunc(ts, 'MM') AS day", "'yellow' AS kind"
     )
-    folder = "'nyc_taxi/raw/{0}/', date_format(day, \"'year='yyyy'/month='MM\")"
+    folder = "'trips/raw/{0}/', date_format(day, \"'year='yyyy'/month='MM\")"
     file = "'/{0}_tripdata_', date_format({1}, 'yyyy-MM'), '.parquet'"
     yellow = f"concat({folder}, {file})".format("yellow", "day")
     misplaced = f"concat({folder}, {file})".format("yellow", "add_months(day, 1)")
@@ -171,6 +171,6 @@ def raw_file_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         .selectExpr(
             f"explode(array(CASE kind WHEN 'yellow' THEN {yellow}"
             f" WHEN 'misplaced' THEN {misplaced} WHEN 'green' THEN {green}"
-            " ELSE 'nyc_taxi/raw/lookup/taxi_zone_lookup.csv' END)) AS path"
+            " ELSE 'trips/raw/lookup/taxi_zone_lookup.csv' END)) AS path"
         )
     )

@@ -232,12 +232,12 @@ CTES = {
     WHEN 'yellow' THEN yellow || strftime(day, '%Y-%m') || '.parquet'
     WHEN 'misplaced' THEN yellow || strftime(day + INTERVAL 1 MONTH, '%Y-%m')
       || '.parquet'
-    WHEN 'green' THEN 'nyc_taxi/raw/green/' || month_path || '/green_tripdata_'
+    WHEN 'green' THEN 'trips/raw/green/' || month_path || '/green_tripdata_'
       || strftime(day, '%Y-%m') || '.parquet'
-    ELSE 'nyc_taxi/raw/lookup/taxi_zone_lookup.csv' END AS path
+    ELSE 'trips/raw/lookup/taxi_zone_lookup.csv' END AS path
   FROM (
     SELECT *, strftime(day, 'year=%Y/month=%m') AS month_path,
-      'nyc_taxi/raw/yellow/' || strftime(day, 'year=%Y/month=%m')
+      'trips/raw/yellow/' || strftime(day, 'year=%Y/month=%m')
         || '/yellow_tripdata_' AS yellow
     FROM (
       SELECT l_shipdate AS day,

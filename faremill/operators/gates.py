@@ -10,7 +10,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from faremill import schemas
@@ -318,6 +318,29 @@ def check_full_range(row: Row, mart: str, expected_min, expected_max) -> None:
     gate.judge(row)
 
 
+def with_expected_range(profiles: DataFrame, expected: DataFrame) -> DataFrame:
+    """Put the one expected range beside each table's profile row.
+
+    The range joins as one more row of the union, and a window over these few
+    rows (one per table and one for the range) spreads it.
+    """
+    rows = profiles.unionByName(expected, allowMissingColumns=True)
+    everything = Window.partitionBy(F.lit(0))
+    spread = rows.withColumns(
+        {
+            name: F.max(name).over(everything)
+            for name in ("expected_min_date", "expected_max_date")
+        }
+    )
+    return spread.where("table_name IS NOT NULL").withColumn(
+        "range_matches",
+        F.expr(
+            "min_pickup_date = expected_min_date"
+            " AND max_pickup_date = expected_max_date"
+        ),
+    )
+
+
 @dataclass(frozen=True)
 class CentroidLimits:
     """What a good zone point file looks like."""

@@ -14,6 +14,9 @@ from faremill.operators.periods import first_of_month, last_of_month
 
 FLAG_PREFIX = "dq_"
 
+# Fixed value: the name written with every ingested row.
+SOURCE_SYSTEM = "nyc_taxi_yellow"
+
 MAX_TRIP_MINUTES = 1440
 MAX_TRIP_DISTANCE = 100
 
@@ -76,7 +79,7 @@ def flag_rules(bounds: MonthBounds) -> dict[str, str]:
 
 
 def add_ingest_metadata(
-    raw: DataFrame, source_system: str = "nyc_taxi_yellow", stamp: bool = True
+    raw: DataFrame, source_system: str = SOURCE_SYSTEM, stamp: bool = True
 ) -> DataFrame:
     """Bronze columns; the source period comes from the partition columns."""
     columns = {

@@ -165,17 +165,17 @@ def peak_hours_by_type(hourly: DataFrame, keep: int = 10) -> DataFrame:
     )
 
 
-def _zone_volume(routes: DataFrame, role: str) -> DataFrame:
-    return (
-        routes.where(is_filled("trip_type") & is_filled(f"{role}_zone"))
-        .groupBy(
-            "trip_type",
-            F.col(f"{role}_borough").alias("borough"),
-            F.col(f"{role}_zone").alias("zone"),
-        )
-        .agg(*_volume(*_travel()))
-        .withColumn("zone_role", F.lit(role))
+def _by_role(routes: DataFrame, *keep: str) -> DataFrame:
+    """Each route row once for its pickup zone and once for its dropoff zone.
+
+    The result is the union of both projections, but the mart is read once.
+    """
+    roles = ", ".join(
+        f"named_struct('zone_role', '{role}', 'location_id', {role}_location_id,"
+        f" 'borough', {role}_borough, 'zone', {role}_zone)"
+        for role in ("pickup", "dropoff")
     )
+    return routes.selectExpr(*keep, f"inline(array({roles}))")
 
 
 def top_zones_by_type(routes: DataFrame, keep: int = 3) -> DataFrame:
@@ -184,7 +184,18 @@ def top_zones_by_type(routes: DataFrame, keep: int = 3) -> DataFrame:
     The rank filter lets Spark keep only ``keep`` rows per group in each map
     task before the shuffle, so a class with very many zones stays cheap.
     """
-    both = _zone_volume(routes, "pickup").unionByName(_zone_volume(routes, "dropoff"))
+    measures = (
+        "trips_count",
+        "total_revenue",
+        "avg_trip_distance",
+        "avg_trip_duration_minutes",
+    )
+    both = (
+        _by_role(routes.where(is_filled("trip_type")), "trip_type", *measures)
+        .where(is_filled("zone"))
+        .groupBy("zone_role", "trip_type", "borough", "zone")
+        .agg(*_volume(*_travel()))
+    )
     rank = _rank(["zone_role", "trip_type"], ["borough", "zone"])
     return (
         both.withColumn("zone_rank", rank)
@@ -365,24 +376,12 @@ def zone_demand_map(routes: DataFrame, centroids: DataFrame) -> DataFrame:
     several points of a zone cannot multiply its trips.
     """
 
-    def demand(role: str) -> DataFrame:
-        return (
-            routes.groupBy(
-                F.col(f"{role}_location_id").alias("location_id"),
-                F.col(f"{role}_borough").alias("borough"),
-                F.col(f"{role}_zone").alias("zone"),
-            )
-            .agg(*_volume())
-            .select(
-                F.lit(role).alias("zone_role"),
-                "location_id",
-                "borough",
-                "zone",
-                *_volume_columns(),
-            )
-        )
-
-    both = demand("pickup").unionByName(demand("dropoff"))
+    both = (
+        _by_role(routes, "trips_count", "total_revenue")
+        .groupBy("zone_role", "location_id", "borough", "zone")
+        .agg(*_volume())
+        .select("zone_role", "location_id", "borough", "zone", *_volume_columns())
+    )
     points = unique_centroids(centroids)
     return both.join(points, "location_id").select(
         "zone_role",
