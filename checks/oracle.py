@@ -780,6 +780,15 @@ ORACLE: dict[str, str] = {
         "raw_periods",
     ),
     "gate_silver": _gate_silver(),
+    "gate_silver_inline": _sql(
+        f"""SELECT *, silver_count > 0 AND outside_month_count = 0
+          AND invalid_pickup_hour_count = 0 AS passed FROM (
+        SELECT year, month, count(*) AS silver_count,
+        {_failing(_OUTSIDE, 'outside_month_count')},
+        {_failing(f'pickup_hour IS NULL OR {_BAD_HOUR}', 'invalid_pickup_hour_count')}
+        FROM silver GROUP BY year, month)""",
+        "silver",
+    ),
     "gate_daily": _gate("daily"),
     "gate_hourly": _gate("hourly"),
     "gate_payment": _gate("payment"),

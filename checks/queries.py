@@ -369,6 +369,11 @@ def gate_silver(spark, sf_dir):
     return _gate(gates.silver_gate(PER_ROW), silver(spark, sf_dir), PERIOD)
 
 
+@query
+def gate_silver_inline(spark, sf_dir):
+    return _gate(gates.silver_inline_gate(PER_ROW), silver(spark, sf_dir), PERIOD)
+
+
 def _mart_gate(contract, build) -> None:
     def run(spark, sf_dir):
         gate = gates.mart_gate(contract.name, PER_ROW)
