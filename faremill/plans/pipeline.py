@@ -14,6 +14,7 @@ from typing import Any
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from faremill import schemas
 from faremill.operators import data_tests, gates, marts, periods, quality
@@ -33,6 +34,16 @@ class Pipeline:
     layers: Layers
     serving: ServingTables
     warnings: list[str] = field(default_factory=list)
+    _written: dict[str, tuple[set[Period], T.StructType]] = field(default_factory=dict)
+
+    def _note(self, path: str, months: Sequence[Period], rows: DataFrame) -> None:
+        """Remember what this run wrote, so that reads need not infer it."""
+        self._written[path] = (set(months), rows.schema)
+
+    def _read(self, path: str, months: Sequence[Period], above: str = "") -> DataFrame:
+        written, schema = self._written.get(path, (set(), None))
+        known = schema if written.issuperset(months) else None
+        return files.read_months(self.spark, path, months, above, known)
 
     # --- layers ----------------------------------------------------------------
 
@@ -40,11 +51,13 @@ class Pipeline:
         """Raw files to bronze. Each task reads one file's split, so the months
         come out partitioned without a shuffle."""
         raw = files.read_raw(self.spark, self.layers, months)
-        files.write_months(quality.add_ingest_metadata(raw), self.layers.bronze)
+        bronze = quality.add_ingest_metadata(raw)
+        files.write_months(bronze, self.layers.bronze)
+        self._note(self.layers.bronze, months, bronze)
 
     def check_trips(self, months: Sequence[Period]) -> None:
         """Bronze to clean, bad and undetermined trips in one write."""
-        bronze = files.read_months(self.spark, self.layers.bronze, months)
+        bronze = self._read(self.layers.bronze, months)
         flagged = quality.add_quality_flags(bronze, _BOUNDS)
         flags = quality.flag_columns(flagged)
         rows = quality.add_trip_attributes(flagged).withColumns(
@@ -55,15 +68,15 @@ class Pipeline:
             }
         )
         files.split_by_status(self.spark, self.layers, rows, months)
+        self._note(self.layers.checked, months, rows)
+        self._note(self.layers.silver, months, rows.drop("row_status"))
 
     def checked(self, months: Sequence[Period]) -> DataFrame:
         """Flags and status of every row of the months."""
-        return files.read_months(
-            self.spark, self.layers.checked, months, above="row_status=*/"
-        )
+        return self._read(self.layers.checked, months, above="row_status=*/")
 
     def silver(self, months: Sequence[Period]) -> DataFrame:
-        clean = files.read_months(self.spark, self.layers.silver, months)
+        clean = self._read(self.layers.silver, months)
         return clean.drop(*quality.flag_columns(clean))
 
     def bad_records(self, months: Sequence[Period]) -> DataFrame:
@@ -114,14 +127,14 @@ class Pipeline:
             }
             for contract, mart in built.items():
                 stamped = mart.withColumn(contract.stamp, F.current_timestamp())
-                files.write_months(
-                    stamped.hint("rebalance", *PERIOD), self.layers.gold(contract.name)
-                )
+                path = self.layers.gold(contract.name)
+                files.write_months(stamped.hint("rebalance", *PERIOD), path)
+                self._note(path, months, stamped)
         finally:
             cube.unpersist()
 
     def mart(self, name: str, months: Sequence[Period]) -> DataFrame:
-        return files.read_months(self.spark, self.layers.gold(name), months)
+        return self._read(self.layers.gold(name), months)
 
     def gate_marts(self, months: Sequence[Period]) -> None:
         """Contract, mart rules and serving rules, before anything is loaded."""

@@ -67,9 +67,9 @@ class Layers:
         return f"{self.root}/raw/lookup/taxi_zone_lookup.csv"
 
 
-def _text_periods(schema: T.StructType) -> T.StructType:
+def _text_periods(fields: Iterable[T.StructField]) -> T.StructType:
     """Partition values as text, so that month ``01`` does not become 1."""
-    kept = [field for field in schema.fields if field.name not in schemas.PERIOD]
+    kept = [field for field in fields if field.name not in schemas.PERIOD]
     text = [T.StructField(name, T.StringType()) for name in schemas.PERIOD]
     return T.StructType(kept + text)
 
@@ -79,11 +79,13 @@ def read_months(
     path: str,
     periods: Sequence[Period] | None = None,
     above: str = "",
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """A partitioned layer, all of it or only the given months' folders.
 
-    ``above`` stands for partition folders above the year. Columns that only
-    some months have are kept, for which only the read months' footers are seen.
+    ``above`` stands for partition folders above the year. Without a known
+    ``schema`` one footer per month tells it: a month is always replaced whole,
+    so its files agree, and reading every footer of a large layer is avoided.
     """
     folders = (
         [path]
@@ -91,11 +93,16 @@ def read_months(
         else [f"{path}/{above}year={year}/month={month}" for year, month in periods]
     )
     reader = spark.read.option("basePath", path)
-    merge = "false" if periods is None else "true"
-    inferred = reader.option("mergeSchema", merge).parquet(*folders).schema
+    fields: dict[str, T.StructField] = {}
+    if schema is None:
+        for folder in folders:
+            for field in reader.parquet(folder).schema:
+                fields.setdefault(field.name, field)
+    else:
+        fields = {field.name: field for field in schema}
     return (
         spark.read.option("basePath", path)
-        .schema(_text_periods(inferred))
+        .schema(_text_periods(fields.values()))
         .parquet(*folders)
     )
 

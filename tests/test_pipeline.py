@@ -143,6 +143,9 @@ def test_layers_hold_every_row(loaded, trips):
     assert set(by_status) == {"clean", "bad", "undetermined"}
     assert sum(by_status.values()) == len(trips)
     assert loaded.bad_records(MONTHS).where("dq_reason = ''").isEmpty()
+    fresh = Pipeline(loaded.spark, loaded.layers, loaded.serving)
+    assert rows(fresh.checked(MONTHS)) == rows(loaded.checked(MONTHS))
+    assert rows(fresh.silver(MONTHS)) == rows(loaded.silver(MONTHS))
     report = files.read_months(loaded.spark, loaded.layers.quality)
     assert report.count() == 14 * len(MONTHS)
 
@@ -277,14 +280,16 @@ def test_drifting_raw_columns_are_read_together(pipeline, trips, tmp_path):
     write_raw(trips, tmp_path, change=drift)
     pipeline.ingest(MONTHS)
     pipeline.check_trips(MONTHS)
-    silver = pipeline.silver(MONTHS)
-    assert dict(silver.dtypes)["passenger_count"] == "bigint"
-    fees = silver.groupBy("month").agg(F.count("airport_fee").alias("n")).collect()
-    assert {r["month"]: r["n"] > 0 for r in fees} == {
-        "05": True,
-        "06": False,
-        "07": False,
-    }
+    fresh = Pipeline(pipeline.spark, pipeline.layers, pipeline.serving)
+    for reader in (pipeline, fresh):
+        silver = reader.silver(MONTHS)
+        assert dict(silver.dtypes)["passenger_count"] == "bigint"
+        fees = silver.groupBy("month").agg(F.count("airport_fee").alias("n")).collect()
+        assert {r["month"]: r["n"] > 0 for r in fees} == {
+            "05": True,
+            "06": False,
+            "07": False,
+        }
 
 
 def test_missing_raw_column_is_refused(pipeline, trips, tmp_path):
