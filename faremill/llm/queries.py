@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import quality, secrets
+from faremill.llm import packing, quality, secrets
 from faremill.llm.storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_queue_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = packing.Packing(public_tokenizers.path("word_bpe_49k.json"))
+    return packing.with_digest(packing.pack(table(spark, sf_dir, "documents"), plan))
+
+
 def op9_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -21,7 +27,7 @@ def op10_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    query.__name__: query for query in (op9_compression_bands, op10_secret_battery)
+    query.__name__: query for query in (op3_queue_packing, op9_compression_bands, op10_secret_battery)
 }
 
 # zstandard ratios and spans of regular expressions have no SQL form: see tests/llm.
