@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import minhash, packing, quality, secrets
+from faremill.llm import minhash, mixing, packing, quality, secrets
 from faremill.llm.storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op6_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.find(table(spark, sf_dir, "documents"))
 
 
+def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -31,7 +35,7 @@ def op10_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    query.__name__: query for query in (op3_queue_packing, op6_dart_minhash, op9_compression_bands, op10_secret_battery)
+    query.__name__: query for query in (op3_queue_packing, op6_dart_minhash, op7_soft_mixing, op9_compression_bands, op10_secret_battery)
 }
 
 # zstandard ratios and spans of regular expressions have no SQL form: see tests/llm.

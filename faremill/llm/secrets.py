@@ -352,8 +352,9 @@ def find(documents: DataFrame, battery: Battery = Battery()) -> DataFrame:
 
 def redact(documents: DataFrame, battery: Battery = Battery(), mark: str = "[SECRET]") -> DataFrame:
     """The documents, each run of spans in their text replaced by a mark."""
-    columns = tuple(documents.columns)
-    rows = with_discoveries(scan(documents, battery, columns), battery)
+    columns = documents.columns
+    whole = documents.select(F.struct(*columns).alias("_row"), "text")
+    rows = with_discoveries(scan(whole, battery, ("_row",)), battery)
 
     def step(state: Column, s: Column) -> Column:
         ahead = s["start"] > state["at"]
@@ -379,7 +380,11 @@ def redact(documents: DataFrame, battery: Battery = Battery(), mark: str = "[SEC
         ),
     )
     found = F.size(F.concat(*KINDS)) > 0
-    changed = {"text": F.when(found, text).otherwise(F.col("text"))}
+    changed = {"text": F.when(found, text).otherwise(F.col("_row.text"))}
     if "n_chars" in columns:
-        changed["n_chars"] = F.when(found, F.length(text).cast(documents.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return rows.withColumns(changed).select(*columns)
+        kind = documents.schema["n_chars"].dataType
+        changed["n_chars"] = F.when(found, F.length("text").cast(kind)).otherwise(
+            F.col("_row.n_chars")
+        )
+    rows = rows.withColumn("text", changed.pop("text"))
+    return rows.select(*(changed.get(c, F.col("text" if c == "text" else f"_row.`{c}`")).alias(c) for c in columns))
