@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import minhash, mixing, packing, quality, secrets, substrings
+from faremill.llm import language_model, minhash, mixing, packing, quality, secrets, substrings
 from faremill.llm.storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_doubled_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.with_digest(substrings.dedup(table(spark, sf_dir, "documents")))
 
 
+def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
 def op3_queue_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = packing.Packing(public_tokenizers.path("word_bpe_49k.json"))
     return packing.with_digest(packing.pack(table(spark, sf_dir, "documents"), plan))
@@ -39,7 +43,7 @@ def op10_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    query.__name__: query for query in (op1_doubled_windows, op3_queue_packing, op6_dart_minhash, op7_soft_mixing, op9_compression_bands, op10_secret_battery)
+    query.__name__: query for query in (op1_doubled_windows, op2_context_tree, op3_queue_packing, op6_dart_minhash, op7_soft_mixing, op9_compression_bands, op10_secret_battery)
 }
 
 # zstandard ratios and spans of regular expressions have no SQL form: see tests/llm.

@@ -18,7 +18,7 @@ IS_WORD[list(SEPARATORS)] = False
 
 _U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20_240_501))
-_PLACE = _rng.integers(1, 2**63, 4096, dtype=np.uint64) * _U(2) + _U(1)
+_PLACE = _rng.integers(1, 2**63, (2, 4096), dtype=np.uint64) * _U(2) + _U(1)
 _FAR = _U(0x9E3779B97F4A7C15)
 
 
@@ -67,15 +67,15 @@ class Words:
     def __len__(self) -> int:
         return len(self.starts)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word, the same in every process."""
+    def hashes(self, kind: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word, the same in every process. kind 1: another such hash."""
         if not len(self):
             return np.zeros(0, dtype=np.uint64)
         lengths = self.ends - self.starts
         at = np.concatenate(([0], np.cumsum(lengths)[:-1]))
         place = np.arange(int(lengths.sum())) - np.repeat(at, lengths)
         values = (self.data[self._inside].astype(np.uint64) + _U(1)) * (
-            _PLACE[place & 4095] + (place >> 12).astype(np.uint64) * _FAR
+            _PLACE[kind, place & 4095] + (place >> 12).astype(np.uint64) * _FAR
         )
         return mix(np.add.reduceat(values, at) + lengths.astype(np.uint64))
 
