@@ -147,7 +147,8 @@ def band_keys(batches, plan: NearDuplicates):
     """For each text: its id and digest, and a key for each band (none without words)."""
     for batch in slices(batches):
         words = Words(batch.column(1))
-        signature = signatures(Shingles(words, plan.shingle), plan.size)
+        shingles = Shingles(words, plan.shingle)
+        total, signature = shingles.total, signatures(shingles, plan.size)
         signature = signature.reshape(len(batch), plan.bands, plan.rows)
         key = np.broadcast_to(mix(np.arange(1, plan.bands + 1, dtype=np.uint64)), signature.shape[:2])
         for r in range(plan.rows):
@@ -158,7 +159,22 @@ def band_keys(batches, plan: NearDuplicates):
             pa.array(offsets), pa.array(key.astype(np.uint64).view(np.int64)[some].ravel())
         )
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), keys], names=["id", "digest", "bands"]
+            [batch.column(0), batch.column(2), pa.array(total), keys],
+            names=["id", "digest", "total", "bands"],
+        )
+
+
+def shingle_rows(batches, length: int):
+    """(id, shingle, n) of each distinct shingle of each text."""
+    for batch in slices(batches):
+        found = Shingles(Words(batch.column(1)), length)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0).take(pa.array(found.doc)),
+                pa.array(found.value.view(np.int64)),
+                pa.array(found.count),
+            ],
+            names=["id", "shingle", "n"],
         )
 
 
@@ -208,12 +224,34 @@ def verified(pairs: DataFrame, texts: DataFrame, plan: NearDuplicates) -> DataFr
     return scored.filter(F.col("similarity") >= least).select("a", "b")
 
 
+def own_weight(texts: DataFrame, plan: NearDuplicates) -> DataFrame:
+    """(id, own): the weight of a text's shingles that no other of the texts has."""
+    length = plan.shingle
+    rows = texts.mapInArrow(
+        lambda batches: shingle_rows(batches, length), "id long, shingle long, n long"
+    )
+    alone = rows.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("texts"), F.min("id").alias("id"), F.min("n").alias("n")
+    )
+    return alone.filter("texts = 1").groupBy("id").agg(F.sum("n").alias("own"))
+
+
+def may_reach(least: float):
+    """Whether two texts can be so similar: what one has alone is in no intersection."""
+    shared = F.least(F.col("total") - F.col("own"), F.col("lead_total") - F.col("lead_own"))
+    either = F.greatest(F.col("total") + F.col("lead_own"), F.col("lead_total") + F.col("own"))
+    return shared >= F.lit(least - 1e-9) * either
+
+
 def classes(documents: DataFrame, plan: NearDuplicates = NearDuplicates()) -> DataFrame:
     """(id, class_id) of each document: the least id among those that links reach.
 
     Texts of similarity 0.8 or more (weighted Jaccard on counted five-word shingles) link
     if they share a band; equal texts always do, unless they have no words. Rows of one
-    doc_id are one document. Of the texts that share a band, each is compared first with
+    doc_id are one document. A text whose own shingles, which no other candidate has, weigh
+    more than a fifth can have no link and leaves at once; the same weights bound the
+    similarity of any two texts, and only pairs that can reach 0.8 are compared. Of the
+    texts that share a band, each is compared first with
     the one that shares most bands over all; while different classes are left in a band,
     four times as many others are compared with all that are left, until every pair that
     could join two classes has been. So no link between classes is lost, and a large group
@@ -221,22 +259,33 @@ def classes(documents: DataFrame, plan: NearDuplicates = NearDuplicates()) -> Da
     """
     signed = written(
         numbered(documents).mapInArrow(
-            lambda batches: band_keys(batches, plan), "id long, digest binary, bands array<long>"
+            lambda batches: band_keys(batches, plan), "id long, digest binary, total long, bands array<long>"
         ),
         "signatures",
     )
     first = signed.groupBy("digest").agg(F.min("id").alias("id"))
     with_words = signed.filter(F.size("bands") > 0).join(first, ["digest", "id"], "left_semi")
-    keyed = with_words.select("id", F.explode("bands").alias("band")).distinct()
+    keyed = with_words.select("id", "total", F.explode("bands").alias("band")).dropDuplicates(
+        ["id", "band"]
+    )
     shared = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = written(keyed.join(shared, "band"), "members")
     score = members.groupBy("id").agg(F.sum("n").alias("score"))
-    left = written(members.join(score, "id").select("band", "id", "score"), "bands")
-    wanted = score.select("id")
     texts = written(
-        numbered(documents).select("id", "text").join(wanted, "id", "left_semi").dropDuplicates(["id"]),
+        numbered(documents)
+        .select("id", "text")
+        .join(score.select("id"), "id", "left_semi")
+        .dropDuplicates(["id"]),
         "texts",
     )
+    weights = score.join(own_weight(texts, plan), "id", "left").withColumn(
+        "own", F.coalesce("own", F.lit(0))
+    )
+    columns = ["band", "id", "score", "total", "own"]
+    left = members.join(weights, "id").filter(
+        F.col("own") <= (1 - plan.least + 1e-9) * F.col("total")
+    )
+    left = written(left.select(*columns), "bands")
     # copies of one text that has no words link with nothing
     copies = signed.filter(F.size("bands") > 0).select("id", "digest").join(
         first.withColumnRenamed("id", "b"), "digest"
@@ -248,9 +297,14 @@ def classes(documents: DataFrame, plan: NearDuplicates = NearDuplicates()) -> Da
     while True:
         group = F.pmod(F.xxhash64("id", F.lit(fan)), F.lit(fan))
         leads = left.groupBy("band", group.alias("part")).agg(
-            F.max(F.struct("score", -F.col("id"))).alias("top")
+            F.max(F.struct("score", (-F.col("id")).alias("minus"), "total", "own")).alias("top")
+        )
+        leads = leads.select(
+            "band",
+            (-F.col("top.minus")).alias("lead"),
+            F.col("top.total").alias("lead_total"),
+            F.col("top.own").alias("lead_own"),
         )
-        leads = leads.select("band", (-F.col("top.col2")).alias("lead"))
         held = left.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
         lead_known = known.select(F.col("id").alias("lead"), F.col("component").alias("lead_component"))
         leads = leads.join(lead_known, "lead", "left").withColumn(
@@ -258,7 +312,7 @@ def classes(documents: DataFrame, plan: NearDuplicates = NearDuplicates()) -> Da
         )
         pairs = (
             held.join(leads, "band")
-            .filter("component <> lead_component")
+            .filter((F.col("component") != F.col("lead_component")) & may_reach(plan.least))
             .select(F.greatest("id", "lead").alias("a"), F.least("id", "lead").alias("b"))
             .distinct()
         )
@@ -275,7 +329,7 @@ def classes(documents: DataFrame, plan: NearDuplicates = NearDuplicates()) -> Da
             F.min("component").alias("low"), F.max("component").alias("high")
         ).filter("low < high")
         left = written(
-            rest.join(mixed, "band", "left_semi").select("band", "id", "score"), "bands"
+            rest.join(mixed, "band", "left_semi").select(*columns), "bands"
         )
         if left.isEmpty():
             break
