@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import language_id, language_model, minhash, mixing, packing, quality, secrets, substrings
+from faremill.llm import language_id, language_model, minhash, mixing, packing, quality, secrets, substrings, vectors
 from faremill.llm.storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op4_code_switch_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_pivot_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.join(table(spark, sf_dir, "embeddings"))
+
+
 def op6_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.find(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    query.__name__: query for query in (op1_doubled_windows, op2_context_tree, op3_queue_packing, op4_code_switch_crf, op6_dart_minhash, op7_soft_mixing, op9_compression_bands, op10_secret_battery)
+    query.__name__: query for query in (op1_doubled_windows, op2_context_tree, op3_queue_packing, op4_code_switch_crf, op5_pivot_cells, op6_dart_minhash, op7_soft_mixing, op9_compression_bands, op10_secret_battery)
 }
 
 # zstandard ratios and spans of regular expressions have no SQL form: see tests/llm.
