@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import language_id, language_model, minhash, mixing, packing, quality, secrets, substrings, vectors
+from faremill.llm import language_id, language_model, minhash, mixing, packing, pages, quality, secrets, substrings, vectors
 from faremill.llm.storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def op10_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    query.__name__: query for query in (op1_doubled_windows, op2_context_tree, op3_queue_packing, op4_code_switch_crf, op5_pivot_cells, op6_dart_minhash, op7_soft_mixing, op9_compression_bands, op10_secret_battery)
+    query.__name__: query for query in (op1_doubled_windows, op2_context_tree, op3_queue_packing, op4_code_switch_crf, op5_pivot_cells, op6_dart_minhash, op7_soft_mixing, op8_wrapper_induction, op9_compression_bands, op10_secret_battery)
 }
 
 # zstandard ratios and spans of regular expressions have no SQL form: see tests/llm.
