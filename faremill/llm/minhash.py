@@ -190,7 +190,7 @@ def similarities(batches, length: int):
             either = int(c.sum() + d.sum()) - shared
             found[i] = shared / either if either else 0.0
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(found)], names=["a", "b", "similarity"]
+            [batch.column(0), batch.column(1), pa.array(found)], names=["low", "high", "similarity"]
         )
 
 
@@ -210,18 +210,19 @@ def numbered(documents: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, plan: NearDuplicates) -> DataFrame:
-    """Those of the pairs (a, b) that reach the least similarity on their whole texts."""
+    """Classes (low, high) of those pairs (a, b, low, high) whose whole texts reach the
+    least similarity."""
     sides = [
         texts.select(F.col("id").alias(i), F.col("text").alias(t))
         for i, t in (("a", "left_text"), ("b", "right_text"))
     ]
     rows = pairs.join(sides[0], "a").join(sides[1], "b")
-    rows = rows.select("a", "b", "left_text", "right_text")
+    rows = rows.select("low", "high", "left_text", "right_text")
     length, least = plan.shingle, plan.least
     scored = rows.mapInArrow(
-        lambda batches: similarities(batches, length), "a long, b long, similarity double"
+        lambda batches: similarities(batches, length), "low long, high long, similarity double"
     )
-    return scored.filter(F.col("similarity") >= least).select("a", "b")
+    return scored.filter(F.col("similarity") >= least).select("low", "high").distinct()
 
 
 def own_weight(texts: DataFrame, plan: NearDuplicates) -> DataFrame:
@@ -281,63 +282,76 @@ def classes(documents: DataFrame, plan: NearDuplicates = NearDuplicates()) -> Da
     weights = score.join(own_weight(texts, plan), "id", "left").withColumn(
         "own", F.coalesce("own", F.lit(0))
     )
-    columns = ["band", "id", "score", "total", "own"]
     left = members.join(weights, "id").filter(
         F.col("own") <= (1 - plan.least + 1e-9) * F.col("total")
     )
-    left = written(left.select(*columns), "bands")
-    # copies of one text that has no words link with nothing
-    copies = signed.filter(F.size("bands") > 0).select("id", "digest").join(
-        first.withColumnRenamed("id", "b"), "digest"
+    left = written(
+        left.select("band", "id", "score", "total", "own", F.col("id").alias("component")), "bands"
     )
-    links = copies.filter("id <> b").select(F.col("id").alias("a"), "b").distinct()
-    links = written(links, "copies")
+    known = None  # (id, component) of the texts that links join
     fan = 1
-    known = components(links)
     while True:
         group = F.pmod(F.xxhash64("id", F.lit(fan)), F.lit(fan))
-        leads = left.groupBy("band", group.alias("part")).agg(
-            F.max(F.struct("score", (-F.col("id")).alias("minus"), "total", "own")).alias("top")
-        )
+        top = F.struct("score", (-F.col("id")).alias("minus"), "total", "own", "component")
+        leads = left.groupBy("band", group.alias("part")).agg(F.max(top).alias("top"))
         leads = leads.select(
             "band",
             (-F.col("top.minus")).alias("lead"),
-            F.col("top.total").alias("lead_total"),
-            F.col("top.own").alias("lead_own"),
-        )
-        held = left.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        lead_known = known.select(F.col("id").alias("lead"), F.col("component").alias("lead_component"))
-        leads = leads.join(lead_known, "lead", "left").withColumn(
-            "lead_component", F.coalesce("lead_component", "lead")
+            *(F.col(f"top.{c}").alias(f"lead_{c}") for c in ("total", "own", "component")),
         )
         pairs = (
-            held.join(leads, "band")
+            left.join(leads, "band")
             .filter((F.col("component") != F.col("lead_component")) & may_reach(plan.least))
-            .select(F.greatest("id", "lead").alias("a"), F.least("id", "lead").alias("b"))
+            .select(
+                F.greatest("id", "lead").alias("a"),
+                F.least("id", "lead").alias("b"),
+                F.least("component", "lead_component").alias("low"),
+                F.greatest("component", "lead_component").alias("high"),
+            )
             .distinct()
         )
         pairs = written(pairs, "pairs")
         if not pairs.isEmpty():
-            links = written(links.unionByName(verified(pairs, texts, plan)).distinct(), "links")
-            known = components(links)
+            links = written(verified(pairs, texts, plan), "links")
+            if not links.isEmpty():
+                moved = components(links.select(F.col("high").alias("a"), F.col("low").alias("b")))
+                left = renamed(left, moved)
+                fresh = moved.select("id", "component")
+                known = fresh if known is None else renamed(known, moved).unionByName(
+                    fresh.join(known, "id", "left_anti")
+                )
+                known = written(known, "known")
         # what is not yet compared: pairs of those that did not lead, in different classes
-        rest = held.drop("component").join(
-            leads.select("band", F.col("lead").alias("id")), ["band", "id"], "left_anti"
-        )
-        rest = rest.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        rest = left.join(leads.select("band", F.col("lead").alias("id")), ["band", "id"], "left_anti")
         mixed = rest.groupBy("band").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
-        ).filter("low < high")
-        left = written(
-            rest.join(mixed, "band", "left_semi").select(*columns), "bands"
+            F.min("component").alias("least"), F.max("component").alias("most")
         )
+        rest = rest.join(mixed.filter("least < most").select("band"), "band", "left_semi")
+        left = written(rest, "bands")
         if left.isEmpty():
             break
         fan *= plan.fan
-    ids = signed.select("id").distinct()
-    return ids.join(known, "id", "left").select(
-        "id", F.coalesce("component", "id").alias("class_id")
+    # a text's class is that of the least document with the same text; texts without words
+    # are alone
+    rows = signed.select("id", "digest", (F.size("bands") > 0).alias("words")).distinct()
+    rows = rows.join(first.withColumnRenamed("id", "first"), "digest").select(
+        "id", F.when(F.col("words"), F.col("first")).otherwise(F.col("id")).alias("class_id")
+    )
+    if known is not None:
+        joined = known.select(F.col("id").alias("class_id"), "component")
+        rows = rows.join(joined, "class_id", "left").select(
+            "id", F.coalesce("component", "class_id").alias("class_id")
+        )
+    return rows.groupBy("id").agg(F.min("class_id").alias("class_id"))
+
+
+def renamed(rows: DataFrame, moved: DataFrame) -> DataFrame:
+    """Rows whose component has moved get its new name."""
+    names = moved.select(F.col("id").alias("component"), F.col("component").alias("_new"))
+    out = rows.join(names, "component", "left").withColumn(
+        "component", F.coalesce("_new", "component")
     )
+    return out.select(*rows.columns)
 
 
 def find(documents: DataFrame, plan: NearDuplicates = NearDuplicates()) -> DataFrame:
