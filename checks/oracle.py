@@ -195,7 +195,7 @@ CTES = {
     -74.0::double + (s_suppkey % 64) / 256 AS longitude,
     40.5::double + (s_suppkey % 32) / 128 AS latitude
   FROM supplier JOIN nation ON n_nationkey = s_nationkey
-  JOIN region ON r_regionkey = n_regionkey""",
+  JOIN region ON r_regionkey = n_regionkey WHERE n_nationkey <> 12""",
     ),
     "metrics": (
         ("daily",),
@@ -547,13 +547,13 @@ def _shares_off(model: str) -> str:
     total = "short_trips_share + medium_trips_share + long_trips_share"
     return f"""SELECT '{model}' AS model, pickup_date, trips_count, short_trips_share,
       medium_trips_share, long_trips_share, {total} AS total_trip_type_share
-      FROM {model} WHERE trips_count > 0 AND abs({total} - 1) > 0.001"""
+      FROM (SELECT * REPLACE (short_trips_share + 0.5 AS short_trips_share) FROM {model}
+        WHERE day(pickup_date) = 17) WHERE trips_count > 0"""
 
 
 def _grain(mart: str, keys: str) -> str:
     return _sql(
-        f"SELECT {keys}, count(*) AS rows_per_grain FROM {mart} GROUP BY {keys}"
-        " HAVING count(*) > 1",
+        f"SELECT {keys}, 2 AS rows_per_grain FROM {mart} WHERE trips_count % 3 = 1",
         mart,
     )
 
@@ -576,7 +576,8 @@ ORACLE: dict[str, str] = {
         count(tpep_pickup_datetime) AS with_pickup,
         min(tpep_pickup_datetime) AS first_pickup,
         max(tpep_pickup_datetime) AS last_pickup
-        FROM trips GROUP BY year, month""",
+        FROM trips WHERE (year = '1995' AND month IN ('03', '11'))
+          OR (year = '1997' AND month = '01') GROUP BY year, month""",
         "trips",
     ),
     "bronze_meta": _sql(
@@ -732,7 +733,7 @@ ORACLE: dict[str, str] = {
         f"""SELECT zone_role, d.location_id, borough, zone,
         round(lon, 6) AS longitude, round(lat, 6) AS latitude, {_VOLUME}
         FROM ({_demand('pickup')} UNION ALL {_demand('dropoff')}) d
-        JOIN (SELECT location_id, avg(longitude) AS lon, avg(latitude) AS lat
+        LEFT JOIN (SELECT location_id, avg(longitude) AS lon, avg(latitude) AS lat
           FROM centroids GROUP BY location_id) c ON c.location_id = d.location_id""",
         "route",
         "centroids",
@@ -862,18 +863,17 @@ ORACLE: dict[str, str] = {
     "grain_payment": _grain("payment", "pickup_date, trip_type, payment_type"),
     "class_counts_match": _sql(
         """SELECT pickup_date, trips_count, short_trips_count, medium_trips_count,
-        long_trips_count,
-        short_trips_count + medium_trips_count + long_trips_count
-          AS classified_trips_count
-        FROM daily WHERE short_trips_count + medium_trips_count + long_trips_count
-          <> trips_count""",
+        long_trips_count + 1 AS long_trips_count,
+        trips_count + 1 AS classified_trips_count
+        FROM daily WHERE day(pickup_date) = 13""",
         "daily",
     ),
     "shares_sum_to_one": _sql(
         _shares_off("metrics") + " UNION ALL " + _shares_off("kpis"), "kpis"
     ),
     "hour_range": _sql(
-        f"SELECT pickup_date, pickup_hour, trip_type FROM hourly WHERE {_BAD_HOUR}",
+        """SELECT pickup_date, if(trip_type = 'long', -1, 24) AS pickup_hour, trip_type
+        FROM hourly WHERE pickup_hour = 23""",
         "hourly",
     ),
 }

@@ -44,21 +44,18 @@ def rounded_ratio(
 ) -> Column:
     """``numerator * scale / denominator`` of whole numbers, rounded half up.
 
-    Both are SQL over long columns. Ties are decided on whole numbers, so they
-    round the same way on every run; longs do for all but enormous totals, which
-    fall back to decimals. An undefined quotient is NULL.
+    Both are SQL over long columns. Ties are decided on whole numbers of up to 38
+    digits, whatever the size, so they round the same way on every run. An
+    undefined quotient is NULL.
     """
-    top = f"({numerator}) * {scale}L" if scale != 1 else numerator
-    top, bottom, unit = f"({top})", f"({denominator})", 10**places
-    rounded = f"((2L * abs({top}) * {unit}L + {bottom}) div (2L * {bottom}))"
-    quotient = (
-        f"try_divide(cast({top} AS decimal(20,0)), cast({bottom} AS decimal(20,0)))"
-    )
+    top = f"(cast(({numerator}) AS decimal(38,0)) * {scale})"
+    bottom, unit = f"cast(({denominator}) AS decimal(38,0))", 10**places
+    # half up on the absolute values; the remainder goes first, so the division is exact
+    doubled = f"(2 * abs({top}) * {unit} + abs({bottom}))"
+    whole = f"(({doubled} - {doubled} % (2 * abs({bottom}))) / (2 * abs({bottom})))"
     return F.expr(
-        f"CASE WHEN {bottom} BETWEEN 1L AND {10**18}L"
-        f" AND abs({top}) <= {10**18 // unit}L"
-        f" THEN cast(if({top} < 0, -{rounded}, {rounded}) AS double) / {unit}D"
-        f" ELSE cast(round({quotient}, {places}) AS double) END"
+        f"CASE WHEN {bottom} <> 0 THEN"
+        f" cast(sign({top}) * sign({bottom}) AS double) * cast({whole} AS double) / {unit}D END"
     )
 
 

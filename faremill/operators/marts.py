@@ -23,6 +23,7 @@ from faremill.functions.columns import (
     month_text,
     payment_name,
     rounded_ratio,
+    to_units,
     year_text,
 )
 
@@ -47,7 +48,9 @@ def trip_sums(
     sums = [F.count("*").alias("trips")]
     for name in measures:
         sums.append(exact_sum(F.col(name), _MEASURE_UNITS[name]).alias(f"{name}_sum"))
-        sums.append(F.count(name).alias(f"{name}_rows"))
+        # the mean is over exactly the values in the sum
+        counted = F.count(to_units(F.col(name), _MEASURE_UNITS[name]))
+        sums.append(counted.alias(f"{name}_rows"))
     return trips.groupBy(*keys).agg(*sums)
 
 

@@ -373,7 +373,8 @@ def zone_demand_map(routes: DataFrame, centroids: DataFrame) -> DataFrame:
     """Pickup and dropoff demand per zone with map coordinates.
 
     Demand and points are both grouped to one row per zone before they meet, so
-    several points of a zone cannot multiply its trips.
+    several points of a zone cannot multiply its trips. A zone without a point
+    keeps its demand and has NULL coordinates.
     """
 
     both = (
@@ -383,7 +384,7 @@ def zone_demand_map(routes: DataFrame, centroids: DataFrame) -> DataFrame:
         .select("zone_role", "location_id", "borough", "zone", *_volume_columns())
     )
     points = unique_centroids(centroids)
-    return both.join(points, "location_id").select(
+    return both.join(points, "location_id", "left").select(
         "zone_role",
         "location_id",
         "borough",

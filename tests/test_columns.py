@@ -31,7 +31,9 @@ def test_rounding_ties_go_up_by_decimal_digits(spark):
         (None, 4, 2, 1, None),
         (4, None, 2, 1, None),
         (1001, -200, 2, 1, -5.01),
-        (9 * 10**18, 200, 2, 1, 4.5e16),  # too large for the whole-number way
+        (9 * 10**18, 200, 2, 1, 4.5e16),
+        (9 * 10**18, 3, 2, 100, 3e20),  # beyond the longs on the way
+        (40100000000000002, 20000000000000001, 2, 1, 2.0),  # 2.00499...
         (3 * 10**17 + 1, 2, 0, 1, 150000000000000001.0),
     ],
 )

@@ -1,11 +1,17 @@
 """Every registered query against its SQL twin, and plan-level guarantees."""
 
+import re
+
 import pytest
 
 import __spark_entry__
 from checks.compare import differences, oracle_connection
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
+
 
-QUERIES = __spark_entry__.queries()
+SHOW_BROKEN_ROWS = ("grain_hourly", "grain_route", "grain_payment", "class_counts_match")
+SHOW_BROKEN_ROWS += ("shares_sum_to_one", "hour_range")
 
 
 @pytest.fixture(scope="module")
@@ -14,13 +20,16 @@ def con(small):
 
 
 def test_every_query_has_a_twin():
-    assert set(QUERIES) == set(__spark_entry__.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(__spark_entry__.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, small, con, name):
     frame = QUERIES[name](spark, small)
     assert differences(frame, con, name) == []
+    if name in SHOW_BROKEN_ROWS:
+        assert not frame.isEmpty()
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
@@ -38,5 +47,9 @@ def test_defects_of_every_kind_occur(spark, small):
 
 def test_only_needed_columns_are_read(spark, small):
     plan = QUERIES["peak_hours"](spark, small)._jdf.queryExecution().executedPlan().toString()
-    assert "l_returnflag" not in plan and "l_discount" not in plan
-    assert "c_mktsegment" not in plan
+    read = "".join(re.findall(r"ReadSchema: (.*)", plan))
+    assert "l_shipdate" in read and "c_mktsegment" not in read
+    plan = QUERIES["scan_month"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    read = "".join(re.findall(r"ReadSchema: (.*)", plan))
+    assert "l_shipdate" in read
+    assert not re.search("l_extendedprice|l_tax|l_discount|l_quantity", read)
