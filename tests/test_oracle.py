@@ -47,9 +47,9 @@ def test_defects_of_every_kind_occur(spark, small):
 
 def test_only_needed_columns_are_read(spark, small):
     plan = QUERIES["peak_hours"](spark, small)._jdf.queryExecution().executedPlan().toString()
-    read = "".join(re.findall(r"ReadSchema: (.*)", plan))
+    read = "".join(re.findall(r"FileScan parquet \[([^\]]*)\]", plan))
     assert "l_shipdate" in read and "c_mktsegment" not in read
     plan = QUERIES["scan_month"](spark, small)._jdf.queryExecution().executedPlan().toString()
-    read = "".join(re.findall(r"ReadSchema: (.*)", plan))
+    read = "".join(re.findall(r"FileScan parquet \[([^\]]*)\]", plan))
     assert "l_shipdate" in read
     assert not re.search("l_extendedprice|l_tax|l_discount|l_quantity", read)
