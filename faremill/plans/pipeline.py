@@ -51,6 +51,11 @@ class Pipeline:
         """Raw files to bronze. Each task reads one file's split, so the months
         come out partitioned without a shuffle."""
         raw = files.read_raw(self.spark, self.layers, months)
+        # a month without rows would leave its former rows in every layer; the counts
+        # come from footers and folder names alone
+        empty = sorted(set(months) - set(self.serving.month_counts(raw)))
+        if empty:
+            raise gates.GateError(f"raw files without rows: {empty}")
         bronze = quality.add_ingest_metadata(raw)
         files.write_months(bronze, self.layers.bronze)
         self._note(self.layers.bronze, months, bronze)
@@ -159,9 +164,22 @@ class Pipeline:
         self.gate_marts(months)
 
     def publish(self, months: Sequence[Period], suffix: str = "") -> None:
+        """Replace the months in every serving table, then gate what is there.
+
+        A month counts as processed only with rows in all tables. The table that is
+        loaded last gives up its months first and again if a gate fails, so a run that
+        ends halfway leaves them unprocessed and process_new() takes them up.
+        """
         self.serving.create(suffix)
+        marker = list(schemas.MARTS)[-1]
+        self.serving.delete_months(marker, months, suffix)
         for name in schemas.MARTS:
             self.serving.replace_months(name, self.mart(name, months), months, suffix)
+        try:
+            self.gate_serving_months(months, suffix)
+        except gates.GateError:
+            self.serving.delete_months(marker, months, suffix)
+            raise
 
     def process(self, months: Sequence[Period]) -> list[Period]:
         """Take months from raw files to the serving tables."""
@@ -183,8 +201,11 @@ class Pipeline:
         return sorted(set(self.raw_periods()) - set(self.serving.processed_periods()))
 
     def process_new(self) -> list[Period]:
-        """Process new and partly loaded months; none is a success."""
-        return self.process(self.new_periods())
+        """Process new and partly loaded months, then the models; none is a success."""
+        done = self.process(self.new_periods())
+        if done:
+            self.build_models()
+        return done
 
     def refresh(self, config: Mapping[str, Any] | None = None) -> list[Period]:
         """Replace the requested months and leave the others alone."""
@@ -212,10 +233,10 @@ class Pipeline:
             )
             gates.check_full_range(profile.first(), name, first, last)
 
-    def gate_serving_months(self, months: Sequence[Period]) -> None:
-        self.serving.check_exist()
+    def gate_serving_months(self, months: Sequence[Period], suffix: str = "") -> None:
+        self.serving.check_exist(suffix)
         for name in schemas.MARTS:
-            table = self.serving.table(name).where(periods.in_periods(months))
+            table = self.serving.table(name, suffix).where(periods.in_periods(months))
             self.warnings += gates.serving_month_gate(name, _BOUNDS).enforce(
                 table, PERIOD, months
             )
@@ -247,14 +268,14 @@ class Pipeline:
             model.createOrReplaceTempView(name)
             self._test_model(name, model)
         self._assert_none(staged, metrics)
-        table = self.serving.name("mart_daily_trip_kpis")
-        models.daily_kpis(metrics).write.mode("overwrite").saveAsTable(table)
-        kpis = self.spark.table(table)
+        kpis = models.daily_kpis(metrics)
         self._test_model("mart_daily_trip_kpis", kpis)
         self._must_be_empty(
             "KPI class shares sum to one", data_tests.share_sum_mismatches(kpis)
         )
-        return kpis
+        table = self.serving.name("mart_daily_trip_kpis")
+        kpis.write.mode("overwrite").saveAsTable(table)
+        return self.spark.table(table)
 
     @staticmethod
     def _test_model(name: str, model: DataFrame) -> None:

@@ -110,16 +110,21 @@ class ServingTables:
         tables = {mart: self.table(mart) for mart in schemas.MARTS}
         return collect_periods(fully_processed(tables))
 
+    def delete_months(
+        self, mart: str, periods: Sequence[Period], suffix: str = ""
+    ) -> None:
+        """Drop the months' partitions of one table."""
+        chosen = sorted({normalize_period(*period) for period in periods})
+        if not chosen:
+            return
+        parts = ", ".join(f"PARTITION (year='{y}', month='{m}')" for y, m in chosen)
+        self.spark.sql(f"ALTER TABLE {self.name(mart, suffix)} DROP IF EXISTS {parts}")
+        if not self.table(mart, suffix).where(in_periods(chosen)).isEmpty():
+            raise RuntimeError(f"{mart}: months were not deleted")
+
     def delete_month(self, period: Period) -> None:
-        year, month = normalize_period(*period)
         for mart in schemas.MARTS:
-            self.spark.sql(
-                f"ALTER TABLE {self.name(mart)} DROP IF EXISTS "
-                f"PARTITION (year='{year}', month='{month}')"
-            )
-            left = self.table(mart).where(in_periods([(year, month)]))
-            if not left.isEmpty():
-                raise RuntimeError(f"{mart}: {year}-{month} was not deleted")
+            self.delete_months(mart, [period])
 
     def truncate(self) -> None:
         for mart in schemas.MARTS:
@@ -131,12 +136,21 @@ class ServingTables:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(mart, suffix)}")
 
     def swap_in(self, suffix: str = STAGING) -> None:
-        """Put staged tables in place and keep the former ones for rollback."""
-        self.check_exist(suffix)
-        self.drop(PREVIOUS)
-        for mart in schemas.MARTS:
+        """Put staged tables in place and keep the former ones for rollback.
+
+        A swap that was cut off is finished by calling it again: a table that is no
+        longer staged has been swapped before.
+        """
+        exists = self.spark.catalog.tableExists
+        staged = [m for m in schemas.MARTS if exists(self.name(m, suffix))]
+        if not staged or any(
+            m not in staged and not exists(self.name(m)) for m in schemas.MARTS
+        ):
+            self.check_exist(suffix)
+        for mart in staged:
             live = self.name(mart)
-            if self.spark.catalog.tableExists(live):
+            if exists(live):
+                self.spark.sql(f"DROP TABLE IF EXISTS {live}{PREVIOUS}")
                 self.spark.sql(f"ALTER TABLE {live} RENAME TO {live}{PREVIOUS}")
             self.spark.sql(f"ALTER TABLE {live}{suffix} RENAME TO {live}")
 

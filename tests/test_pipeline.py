@@ -14,7 +14,7 @@ from faremill.operators.periods import first_of_month, in_periods, last_of_month
 from faremill.plans.pipeline import Pipeline
 from faremill.sources import layers as files
 from faremill.sources.layers import Layers
-from faremill.sources.serving import PREVIOUS, ServingTables
+from faremill.sources.serving import PREVIOUS, STAGING, ServingTables
 
 MONTHS = [("1998", "05"), ("1998", "06"), ("1998", "07")]
 REBUILD = {
@@ -311,3 +311,54 @@ def test_zone_points_are_checked_before_they_replace(pipeline, tmp_path):
     with pytest.raises(GateError, match="expected 263 rows"):
         pipeline.load_centroids(str(path))
     assert table.count() == 263
+
+
+def test_a_raw_month_that_lost_its_rows_is_refused(pipeline, trips, tmp_path):
+    write_raw(trips, tmp_path, MONTHS[:2])
+    assert pipeline.process(MONTHS[:2]) == MONTHS[:2]
+    before = snapshot(pipeline)
+    write_raw(trips, tmp_path, MONTHS[1:2], lambda frame, period: frame.head(0))
+    fresh = Pipeline(pipeline.spark, pipeline.layers, pipeline.serving)
+    with pytest.raises(GateError, match="without rows.*'06'"):
+        fresh.process(MONTHS[:2])
+    assert snapshot(pipeline) == before
+
+
+def test_a_half_published_month_is_taken_up_again(pipeline, trips, tmp_path, monkeypatch):
+    write_raw(trips, tmp_path, MONTHS[:1])
+    pipeline.process(MONTHS[:1])
+    write_raw(trips, tmp_path, MONTHS[:1], lambda frame, period: frame.tail(2))
+    replace = ServingTables.replace_months
+    third = list(schemas.MARTS)[2]
+
+    def failing(self, mart, *rest):
+        if mart == third:
+            raise OSError("disk full")
+        replace(self, mart, *rest)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ServingTables, "replace_months", failing)
+        with pytest.raises(OSError):
+            pipeline.process(MONTHS[:1])
+    assert pipeline.new_periods() == MONTHS[:1]
+    assert pipeline.process_new() == MONTHS[:1]
+    for mart in (schemas.DAILY, schemas.ROUTE):
+        total = pipeline.serving.table(mart.name).agg(F.sum("trips_count")).first()[0]
+        assert total == 2
+    # the models follow a run that processed something
+    kpis = pipeline.spark.table(pipeline.serving.name("mart_daily_trip_kpis"))
+    assert kpis.agg(F.sum("trips_count")).first()[0] == 2
+
+
+def test_a_swap_that_was_cut_off_is_finished_by_the_next(pipeline, trips, tmp_path):
+    write_raw(trips, tmp_path, MONTHS[:1])
+    pipeline.process(MONTHS[:1])
+    pipeline.publish(MONTHS[:1], STAGING)
+    serving, first = pipeline.serving, list(schemas.MARTS)[0]
+    live = serving.name(first)
+    pipeline.spark.sql(f"ALTER TABLE {live} RENAME TO {live}{PREVIOUS}")
+    pipeline.spark.sql(f"ALTER TABLE {live}{STAGING} RENAME TO {live}")
+    serving.swap_in(STAGING)
+    assert serving.processed_periods() == MONTHS[:1]
+    with pytest.raises(GateError, match="missing serving tables"):
+        serving.swap_in(STAGING)
