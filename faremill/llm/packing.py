@@ -9,6 +9,7 @@ monotone queue gives it in constant time.
 
 from __future__ import annotations
 
+import os
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,8 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
-from faremill.llm.words import slices
+from faremill.llm.words import kept_in_worker, slices
 
 
 @dataclass(frozen=True)
@@ -31,7 +33,8 @@ class Packing:
     """length: tokens of a window; end_id: closes each document; the penalties are in
     tokens of padding: for a window at all, for a cut after a sentence and within one.
 
-    step: within a sentence longer than this, cuts are allowed at this distance; flush:
+    exact: the least power of two that is tried as the length of an unpadded window; step:
+    within a sentence longer than this, cuts are allowed at this distance; flush:
     tokens that are planned together; cache: distinct words whose ids a task keeps.
     """
 
@@ -42,6 +45,7 @@ class Packing:
     sentence_cost: float = 4.0
     inner_cost: float = 48.0
     step: int = 256
+    exact: int = 128
     flush: int = 1 << 18
     cache: int = 400_000
 
@@ -53,22 +57,36 @@ SCHEMA = (
 
 
 STOPS = frozenset(".!?…")
+SIGNS = "!#$%&()*+,-./:;<=>?@[]^_{|}~"  # ASCII signs but quotes and the backslash
 CLOSER_SET = frozenset("\"'”»)")
 CLOSERS = "\"'”»)"
 
 
+class ByteNames(dict):
+    """For str.translate: how byte-level vocabularies spell a character."""
+
+    def __missing__(self, code: int) -> str:
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self[code] = found = spell(chr(code))[0][0]
+        return found
+
+
 class WordTokens:
     """Token ids of texts. The tokenizer never joins what white space parts, so the ids of
     a text are those of its words in turn, and each distinct word is encoded once."""
 
     def __init__(self, path: str, cache: int):
+        # Spark's tasks already use all cores
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.cache = cache
+        self.letters = ByteNames()
         self.reset()
 
     def reset(self) -> None:
         self.known: dict[str, int] = {}
-        self.pool: list[np.ndarray] = []
+        self.units: dict[str, list[int]] = {}  # signs behind words
+        self.stems: dict[str, list[int]] = {}
         self.starts = np.zeros(0, dtype=np.int64)
         self.lengths = np.zeros(0, dtype=np.int64)
         self.ends_sentence = np.zeros(0, dtype=bool)
@@ -84,8 +102,7 @@ class WordTokens:
             first = len(self.known)
             self.known.update(zip(fresh, range(first, first + len(fresh)), strict=True))
             codes[new] = first + np.arange(len(fresh))
-            encoded = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-            found = [x.ids for x in encoded]
+            found = self.encode_words(fresh)
             lengths = np.fromiter(map(len, found), np.int64, len(found))
             begin = len(self.ids) + np.cumsum(lengths) - lengths
             flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
@@ -96,6 +113,39 @@ class WordTokens:
             self.ends_sentence = np.concatenate([self.ends_sentence, np.array(stops, dtype=bool)])
         return codes
 
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        """Ids of each word. Latin letters with signs behind, the usual case, are at most two
+        units of the vocabulary's splitting rule, letters in lower case and signs, which go
+        to the merging step directly; the apostrophe starts units of its own. Letters
+        beyond ASCII are spelt by the vocabulary's names for their bytes."""
+        out: list[list[int] | None] = [None] * len(words)
+        rest = []
+        units, stems, tokenize = self.units, self.stems, self.tokenizer.model.tokenize
+        for i, word in enumerate(words):
+            stem = word.rstrip(SIGNS)
+            if stem.isalpha() and (stem.isascii() or (max(stem) < "\u0250" and "\u0130" not in stem)):
+                stem = stem.lower()
+                ids = stems.get(stem)
+                if ids is None:
+                    unit = stem if stem.isascii() else stem.translate(self.letters)
+                    stems[stem] = ids = [t.id for t in tokenize(unit)]
+                if len(stem) < len(word):
+                    tail = word[len(stem) :]
+                    if tail not in units:
+                        units[tail] = [t.id for t in tokenize(tail)]
+                    ids = ids + units[tail]
+                out[i] = ids
+            else:
+                rest.append(i)
+        for at in range(0, len(rest), 4096):
+            some = rest[at : at + 4096]
+            encoded = self.tokenizer.encode_batch_fast(
+                [words[i] for i in some], add_special_tokens=False
+            )
+            for i, x in zip(some, encoded, strict=True):
+                out[i] = x.ids
+        return out
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids in order; tokens of each text; token positions after each sentence."""
         split = pc.ascii_split_whitespace(texts)
@@ -142,7 +192,7 @@ def choose_cuts(at: np.ndarray, costs: np.ndarray, plan: Packing) -> list[int]:
     A window of a power of two tokens is not padded, so such exact lengths are tried too.
     """
     exact: dict[int, list[int]] = {}
-    size = 1
+    size = plan.exact
     while size < plan.length:
         before = np.searchsorted(at, at - size)
         for j in np.flatnonzero((at >= size) & (at[before] == at - size)):
@@ -240,7 +290,9 @@ class Stream:
 
 
 def pack_texts(batches, plan: Packing, task: int) -> Iterator[pa.RecordBatch]:
-    encoder = WordTokens(plan.tokenizer, plan.cache)
+    encoder = kept_in_worker(
+        f"words of {plan.tokenizer}", lambda: WordTokens(plan.tokenizer, plan.cache)
+    )
     stream = Stream(plan, task << 40)
     for batch in slices(batches):
         ids, tokens, sentences = encoder.encode(batch.column(1).fill_null(""))

@@ -7,6 +7,8 @@ for every text of a slice at once.
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -129,6 +131,14 @@ def _shift(values: np.ndarray, by: int) -> np.ndarray:
     return out
 
 
+def kept_in_worker(name: str, make):
+    """make(), once in the life of a Python worker: Spark reuses workers for many tasks."""
+    store = sys.modules.setdefault("_kept_in_worker", types.ModuleType("_kept_in_worker"))
+    if not hasattr(store, name):
+        setattr(store, name, make())
+    return getattr(store, name)
+
+
 def slices(batches, column: str = "text", most_bytes: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """Record batches cut so that each holds about most_bytes of text, or one longer text."""
     for batch in batches:
