@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faremill.llm.minhash import numbered, vertex
+from faremill.llm.minhash import vertex
 from faremill.llm.storage import written
 from faremill.llm.words import Words, grams, mix, slices
 
@@ -38,6 +38,14 @@ class Windows:
         return self.length // 2
 
 
+def numbered(documents: DataFrame) -> DataFrame:
+    """id, text and tag: a few bits of the text that tell apart rows of one doc_id."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return documents.select(
+        vertex(documents).alias("id"), text.alias("text"), F.hash(text).alias("tag")
+    )
+
+
 def anchors(hashes: np.ndarray, left: np.ndarray, plan: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts of full windows; for each, its half-length window of least hash; all hashes
     of half-length windows."""
@@ -57,7 +65,7 @@ def anchors(hashes: np.ndarray, left: np.ndarray, plan: Windows) -> tuple[np.nda
 
 
 def first_level(batches, plan: Windows):
-    """(hash, id, digest, at) of each half-length window that is looked at."""
+    """(hash, id, tag, at) of each half-length window that is looked at."""
     for batch in slices(batches):
         words = Words(batch.column(1))
         _, chosen, half = anchors(words.hashes(), words.left(), plan)
@@ -70,12 +78,12 @@ def first_level(batches, plan: Windows):
                 batch.column(2).take(pa.array(doc)),
                 pa.array((chosen - words.first[doc]).astype(np.int32)),
             ],
-            names=["hash", "id", "digest", "at"],
+            names=["hash", "id", "tag", "at"],
         )
 
 
 def second_level(batches, plan: Windows):
-    """(hash, check, id, digest, at, parts) of each window around a survivor.
+    """(hash, check, id, tag, at, parts) of each window around a survivor.
 
     The rows have the survivors' places and counts as `found`. check: 31 more bits of hash;
     parts: into how many groups the copies of the window are dealt.
@@ -104,7 +112,7 @@ def second_level(batches, plan: Windows):
                 pa.array((starts - words.first[doc]).astype(np.int32)),
                 pa.array((alive[chosen] // plan.part + 1).astype(np.int32)),
             ],
-            names=["hash", "check", "id", "digest", "at", "parts"],
+            names=["hash", "check", "id", "tag", "at", "parts"],
         )
 
 
@@ -141,43 +149,43 @@ def later_copies(batches):
                 *(batch.column(i).filter(keep) for i in (0, 1, 3, 4, 5)),
                 pa.array(later).filter(keep),
             ],
-            names=["hash", "check", "id", "digest", "at", "later"],
+            names=["hash", "check", "id", "tag", "at", "later"],
         )
 
 
 def repeated(documents: DataFrame, plan: Windows = Windows()) -> DataFrame:
-    """(id, digest, starts): for each text, starts of its windows that also start earlier.
+    """(id, tag, starts): for each text, starts of its windows that also start earlier.
 
     Texts that are whole copies of an earlier document are not in it; see copies().
     """
-    rows = numbered(documents).select("id", "text", "digest")
+    rows = numbered(documents).select("id", "text", "tag")
     looked = rows.mapInArrow(
-        lambda batches: first_level(batches, plan), "hash long, id long, digest binary, at int"
+        lambda batches: first_level(batches, plan), "hash long, id long, tag int, at int"
     )
     counts = looked.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     survivors = (
         looked.join(counts, "hash")
-        .groupBy("id", "digest")
+        .groupBy("id", "tag")
         .agg(F.collect_set(F.struct("at", "n")).alias("found"))
     )
-    survivors = survivors.join(copies(documents), ["id", "digest"], "left_anti")
+    survivors = survivors.join(copies(documents), ["id", "tag"], "left_anti")
     survivors = written(survivors, "survivors")
     around = (
-        rows.join(survivors, ["id", "digest"])
-        .select("id", "text", "digest", "found")
+        rows.join(survivors, ["id", "tag"])
+        .select("id", "text", "tag", "found")
         .mapInArrow(
             lambda batches: second_level(batches, plan),
-            "hash long, check int, id long, digest binary, at int, parts int",
+            "hash long, check int, id long, tag int, at int, parts int",
         )
     )
     part = F.pmod(F.xxhash64("id", "at"), F.col("parts")).cast("int")
-    keyed = around.select("hash", "check", part.alias("part"), "id", "digest", "at", "parts")
+    keyed = around.select("hash", "check", part.alias("part"), "id", "tag", "at", "parts")
     keyed = keyed.repartition("hash", "check", "part").sortWithinPartitions(
         "hash", "check", "part", "id", "at"
     )
     marked = written(
         keyed.mapInArrow(
-            later_copies, "hash long, check int, id long, digest binary, at int, later boolean"
+            later_copies, "hash long, check int, id long, tag int, at int, later boolean"
         ),
         "windows",
     )
@@ -189,19 +197,19 @@ def repeated(documents: DataFrame, plan: Windows = Windows()) -> DataFrame:
     )
     return (
         marked.filter("later")
-        .select("id", "digest", "at")
-        .unionByName(spread.select("id", "digest", "at"))
-        .groupBy("id", "digest")
+        .select("id", "tag", "at")
+        .unionByName(spread.select("id", "tag", "at"))
+        .groupBy("id", "tag")
         .agg(F.collect_set("at").alias("starts"))
     )
 
 
 def copies(documents: DataFrame) -> DataFrame:
-    """(id, digest) of texts that a document of smaller id also has."""
-    keyed = numbered(documents).select("id", "digest")
+    """(id, tag) of texts that a document of smaller id also has."""
+    keyed = numbered(documents).select("id", "tag", F.unhex(F.md5("text")).alias("digest"))
     first = keyed.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     first = first.filter("first < last").drop("last")
-    return keyed.join(first, "digest").filter("id > first").select("id", "digest").distinct()
+    return keyed.join(first, "digest").filter("id > first").select("id", "tag").distinct()
 
 
 def removed_words(batches, plan: Windows):
@@ -262,7 +270,7 @@ def dedup(documents: DataFrame, plan: Windows = Windows()) -> DataFrame:
     starts = repeated(documents, plan)
     marks = starts.withColumn("whole", F.lit(False)).unionByName(
         copies(documents).select(
-            "id", "digest", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("whole")
+            "id", "tag", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("whole")
         )
     )
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -270,10 +278,10 @@ def dedup(documents: DataFrame, plan: Windows = Windows()) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         vertex(documents).alias("id"),
         text.alias("text"),
-        F.unhex(F.md5(text)).alias("digest"),
+        F.hash(text).alias("tag"),
     )
     return (
-        rows.join(marks, ["id", "digest"], "left")
+        rows.join(marks, ["id", "tag"], "left")
         .select("doc_id", "text", "starts", "whole")
         .mapInArrow(
             lambda batches: removed_words(batches, plan),
