@@ -9,6 +9,7 @@ their weighted Jaccard similarity.
 
 from __future__ import annotations
 
+import itertools
 import math
 from dataclasses import dataclass
 
@@ -33,13 +34,15 @@ def _times(n: int) -> np.uint64:
 class NearDuplicates:
     """shingle: words of a shingle; least: similarity of a link; bands of rows coordinates
     each: a pair at the least similarity shares a band with a chance of
-    1 - (1 - 0.8^5)^24 = 0.9999."""
+    1 - (1 - 0.8^5)^24 = 0.9999. fan: how many times more texts lead in each round; part:
+    texts of a band that one group compares with the leads."""
 
     shingle: int = 5
     least: float = 0.8
     bands: int = 24
     rows: int = 5
-    fan: int = 4
+    fan: int = 32
+    part: int = 2048
 
     @property
     def size(self) -> int:
@@ -237,11 +240,81 @@ def own_weight(texts: DataFrame, plan: NearDuplicates) -> DataFrame:
     return alone.filter("texts = 1").groupBy("id").agg(F.sum("n").alias("own"))
 
 
-def may_reach(least: float):
-    """Whether two texts can be so similar: what one has alone is in no intersection."""
-    shared = F.least(F.col("total") - F.col("own"), F.col("lead_total") - F.col("lead_own"))
-    either = F.greatest(F.col("total") + F.col("lead_own"), F.col("lead_total") + F.col("own"))
-    return shared >= F.lit(least - 1e-9) * either
+BUCKETS = 128
+
+
+def bucket_rows(batches, length: int):
+    """(id, weights): a text's weight of shingles in each of a fixed number of buckets."""
+    for batch in slices(batches):
+        found = Shingles(Words(batch.column(1)), length)
+        cell = found.doc * BUCKETS + (found.value % _U(BUCKETS)).astype(np.int64)
+        sums = np.bincount(cell, found.count, len(batch) * BUCKETS)
+        bytes_ = np.minimum(sums, 255).astype(np.uint8).reshape(len(batch), BUCKETS)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([x.tobytes() for x in bytes_], pa.binary())],
+            names=["id", "weights"],
+        )
+
+
+def may_reach(a: dict, b: dict, least: float) -> np.ndarray:
+    """Which of the texts of a (rows) and b (columns) can be so similar.
+
+    What a text has alone is in no intersection, and in each bucket the intersection
+    weighs at most the lesser of the two weights; a full byte says nothing.
+    """
+    total, own = a["total"][:, None], a["own"][:, None]
+    most = np.minimum(total - own, b["total"] - b["own"])
+    both = np.maximum(total + b["own"], b["total"] + own)
+    out = (most >= (least - 1e-9) * both) & (a["component"][:, None] != b["component"])
+    i, j = np.nonzero(out)
+    for low in range(0, len(i), 1 << 14):
+        x, y = i[low : low + (1 << 14)], j[low : low + (1 << 14)]
+        met = np.minimum(a["weights"][x], b["weights"][y])
+        shared = met.sum(axis=1, dtype=np.int64)
+        either = a["total"][x] + b["total"][y] - shared
+        out[x, y] = (shared >= (least - 1e-9) * either) | (met == 255).any(axis=1)
+    return out
+
+
+def lead_pairs(batches, least: float):
+    """Pairs of a lead and another text of its band that may link, with their components.
+
+    Rows come by group, leads first. Only a group's leads and one batch are in memory.
+    """
+    group, leads = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        band, part, role = (np.asarray(batch.column(i)).astype(np.int64) for i in range(3))
+        columns = {
+            name: np.asarray(batch.column(i))
+            for i, name in ((3, "id"), (4, "total"), (5, "own"), (6, "component"))
+        }
+        columns["weights"] = np.frombuffer(
+            b"".join(batch.column(7).to_pylist()), dtype=np.uint8
+        ).reshape(len(batch), BUCKETS)
+        change = np.flatnonzero((np.diff(band) != 0) | (np.diff(part) != 0) | (np.diff(role) != 0))
+        edges = [0, *(change + 1).tolist(), len(band)]
+        for low, high in itertools.pairwise(edges):
+            rows = {k: v[low:high] for k, v in columns.items()}
+            if (band[low], part[low]) != group:
+                group, leads = (band[low], part[low]), None
+            if role[low] == 0:
+                leads = rows if leads is None else {k: np.concatenate((leads[k], v)) for k, v in rows.items()}
+            elif leads is not None:
+                for at in range(0, high - low, 1024):
+                    some = {k: v[at : at + 1024] for k, v in rows.items()}
+                    i, j = np.nonzero(may_reach(leads, some, least))
+                    a, b = leads["id"][i], some["id"][j]
+                    c, d = leads["component"][i], some["component"][j]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(f(x, y))
+                            for x, y in ((a, b), (c, d))
+                            for f in (np.maximum, np.minimum)
+                        ],
+                        names=["a", "b", "high", "low"],
+                    )
 
 
 def classes(documents: DataFrame, plan: NearDuplicates = NearDuplicates()) -> DataFrame:
@@ -254,7 +327,7 @@ def classes(documents: DataFrame, plan: NearDuplicates = NearDuplicates()) -> Da
     similarity of any two texts, and only pairs that can reach 0.8 are compared. Of the
     texts that share a band, each is compared first with
     the one that shares most bands over all; while different classes are left in a band,
-    four times as many others are compared with all that are left, until every pair that
+    many more of the others are compared with all that are left, until every pair that
     could join two classes has been. So no link between classes is lost, and a large group
     around a common original needs one comparison for each member, not all pairs.
     """
@@ -279,37 +352,42 @@ def classes(documents: DataFrame, plan: NearDuplicates = NearDuplicates()) -> Da
         .dropDuplicates(["id"]),
         "texts",
     )
-    weights = score.join(own_weight(texts, plan), "id", "left").withColumn(
-        "own", F.coalesce("own", F.lit(0))
+    length, least = plan.shingle, plan.least
+    buckets = texts.mapInArrow(
+        lambda batches: bucket_rows(batches, length), "id long, weights binary"
     )
+    weights = score.join(own_weight(texts, plan), "id", "left").join(buckets, "id")
+    weights = weights.withColumn("own", F.coalesce("own", F.lit(0)))
     left = members.join(weights, "id").filter(
         F.col("own") <= (1 - plan.least + 1e-9) * F.col("total")
     )
     left = written(
-        left.select("band", "id", "score", "total", "own", F.col("id").alias("component")), "bands"
+        left.select(
+            "band", "n", "id", "score", "total", "own", F.col("id").alias("component"), "weights"
+        ),
+        "bands",
     )
     known = None  # (id, component) of the texts that links join
     fan = 1
     while True:
         group = F.pmod(F.xxhash64("id", F.lit(fan)), F.lit(fan))
-        top = F.struct("score", (-F.col("id")).alias("minus"), "total", "own", "component")
-        leads = left.groupBy("band", group.alias("part")).agg(F.max(top).alias("top"))
-        leads = leads.select(
-            "band",
-            (-F.col("top.minus")).alias("lead"),
-            *(F.col(f"top.{c}").alias(f"lead_{c}") for c in ("total", "own", "component")),
+        top = left.groupBy("band", group.alias("group")).agg(
+            F.max(F.struct("score", (-F.col("id")).alias("minus"))).alias("top")
         )
-        pairs = (
-            left.join(leads, "band")
-            .filter((F.col("component") != F.col("lead_component")) & may_reach(plan.least))
-            .select(
-                F.greatest("id", "lead").alias("a"),
-                F.least("id", "lead").alias("b"),
-                F.least("component", "lead_component").alias("low"),
-                F.greatest("component", "lead_component").alias("high"),
-            )
-            .distinct()
+        top = top.select("band", (-F.col("top.minus")).alias("id"))
+        leads = left.join(top, ["band", "id"], "left_semi")
+        shared = ["band", "part", "role", "id", "total", "own", "component", "weights"]
+        # a large band is dealt to parts, each with all of the leads
+        parts = F.ceil(F.col("n") / plan.part).cast("int")
+        other = left.withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int"))
+        first_rows = leads.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        rows = other.withColumn("role", F.lit(1)).select(*shared).unionByName(
+            first_rows.withColumn("role", F.lit(0)).select(*shared)
         )
+        rows = rows.repartition("band", "part").sortWithinPartitions("band", "part", "role")
+        pairs = rows.mapInArrow(
+            lambda batches: lead_pairs(batches, least), "a long, b long, high long, low long"
+        ).distinct()
         pairs = written(pairs, "pairs")
         if not pairs.isEmpty():
             links = written(verified(pairs, texts, plan), "links")
@@ -322,7 +400,7 @@ def classes(documents: DataFrame, plan: NearDuplicates = NearDuplicates()) -> Da
                 )
                 known = written(known, "known")
         # what is not yet compared: pairs of those that did not lead, in different classes
-        rest = left.join(leads.select("band", F.col("lead").alias("id")), ["band", "id"], "left_anti")
+        rest = left.join(top, ["band", "id"], "left_anti")
         mixed = rest.groupBy("band").agg(
             F.min("component").alias("least"), F.max("component").alias("most")
         )
