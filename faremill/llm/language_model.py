@@ -28,12 +28,13 @@ END = 0xFF  # no UTF-8 text has this byte; it ends each text and stands before i
 class Model:
     """depth: bytes of context at most; share: training bytes to a context at least, as
     one in so many (so at most depth * share + 1 contexts, of 2 KB each where they are
-    broadcast); head: words told apart from the joined rest, as one in so many tokens;
+    broadcast); head: the most frequent words, so many at most, whose counts are broadcast
+    while those of the others are joined;
     folds, held: documents whose crc32(doc_id) mod folds is held are not learned from."""
 
     depth: int = 5
-    share: int = 1 << 14
-    head: int = 1 << 15
+    share: int = 1 << 16
+    head: int = 1 << 19
     folds: int = 5
     held: int = 1
 
@@ -46,6 +47,16 @@ class Tree:
     child: np.ndarray
     cost: np.ndarray
 
+    def __post_init__(self):
+        """two: the longest context of up to two bytes, by the last and the one before."""
+        first = np.where(self.child[0] >= 0, self.child[0], 0)
+        longer = self.child[first]
+        self.two = np.where((first[:, None] > 0) & (longer >= 0), longer, first[:, None])
+        self.depth = np.zeros(len(self.child), dtype=np.int8)
+        self.depth[first[first > 0]] = 1
+        both = self.two[self.two != np.broadcast_to(first[:, None], self.two.shape)]
+        self.depth[both] = 2
+
 
 def lowered(texts: pa.Array) -> pa.Array:
     """Texts with A to Z in lower case, other characters as they are."""
@@ -77,9 +88,12 @@ class Counter:
         self.most, self.parts, self.size = most, [], 0
 
     def add(self, key: np.ndarray, check: np.ndarray, n: np.ndarray | None = None) -> None:
-        order = np.argsort(key, kind="stable")
-        key, check = key[order], check[order]
-        n = np.ones(len(key), np.int64) if n is None else n[order]
+        if n is None and not check.any():
+            key, n = np.sort(key), np.ones(len(key), np.int64)  # far faster than argsort
+        else:
+            order = np.argsort(key)
+            key, check = key[order], check[order]
+            n = np.ones(len(key), np.int64) if n is None else n[order]
         new = np.ones(len(key), dtype=bool)
         # equal keys with unlike checks are as good as never met: they may stay apart
         new[1:] = (key[1:] != key[:-1]) | (check[1:] != check[:-1])
@@ -201,10 +215,10 @@ def weigh(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Tree:
             both = np.logaddexp(own, split) - np.log(2)
             stop = np.where(has[:, None], np.exp(own - np.log(2) - both), 1.0)
             below = np.where(has[:, None], both, own)
-            rests[d] = rest
         else:
-            stop, below, rests[d] = np.ones_like(own), own, counts
-        weights[d] = stop
+            stop, below, rest = np.ones_like(own), own, counts
+        rests[d] = estimate(rest).astype(np.float32)
+        weights[d] = stop.astype(np.float32)
     base = np.cumsum([0, *(len(x[0]) for x in levels)])
     child = np.full((base[-1], 256), -1, dtype=np.int32)
     cost = np.zeros((base[-1], 256), dtype=np.float32)
@@ -215,7 +229,7 @@ def weigh(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Tree:
         before, room = (0.0, 1.0) if d == 0 else (mixed[parent], left[parent])
         mixed = before + room * weights[d] * estimate(counts)
         left = room * (1 - weights[d])
-        ones = np.clip(mixed + left * estimate(rests[d]), 1e-12, 1 - 1e-12)
+        ones = np.clip(mixed + left * rests[d], 1e-12, 1 - 1e-12)
         total = np.zeros((len(keys), 1))
         for b in range(8):
             at = ones[:, 1 << b : 2 << b]
@@ -266,25 +280,33 @@ def score_texts(batches, plan: Model, tree: Tree, head: np.ndarray, head_score:
     for batch in slices(batches):
         texts = lowered(batch.column(3))
         stream, places, doc = symbols(texts, plan.depth)
-        context = np.zeros(len(places), dtype=np.int32)
-        active = np.arange(len(places))
-        for d in range(1, plan.depth + 1):
-            longer = tree.child[context[active], stream[places[active] - d]]
+        context = tree.two[stream[places - 1], stream[places - 2]]
+        deep = tree.depth[context] == 2
+        active, at = np.flatnonzero(deep), places[deep]
+        for d in range(3, plan.depth + 1):
+            longer = tree.child[context[active], stream[at - d]]
             found = longer >= 0
-            active = active[found]
+            active, at = active[found], at[found]
             if not len(active):
                 break
             context[active] = longer[found]
         score = np.bincount(doc, tree.cost[context, stream[places]], len(batch))
         words = Words(texts)
         key, check = word_keys(words)
-        at = np.minimum(np.searchsorted(head, key), len(head) - 1) if len(head) else None
-        known = head[at] == key if len(head) else np.zeros(len(key), dtype=bool)
-        base = np.bincount(words.doc[known], head_score[at[known]], len(batch)) if len(head) else np.zeros(len(batch))
+        distinct, number = np.unique(key, return_inverse=True)
+        at = np.searchsorted(head, distinct)
+        at[at == len(head)] = 0
+        common = (head[at] == distinct) if len(head) else np.zeros(len(distinct), dtype=bool)
+        known = common[number]
+        base = np.zeros(len(batch))
+        if known.any():
+            worth = head_score[at][number[known]]
+            base = np.bincount(words.doc[known], worth, len(batch))
         n_known = np.bincount(words.doc[known], minlength=len(batch))
         # other words, once for each text, with their counts
         other = np.flatnonzero(~known)
-        order = other[np.lexsort((key[other], words.doc[other]))]
+        # by text, then by word: numbers of distinct words stand for their hashes
+        order = other[np.argsort(words.doc[other] * (len(distinct) + 1) + number[other])]
         new = np.ones(len(order), dtype=bool)
         new[1:] = (key[order[1:]] != key[order[:-1]]) | (words.doc[order[1:]] != words.doc[order[:-1]])
         first = np.flatnonzero(new)
@@ -312,6 +334,19 @@ def score_texts(batches, plan: Model, tree: Tree, head: np.ndarray, head_score:
         )
 
 
+def least_of_head(vocabulary: DataFrame, plan: Model) -> float:
+    """A count that at most `head` words reach; from counts of words by size, a few hundred."""
+    size = F.floor(F.log2(F.col("n").cast("double")) * 16).alias("size")
+    rows = vocabulary.groupBy(size).agg(F.count(F.lit(1)).alias("words")).collect()
+    words, least = 0, float("inf")
+    for r in sorted(rows, key=lambda r: -r["size"]):
+        words += r["words"]
+        if words > plan.head:
+            break
+        least = 2.0 ** (r["size"] / 16) * (1 - 1e-12)
+    return least
+
+
 def score(documents: DataFrame, plan: Model = Model()) -> DataFrame:
     """One row per document row: base_score of a word unigram and score of the tree, log10.
 
@@ -341,7 +376,7 @@ def score(documents: DataFrame, plan: Model = Model()) -> DataFrame:
     words, kinds = vocabulary.agg(F.sum("n"), F.count(F.lit(1))).first()
     tokens, distinct = int(words or 0) + ends, int(kinds) + (1 if ends else 0)
     floor = tokens + 0.5 * (distinct + 1)
-    often = F.col("n") >= max(1.0, tokens / plan.head)
+    often = F.col("n") >= least_of_head(vocabulary, plan)
     top = vocabulary.filter(often).toArrow()  # at most `head` words
     key = np.asarray(top.column("key")).view(np.uint64)
     order = np.argsort(key)
