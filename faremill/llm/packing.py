@@ -47,7 +47,7 @@ class Packing:
     step: int = 256
     exact: int = 128
     flush: int = 1 << 18
-    cache: int = 400_000
+    cache: int = 120_000
 
 
 SCHEMA = (
@@ -137,8 +137,8 @@ class WordTokens:
                 out[i] = ids
             else:
                 rest.append(i)
-        for at in range(0, len(rest), 4096):
-            some = rest[at : at + 4096]
+        for at in range(0, len(rest), 1024):
+            some = rest[at : at + 1024]
             encoded = self.tokenizer.encode_batch_fast(
                 [words[i] for i in some], add_special_tokens=False
             )
@@ -294,7 +294,7 @@ def pack_texts(batches, plan: Packing, task: int) -> Iterator[pa.RecordBatch]:
         f"words of {plan.tokenizer}", lambda: WordTokens(plan.tokenizer, plan.cache)
     )
     stream = Stream(plan, task << 40)
-    for batch in slices(batches):
+    for batch in slices(batches, most_bytes=1 << 20):
         ids, tokens, sentences = encoder.encode(batch.column(1).fill_null(""))
         stream.add(batch.column(0).to_pylist(), ids, tokens, sentences)
         if len(stream.ids) >= plan.flush and (packed := stream.flush(last=False)):
