@@ -3,9 +3,10 @@
 Each byte is eight binary decisions, told apart by the bits before. Each decision has a
 tree of the bytes before it: a Krichevsky-Trofimov estimate at every depth, mixed by the
 weights that context-tree weighting gives to stopping there or looking further back.
-Contexts that hold less than a fixed share of the training bytes are not told apart: their
-bytes form the rest leaf of the context one byte shorter. So the model has a bounded
-number of contexts, while its counts come from every training byte.
+Every context of the training bytes is kept. Contexts that end in the same two bytes are
+weighed together in a task; the driver weighs only what is above them. The texts are read
+in chunks, and each chunk gets the costs of its own distinct strings, so no task or
+machine holds the whole model.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,15 +28,18 @@ END = 0xFF  # no UTF-8 text has this byte; it ends each text and stands before i
 
 @dataclass(frozen=True)
 class Model:
-    """depth: bytes of context at most; share: training bytes to a context at least, as
-    one in so many (so at most depth * share + 1 contexts, of 2 KB each where they are
-    broadcast); head: the most frequent words, so many at most, whose counts are broadcast
-    while those of the others are joined;
+    """depth: bytes of context at most, up to 7; share: 0 keeps every context, otherwise one
+    with less than one in so many training bytes is part of the rest leaf of the context one
+    byte shorter; head: the most frequent words, so many at most, whose counts are broadcast
+    while those of the others are joined; chunk: bytes of text that share a table of costs;
+    part: distinct strings of a task that weighs contexts, on average;
     folds, held: documents whose crc32(doc_id) mod folds is held are not learned from."""
 
-    depth: int = 5
-    share: int = 1 << 16
+    depth: int = 6
+    share: int = 0
     head: int = 1 << 19
+    chunk: int = 1 << 26
+    part: int = 1 << 19
     folds: int = 5
     held: int = 1
 
@@ -42,21 +47,11 @@ class Model:
 @dataclass
 class Tree:
     """child: for each context and byte before it, the longer context or -1; cost: log10
-    probability of each byte after each context."""
+    probability of each byte after each context. The dense form, for small trees."""
 
     child: np.ndarray
     cost: np.ndarray
 
-    def __post_init__(self):
-        """two: the longest context of up to two bytes, by the last and the one before."""
-        first = np.where(self.child[0] >= 0, self.child[0], 0)
-        longer = self.child[first]
-        self.two = np.where((first[:, None] > 0) & (longer >= 0), longer, first[:, None])
-        self.depth = np.zeros(len(self.child), dtype=np.int8)
-        self.depth[first[first > 0]] = 1
-        both = self.two[self.two != np.broadcast_to(first[:, None], self.two.shape)]
-        self.depth[both] = 2
-
 
 def lowered(texts: pa.Array) -> pa.Array:
     """Texts with A to Z in lower case, other characters as they are."""
@@ -112,17 +107,18 @@ class Counter:
             self.add(*(np.concatenate(x) for x in zip(*parts, strict=True)))
             self.most = most
 
-    def take(self, kind: int):
+    def take(self, kind: int, chunk: int):
         self.merge()
         for key, check, n in self.parts:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(len(key), kind, dtype=np.int8)),
+                    pa.array(np.full(len(key), chunk, dtype=np.int64)),
                     pa.array(key.view(np.int64)),
                     pa.array(check),
                     pa.array(n),
                 ],
-                names=["kind", "key", "check", "n"],
+                names=["kind", "chunk", "key", "check", "n"],
             )
         self.parts, self.size = [], 0
 
@@ -133,22 +129,52 @@ def word_keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return hashes, (mix(words.hashes(1) + _U(3)) >> _U(33)).astype(np.int32)
 
 
-def gather(batches, plan: Model):
-    """Counts of the training texts: kind 0, bytes with the bytes before; kind 1, words."""
-    grams, vocabulary = Counter(), Counter()
+def chunks(batches, plan: Model):
+    """Slices of texts with the number of their chunk, the same for the same partition."""
+    first, done = TaskContext.get().partitionId() << 32, 0
     for batch in slices(batches):
-        texts = lowered(batch.column(0))
-        stream, places, _ = symbols(texts, plan.depth)
-        key = np.zeros(len(places), dtype=np.uint64)
-        for d in range(plan.depth + 1):
-            key |= stream[places - d].astype(np.uint64) << _U(8 * d)
-        grams.add(key, np.zeros(len(key), dtype=np.int32))
-        vocabulary.add(*word_keys(Words(texts)))
-        for kind, counter in enumerate((grams, vocabulary)):
-            if counter.size > counter.most:
-                yield from counter.take(kind)
-    for kind, counter in enumerate((grams, vocabulary)):
-        yield from counter.take(kind)
+        yield first + done // plan.chunk, batch
+        done += batch.column(batch.schema.get_field_index("text")).nbytes
+
+
+def strings(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each place to code, its byte and the bytes before as a key; its text."""
+    stream, places, doc = symbols(texts, depth)
+    key = np.zeros(len(places), dtype=np.uint64)
+    for d in range(depth + 1):
+        key |= stream[places - d].astype(np.uint64) << _U(8 * d)
+    return key, doc
+
+
+def gather(batches, plan: Model):
+    """Kind 0: distinct bytes with the bytes before of each chunk, with their count in
+    training texts, which may be 0; kind 1: words of the training texts. Columns of the
+    batches: held_out, text."""
+    grams, vocabulary, last = Counter(), Counter(), None
+    for chunk, batch in chunks(batches, plan):
+        if chunk != last and last is not None:
+            yield from grams.take(0, last)
+        last = chunk
+        held = np.asarray(batch.column(0).to_numpy(zero_copy_only=False), dtype=bool)
+        for out in (False, True):
+            own = pa.array(held == out)
+            texts = lowered(batch.column(1).filter(own))
+            if not len(texts):
+                continue
+            key, _ = strings(texts, plan.depth)
+            if out:
+                key = np.unique(key)
+                grams.add(key, np.zeros(len(key), np.int32), np.zeros(len(key), np.int64))
+            else:
+                grams.add(key, np.zeros(len(key), np.int32))
+                vocabulary.add(*word_keys(Words(texts)))
+        if grams.size > grams.most:
+            yield from grams.take(0, chunk)
+        if vocabulary.size > vocabulary.most:
+            yield from vocabulary.take(1, 0)
+    if last is not None:
+        yield from grams.take(0, last)
+    yield from vocabulary.take(1, 0)
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -241,56 +267,213 @@ def weigh(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Tree:
     return Tree(child, cost)
 
 
-def learn_tree(grams: DataFrame, plan: Model) -> Tree:
-    """The tree of all contexts with their share of the bytes. grams: key and n."""
-    total = int(grams.agg(F.sum("n")).first()[0] or 0)
-    levels = F.explode(F.sequence(F.lit(0), F.lit(plan.depth))).alias("d")
-    bits = (F.col("d") + 1) * 8
-    mask = F.expr("shiftleft(1L, (d + 1) * 8) - 1")
-    deep = grams.select("key", "n", levels).groupBy("d", F.col("key").bitwiseAND(mask).alias("key"))
-    deep = written(deep.agg(F.sum("n").alias("n")), "contexts")
-    context = F.shiftright("key", 8).alias("context")
-    least = max(1.0, total / plan.share)
-    kept = deep.groupBy("d", context).agg(F.sum("n").alias("all")).filter(
-        (F.col("all") >= least) | (F.col("d") == 0)
+TOP = 2  # bytes that contexts weighed in one task have in common
+
+
+@dataclass
+class Level:
+    """Decisions of the contexts of one length that occur in some strings.
+
+    code: the bits before the decision, then the context from its last byte on, ascending;
+    kept: whether the context is told apart; below: log of the weighted probability; stop:
+    weight of stopping; rest: chance of a one in the rest leaf; total, has: training bytes
+    of the context and whether a longer one is kept; parent: places in the level above.
+    """
+
+    code: np.ndarray
+    zeros: np.ndarray
+    ones: np.ndarray
+    total: np.ndarray
+    kept: np.ndarray
+    below: np.ndarray
+    stop: np.ndarray
+    rest: np.ndarray
+    has: np.ndarray
+    parent: np.ndarray | None = None
+
+    def chance(self) -> np.ndarray:
+        return (self.ones + 0.5) / (self.zeros + self.ones + 1.0)
+
+
+def deepest(code, zeros, ones, total, least: float, below=None) -> Level:
+    own = block(zeros, ones) if below is None else below
+    still = np.ones(len(code))
+    return Level(code, zeros, ones, total, total >= least, own, still, still / 2, still > 1)
+
+
+def shorter(longer: Level, least: float, context: Level | None, bits: int) -> Level:
+    """The level above; sets the parents of the longer one. context: the level above for
+    the first decision of a byte, one for each context; bits: of a context there."""
+    code = longer.code >> _U(8)
+    new = np.ones(len(code), dtype=bool)
+    new[1:] = code[1:] != code[:-1]
+    longer.parent, code = np.cumsum(new) - 1, code[new]
+
+    def summed(x):
+        return np.bincount(longer.parent, x, len(code))
+
+    zeros, ones = summed(longer.zeros), summed(longer.ones)
+    rest0, rest1 = summed(longer.zeros * ~longer.kept), summed(longer.ones * ~longer.kept)
+    split = summed(longer.below * longer.kept) + block(rest0, rest1)
+    if context is None:
+        total, has = zeros + ones, summed(longer.kept.astype(float)) > 0
+    else:
+        at = np.searchsorted(context.code, code & _U((1 << bits) - 1))
+        total, has = context.total[at], context.has[at]
+    own = block(zeros, ones)
+    both = np.logaddexp(own, split) - np.log(2)
+    return Level(
+        code,
+        zeros,
+        ones,
+        total,
+        (total >= least) if bits else np.ones(len(code), dtype=bool),
+        np.where(has, both, own),
+        np.where(has, np.exp(own - np.log(2) - both), 1.0),
+        (rest1 + 0.5) / (rest0 + rest1 + 1.0),
+        has,
     )
-    rows = deep.withColumn("context", F.shiftright("key", 8)).join(kept, ["d", "context"])
-    # at most one in `share` at each depth, with 256 bytes each
-    table = rows.select("d", "context", F.col("key").bitwiseAND(255).alias("byte"), "n").toArrow()
-    d, context, byte, n = (np.asarray(table.column(i)) for i in range(4))
-    out, above = [], None
-    for depth in range(plan.depth + 1):
-        own = d == depth
-        keys = np.unique(context[own])
-        counts = np.zeros((len(keys), 256))
-        counts[np.searchsorted(keys, context[own]), byte[own]] = n[own]
-        if depth == 0:
-            keys, parent = np.zeros(1, np.int64), np.zeros(1, np.int64)
-            counts = counts if len(counts) else np.zeros((1, 256))
-        else:
-            parent = np.searchsorted(above, keys & ((1 << (8 * (depth - 1))) - 1))
-        out.append((keys, parent, counts))
-        above = keys
-    return weigh(out)
 
 
-def score_texts(batches, plan: Model, tree: Tree, head: np.ndarray, head_score: np.ndarray, unknown: float):
+def climbed(level: Level, depth: int, until: int, least: float, first: list[Level]) -> list[Level]:
+    """The level of this depth and those above, down to length until. first: the same for
+    the first decision of a byte, empty for that itself."""
+    out = [level]
+    for d in range(depth - 1, until - 1, -1):
+        context = first[depth - d] if first else None
+        out.append(shorter(out[-1], least, context, 8 * d))
+    return out
+
+
+def descended(levels: list[Level], mixed, left, rest) -> np.ndarray:
+    """Chance of a one at each decision of the deepest level (the first in the list), from
+    what the level above the last one has, at the places of its own."""
+    for i in range(len(levels) - 1, -1, -1):
+        level = levels[i]
+        mixed = mixed + left * np.where(level.kept, level.stop * level.chance(), rest)
+        left = left * np.where(level.kept, 1 - level.stop, 0.0)
+        if i:
+            parent = levels[i - 1].parent
+            mixed, left, rest = mixed[parent], left[parent], level.rest[parent]
+    return mixed
+
+
+def read_grams(batches) -> tuple[np.ndarray, np.ndarray]:
+    parts = [(np.asarray(x.column(0)).view(np.uint64), np.asarray(x.column(1))) for x in batches if x.num_rows]
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    key, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return key, n.astype(np.float64)
+
+
+def grown(key: np.ndarray, n: np.ndarray, plan: Model, least: float):
+    """For each bit of a byte: its number, place of each string in the deepest level, bit
+    of each string, levels down to that of the contexts weighed in one task."""
+    byte, first = key & _U(255), []
+    for b in range(8):
+        code = byte >> _U(8 - b)
+        for d in range(1, plan.depth + 1):
+            code = (code << _U(8)) | ((key >> _U(8 * d)) & _U(255))
+        distinct, place = np.unique(code, return_inverse=True)
+        bit = ((byte >> _U(7 - b)) & _U(1)).astype(bool)
+        zeros = np.bincount(place, n * ~bit, len(distinct))
+        ones = np.bincount(place, n * bit, len(distinct))
+        total = zeros + ones
+        if first:
+            total = first[0].total[
+                np.searchsorted(first[0].code, distinct & _U((1 << 8 * plan.depth) - 1))
+            ]
+        levels = climbed(
+            deepest(distinct, zeros, ones, total, least), plan.depth, min(TOP, plan.depth), least, first
+        )
+        first = first or levels
+        yield b, place, bit, levels
+
+
+def weigh_up(batches, plan: Model, least: float):
+    """What the longest contexts give to those of two bytes, a row for each decision."""
+    key, n = read_grams(batches)
+    if len(key):
+        for b, _, _, levels in grown(key, n, plan, least):
+            x = levels[-1]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(x.code), b, dtype=np.int8)),
+                    pa.array(x.code.view(np.int64)),
+                    *(pa.array(c) for c in (x.zeros, x.ones, x.total, x.below)),
+                ],
+                names=["bit", "code", "zeros", "ones", "total", "below"],
+            )
+
+
+def weigh_top(table: pa.Table, plan: Model, least: float) -> list[tuple]:
+    """For each bit of a byte, the decisions of contexts of one byte: codes, chances of a
+    one so far, weight left, chances in the rest leaf."""
+    top = min(TOP, plan.depth)
+    columns = [np.asarray(table.column(i)) for i in range(6)]
+    out, first = [], []
+    for b in range(8):
+        own = columns[0] == b
+        code, zeros, ones, total, below = (c[own] for c in columns[1:])
+        order = np.argsort(code)
+        code, zeros, ones, total, below = (c[order] for c in (code, zeros, ones, total, below))
+        level = deepest(code.view(np.uint64), zeros, ones, total, least, below)
+        levels = climbed(level, top, 0, least, first)
+        first = first or levels
+        mixed, left, rest = np.zeros(1), np.ones(1), np.full(1, 0.5)
+        for d in range(len(levels) - 1, 0, -1):
+            x = levels[d]
+            if d < len(levels) - 1:
+                mixed, left, rest = mixed[x.parent], left[x.parent], rest[x.parent]
+            mixed = mixed + left * np.where(x.kept, x.stop * x.chance(), rest)
+            left, rest = left * np.where(x.kept, 1 - x.stop, 0.0), x.rest
+        out.append((levels[1].code, mixed, left, rest))
+    return out
+
+
+def weigh_down(batches, plan: Model, least: float, above: list[tuple]):
+    """log10 of the chance of each string's last byte after the bytes before."""
+    key, n = read_grams(batches)
+    if not len(key):
+        return
+    cost = np.zeros(len(key))
+    for b, place, bit, levels in grown(key, n, plan, least):
+        code, mixed, left, rest = above[b]
+        at = np.searchsorted(code, levels[-1].code >> _U(8))
+        one = np.clip(descended(levels, mixed[at], left[at], rest[at])[place], 1e-12, 1 - 1e-12)
+        cost += np.log10(np.where(bit, one, 1 - one))
+    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(cost)], names=["key", "cost"])
+
+
+def costs_of(grams: DataFrame, plan: Model) -> DataFrame:
+    """key and cost of all strings by the tree of their counts. grams: distinct key, n."""
+    rows, total = grams.agg(F.count(F.lit(1)), F.sum("n")).first()
+    least = max(1.0, int(total or 0) / plan.share) if plan.share else 1.0
+    shards = max(grams.sparkSession.sparkContext.defaultParallelism, -(-rows // plan.part))
+    dealt = grams.select("key", "n").repartition(shards, F.shiftright("key", 8).bitwiseAND(0xFFFF))
+    top = dealt.mapInArrow(
+        lambda batches: weigh_up(batches, plan, least),
+        "bit byte, code long, zeros double, ones double, total double, below double",
+    ).toArrow()  # at most 255 decisions of each two bytes
+    above = grams.sparkSession.sparkContext.broadcast(weigh_top(top, plan, least) if rows else [])
+    found = dealt.mapInArrow(
+        lambda batches: weigh_down(batches, plan, least, above.value), "key long, cost double"
+    )
+    return written(found, "costs")
+
+
+def score_texts(batches, plan: Model, own, head: np.ndarray, head_score: np.ndarray, unknown: float):
     """For each row: tokens, those of the head and their score, the model's score, bytes,
-    and the other words with their counts."""
+    and the other words with their counts. own: strings, ascending, and their costs."""
+    strings_, costs = own
     for batch in slices(batches):
         texts = lowered(batch.column(3))
-        stream, places, doc = symbols(texts, plan.depth)
-        context = tree.two[stream[places - 1], stream[places - 2]]
-        deep = tree.depth[context] == 2
-        active, at = np.flatnonzero(deep), places[deep]
-        for d in range(3, plan.depth + 1):
-            longer = tree.child[context[active], stream[at - d]]
-            found = longer >= 0
-            active, at = active[found], at[found]
-            if not len(active):
-                break
-            context[active] = longer[found]
-        score = np.bincount(doc, tree.cost[context, stream[places]], len(batch))
+        key, doc = strings(texts, plan.depth)
+        distinct, number = np.unique(key, return_inverse=True)
+        at = np.minimum(np.searchsorted(strings_, distinct), len(strings_) - 1)
+        if len(strings_) == 0 or (strings_[at] != distinct).any():
+            raise RuntimeError("the documents were dealt out in another way than at first")
+        score = np.bincount(doc, costs[at][number], len(batch))
         words = Words(texts)
         key, check = word_keys(words)
         distinct, number = np.unique(key, return_inverse=True)
@@ -364,13 +547,16 @@ def score(documents: DataFrame, plan: Model = Model()) -> DataFrame:
     )
     training = rows.filter(~F.col("held_out")).select("text")
     counts = written(
-        training.mapInArrow(lambda batches: gather(batches, plan), "kind byte, key long, check int, n long")
-        .groupBy("kind", "key", "check")
-        .agg(F.sum("n").alias("n")),
+        rows.select("held_out", "text").mapInArrow(
+            lambda batches: gather(batches, plan), "kind byte, chunk long, key long, check int, n long"
+        ),
         "counts",
     )
-    tree = learn_tree(counts.filter("kind = 0").select("key", "n"), plan)
-    vocabulary = counts.filter("kind = 1").select("key", "check", "n")
+    strings_ = counts.filter("kind = 0").select("chunk", "key", "n")
+    costs = costs_of(written(strings_.groupBy("key").agg(F.sum("n").alias("n")), "grams"), plan)
+    vocabulary = written(
+        counts.filter("kind = 1").groupBy("key", "check").agg(F.sum("n").alias("n")), "vocabulary"
+    )
     # every training text has one end
     ends = training.count()
     words, kinds = vocabulary.agg(F.sum("n"), F.count(F.lit(1))).first()
@@ -384,20 +570,38 @@ def score(documents: DataFrame, plan: Model = Model()) -> DataFrame:
     head_score = np.log10((np.asarray(top.column("n"))[order] + 0.5) / floor)
     end_score = float(np.log10((ends + 0.5) / floor))
     spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast((tree.child, tree.cost, head, head_score))
+    shared = spark.sparkContext.broadcast((head, head_score))
+    read = "row long, doc_id long, held_out boolean, text string, chunk long"
 
-    def scored(batches):
-        child, cost, own, own_score = shared.value
-        return score_texts(batches, plan, Tree(child, cost), own, own_score, end_score)
+    def numbered(batches):
+        for chunk, batch in chunks(batches, plan):
+            chunk = pa.array(np.full(len(batch), chunk, dtype=np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, chunk], names=[*batch.schema.names, "chunk"]
+            )
 
-    texts = rows.select("row", "doc_id", "held_out", "text")
+    def scored(texts: pa.Table, own: pa.Table) -> pa.Table:
+        key = own.column(1).to_numpy().view(np.uint64)
+        order = np.argsort(key)
+        own = key[order], own.column(2).to_numpy()[order]
+        return pa.Table.from_batches(
+            score_texts(texts.to_batches(), plan, own, *shared.value, end_score), arrow_schema
+        )
+
+    schema = (
+        "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, "
+        "score double, n_symbols long, tail array<struct<key:long,check:int,times:int>>"
+    )
+    word = pa.struct([("key", pa.int64()), ("check", pa.int32()), ("times", pa.int32())])
+    arrow_schema = pa.schema(
+        [("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_())]
+        + [("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64())]
+        + [("score", pa.float64()), ("n_symbols", pa.int64()), ("tail", pa.list_(word))]
+    )
+    texts = rows.select("row", "doc_id", "held_out", "text").mapInArrow(numbered, read)
+    own = strings_.select("chunk", "key").join(costs, "key").select("chunk", "key", "cost")
     found = written(
-        texts.mapInArrow(
-            scored,
-            "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, "
-            "score double, n_symbols long, tail array<struct<key:long,check:int,times:int>>",
-        ),
-        "scores",
+        texts.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInArrow(scored, schema), "scores"
     )
     tail = found.select("row", F.explode("tail").alias("w")).select(
         "row", F.col("w.key").alias("key"), F.col("w.check").alias("check"), F.col("w.times").alias("times")

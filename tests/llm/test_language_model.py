@@ -8,7 +8,7 @@ import pytest
 
 from faremill.llm import language_model as lm
 from faremill.llm import queries
-from tests.llm.conftest import frame, messy_rows, words
+from tests.llm.conftest import frame, messy_rows, prose, words
 
 
 def low(text):
@@ -124,3 +124,58 @@ def test_query_beats_even_chances(spark, small):
     check_base(found, rows)
     out = [r.bits_per_byte for r in found if r.held_out]
     assert sum(out) / len(out) < 3.2
+
+
+def test_rare_contexts_of_many_bytes_count(spark):
+    """A context met once in a large text still decides, whatever the size of the corpus."""
+    assert not held(0) and not held(2)
+    rare = "qj0xw7zk"
+    common = [(0, prose(s, 400), "en") for s in range(40)]
+    rows = [*common, (2, " ".join([rare] * 3), "en")]
+    found = {r.doc_id: r.score for r in lm.score(frame(spark, rows)).collect() if r.doc_id == 2}
+    wide = {r.doc_id: r.score for r in lm.score(frame(spark, rows), lm.Model(share=1 << 10)).collect() if r.doc_id == 2}
+    assert found[2] > wide[2] + 5
+    # chunks and tasks of any size give the same scores
+    cut = lm.score(frame(spark, rows).repartition(3), lm.Model(chunk=1 << 12, part=1 << 10)).collect()
+    assert next(r.score for r in cut if r.doc_id == 2) == pytest.approx(found[2], rel=1e-9)
+
+
+@pytest.mark.parametrize("share", [0, 60])
+def test_sharded_tree_equals_the_dense_one(spark, share):
+    plan = lm.Model(depth=3, share=share)
+    texts = [prose(s, 12) for s in range(4)]
+    counts = [Counter() for _ in range(plan.depth + 1)]
+    for t in texts:
+        data = bytes([lm.END] * plan.depth) + t.encode() + bytes([lm.END])
+        for k in range(plan.depth, len(data)):
+            for d in range(plan.depth + 1):
+                counts[d][sum(data[k - i] << 8 * (i - 1) for i in range(1, d + 1)), data[k]] += 1
+    total = sum(counts[0].values())
+    least = max(1, total / share) if share else 1
+    levels, above = [], None
+    for d, own in enumerate(counts):
+        size = Counter()
+        for (c, _), n in own.items():
+            size[c] += n
+        keys = np.array(sorted(c for c, n in size.items() if n >= least or d == 0), dtype=np.int64)
+        table = np.zeros((len(keys), 256))
+        for (c, byte), n in own.items():
+            if c in set(keys.tolist()):
+                table[np.searchsorted(keys, c), byte] += n
+        parent = np.searchsorted(above, keys & ((1 << 8 * (d - 1)) - 1)) if d else np.zeros(1, int)
+        levels.append((keys, parent, table))
+        above = keys
+    tree = lm.weigh(levels)
+    rows = [(i, t, "en") for i, t in zip([0, 2, 4, 6], texts)]
+    assert not any(held(i) for i, *_ in rows)
+    for r in lm.score(frame(spark, rows), plan).collect():
+        data = bytes([lm.END] * plan.depth) + dict((i, t) for i, t, _ in rows)[r.doc_id].encode() + bytes([lm.END])
+        expected = 0.0
+        for k in range(plan.depth, len(data)):
+            at = 0
+            for d in range(1, plan.depth + 1):
+                if tree.child[at, data[k - d]] < 0:
+                    break
+                at = tree.child[at, data[k - d]]
+            expected += float(tree.cost[at, data[k]])
+        assert r.score == pytest.approx(expected, rel=1e-4)
