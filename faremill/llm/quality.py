@@ -29,9 +29,10 @@ class Bands:
     """Allowed bytes before over bytes after compression.
 
     limits: (log2 of the bytes, least, most) of the whole text, straight lines between;
-    chunk: bytes of a chunk, chunk_least and chunk_most: its band. A text is rejected
-    outside its band, or if more than bad_share of its full chunks are outside theirs.
-    The band for a length leaves a margin around all labelled good texts.
+    chunk: bytes of a chunk, which has the least of its own length and chunk_most. A text
+    is rejected outside its band, or if more than bad_share of its chunks are outside
+    theirs. The last chunk ends with the text and may overlap the one before; a shorter
+    text is one chunk. The band for a length leaves a margin around all labelled good texts.
     """
 
     limits: tuple[tuple[float, float, float], ...] = (
@@ -51,9 +52,8 @@ class Bands:
         (24, 1.65, 4.0),
     )
     chunk: int = 1024
-    chunk_least: float = 1.2
     chunk_most: float = 2.06
-    bad_share: float = 0.5
+    bad_share: float = 0.1
     level: int = 3
 
 
@@ -102,18 +102,24 @@ def repeated_lines(text: str) -> int:
 
 
 def compression(text: bytes, packer: zstandard.ZstdCompressor, bands: Bands) -> tuple[bool, float, int, int]:
-    """Whether the text is within its bands; its ratio, full chunks and bad ones."""
+    """Whether the text is within its bands; its ratio, chunks and bad ones."""
     if not text:
         return True, 1.0, 0, 0
     ratio = len(text) / len(packer.compress(text))
     sizes, least, most = zip(*bands.limits, strict=True)
-    least, most = (np.interp(math.log2(len(text)), sizes, x) for x in (least, most))
-    chunks = len(text) // bands.chunk
+    low, high = (np.interp(math.log2(len(text)), sizes, x) for x in (least, most))
+    good = bool(low <= ratio <= high)
+    if len(text) <= bands.chunk:
+        return good, ratio, 1, int(not good)
+    chunk_least = np.interp(math.log2(bands.chunk), sizes, least)
+    last = len(text) - bands.chunk
+    starts = [*range(0, last, bands.chunk), last]
     bad = 0
-    for at in range(0, chunks * bands.chunk, bands.chunk):
+    for at in starts:
         part = bands.chunk / len(packer.compress(text[at : at + bands.chunk]))
-        bad += not bands.chunk_least <= part <= bands.chunk_most
-    good = least <= ratio <= most and (not chunks or bad <= bands.bad_share * chunks)
+        bad += not chunk_least <= part <= bands.chunk_most
+    chunks = len(starts)
+    good = good and bad <= bands.bad_share * chunks
     return good, ratio, chunks, bad
 
 

@@ -70,3 +70,22 @@ def test_query_and_labels(spark, small):
     bad = [r.kept for r in found if labels.get(r.doc_id) == 0 and not r.base_failed]
     assert sum(good) >= 0.99 * len(good) > 0
     assert sum(bad) < 0.6 * max(1, len(bad))
+
+
+@pytest.mark.parametrize("size", [2000, 4000, 16000])
+@pytest.mark.parametrize("noise", [0.0, 0.35, 0.45])
+def test_noise_in_the_tail_of_good_text(spark, small, size, noise):
+    import zstandard
+
+    packer = zstandard.ZstdCompressor(level=3)
+    good = [r.doc_id for r in spark.read.parquet(f"{small}/labels.parquet").collect() if r.quality == 1 and r.toxic == 0]
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang").collect()
+    clean = [r for r in docs if r.doc_id in set(good) and r.lang == "en"]
+    text = " ".join(dict.fromkeys(r.text for r in clean)).encode()[:size]
+    junk = base64.b64encode(random.Random(size).randbytes(size)).decode().replace("A", " ").encode()
+    cut = round(size * noise)
+    text = text[: size - cut] + junk[:cut]
+    assert len(text) == size
+    kept, _, chunks, bad = quality.compression(text, packer, quality.Bands())
+    assert chunks == -(-size // 1024) and kept == (not noise)
+    assert (bad > 0) == bool(noise)
