@@ -31,7 +31,8 @@ class Mixture:
 
     The budget is what lets good text keep its tokens. sample: labelled rows to learn from
     at most, chosen by a hash of doc_id; features: hashed words, a power of two; snap:
-    rates this close to a whole number are rounded to it; seed: of the rounding of others.
+    rates this close to a whole number are rounded to it, which moves the totals away from
+    the targets, so 0 unless asked for; seed: of the rounding of rates to copies.
     """
 
     weights: tuple[float, float, float] = (0.99, 0.01, 0.0)
@@ -40,7 +41,7 @@ class Mixture:
     epochs: int = 60
     rounds: int = 60
     tolerance: float = 1e-4
-    snap: float = 0.15
+    snap: float = 0.0
     seed: int = 17
 
 
@@ -242,8 +243,8 @@ def fit(known: DataFrame, plan: Mixture) -> tuple[list, float, np.ndarray, np.nd
 def with_rates(documents: DataFrame, labels: DataFrame, plan: Mixture = Mixture()) -> DataFrame:
     """The documents with _tokens, posteriors, _rate and _copies (how often each is taken).
 
-    copies is the rate rounded up or down by a hash of doc_id so that its mean is the rate;
-    rates within `snap` of a whole number are rounded to it. A null or empty text has no
+    copies is the rate rounded up or down by a hash of doc_id so that its mean is the rate.
+    A null or empty text has no
     tokens. Equal rows get equal rates. Without labels, or without documents, rates are 1.
     """
     weights = learn(documents, labels, plan)

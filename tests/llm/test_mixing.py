@@ -73,3 +73,19 @@ def test_query(spark, small):
     total = sum(r.n_tokens * r.rate for r in rows)
     assert sum(r.n_tokens * r.rate * r.p_toxic for r in rows) < 0.02 * total
     assert sum(r.n_tokens * r.rate * r.p_good for r in rows) == pytest.approx(0.99 * total, rel=0.02)
+
+
+def test_production_parameters_meet_the_targets_in_copies(spark):
+    docs, labels = [], []
+    for i in range(3000):
+        low = i % 5 == 0
+        docs.append((i, prose(i % 400, 30) + " ### $$$ %%% ***" * 3 * low, "en"))
+        labels.append((i, int(not low), 0, 5))
+    plan = mixing.Mixture()
+    rows = mixing.rates(frame(spark, docs), spark.createDataFrame(labels, LABELS), plan).toPandas()
+    p = rows[["p_good", "p_low", "p_toxic"]].to_numpy()
+    for times, near in ((rows.rate, 1e-3), (rows.copies, 6e-3)):
+        totals = (rows.n_tokens * times).to_numpy() @ p
+        assert np.allclose(totals / totals.sum(), plan.weights, atol=near)
+    low = rows[rows.doc_id % 5 == 0]
+    assert 0 < low.rate.mean() < 0.15 and low.copies.sum() > 0
