@@ -6,6 +6,8 @@ pickup, the supplier's and customer's nations give the zones.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,9 +70,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_trips(
+    spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None
+) -> DataFrame:
     """One trip per line item, with the year and month of its raw file.
 
+    A generator row computes each trip's ``columns`` once, as a file would hold them;
+    plain columns would be computed again in every quality rule that reads them. The
+    optimizer does not prune inside the row, so a query names the columns it needs.
+
     Customers join the narrower orders first, so the wide line items are not
     shuffled once more on the customer key when customers are too many to
     broadcast.
@@ -92,8 +100,8 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "if(l_partkey % 107 = 0, add_months(trunc(l_shipdate, 'MM'), 1),"
         " to_date(l_shipdate)) AS file_day",
     )
-    # plain columns, so that a query reads only what it needs
-    return timed.selectExpr(*[f"{sql} AS {name}" for name, sql in TRIP.items()])
+    fields = ", ".join(f"'{name}', {TRIP[name]}" for name in columns or TRIP)
+    return timed.selectExpr(f"inline(array(named_struct({fields})))")
 
 
 def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

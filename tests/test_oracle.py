@@ -45,6 +45,16 @@ def test_defects_of_every_kind_occur(spark, small):
     assert len(found) == 14
 
 
+def test_each_trip_column_is_computed_once(spark, small):
+    """A generator row stands between the fixture's expressions and the rules."""
+    for name in ("gate_silver", "daily_mart", "dq_report"):
+        plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Generate inline") == 1
+        assert len(re.findall(r"% 103", plan)) == 1
+        scanned = "".join(re.findall(r"FileScan parquet \[([^\]]*)\]", plan))
+        assert "l_extendedprice" in scanned and "l_tax" not in scanned
+
+
 def test_only_needed_columns_are_read(spark, small):
     plan = QUERIES["peak_hours"](spark, small)._jdf.queryExecution().executedPlan().toString()
     read = "".join(re.findall(r"FileScan parquet \[([^\]]*)\]", plan))
