@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import language_id, language_model, minhash, mixing, packing, pages, quality, repeats, secrets, substrings, vectors
+from faremill.llm import language_id, language_model, manifest, minhash, mixing, packing, pages, quality, repeats, secrets, substrings, vectors
 from faremill.llm.storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,8 +58,13 @@ def op11_scaled_minimizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.with_digest(repeats.collapse(repeats.planted(table(spark, sf_dir, "documents"))))
 
 
+def op12_subtree_exchange(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return manifest.with_digest(manifest.manifest(docs, manifest.tampered(docs)))
+
+
 QUERIES: dict[str, Query] = {
-    query.__name__: query for query in (op1_doubled_windows, op2_context_tree, op3_queue_packing, op4_code_switch_crf, op5_pivot_cells, op6_dart_minhash, op7_soft_mixing, op8_wrapper_induction, op9_compression_bands, op10_secret_battery, op11_scaled_minimizers)
+    query.__name__: query for query in (op1_doubled_windows, op2_context_tree, op3_queue_packing, op4_code_switch_crf, op5_pivot_cells, op6_dart_minhash, op7_soft_mixing, op8_wrapper_induction, op9_compression_bands, op10_secret_battery, op11_scaled_minimizers, op12_subtree_exchange)
 }
 
 # zstandard ratios and spans of regular expressions have no SQL form: see tests/llm.

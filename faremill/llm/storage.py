@@ -23,7 +23,17 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    out = spark.read.schema(frame.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove tables that written() gave, after their last reader has been written."""
+    for frame in frames:
+        spark, path = frame.sparkSession, vars(frame).pop("_written_at")
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
