@@ -6,7 +6,7 @@ pickup, the supplier's and customer's nations give the zones.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,12 +66,43 @@ TRIP = {
 }
 
 
+# Columns as they come when amounts are odd. Remainders of the price in cents
+# plant infinite, undefined and very large amounts and ones of six decimals.
+ODD = {
+    **TRIP,
+    "trip_distance": (
+        f"if(cents % 211 = 0, 0.000004D, 0D) + ({TRIP['trip_distance']})"
+    ),
+    "tip_amount": f"if(cents % 199 = 0, double('NaN'), {TRIP['tip_amount']})",
+    "total_amount": (
+        f"CASE WHEN l_partkey % 139 = 0 OR l_partkey % 149 = 0 THEN {TRIP['total_amount']}"
+        f" WHEN cents % 181 = 0 THEN 1e15D WHEN cents % 191 = 0 THEN double('Infinity')"
+        f" WHEN cents % 193 = 0 THEN double('NaN')"
+        f" WHEN cents % 197 = 0 THEN l_extendedprice + 0.000004D ELSE l_extendedprice END"
+    ),
+}
+
+# The same columns in files that hold them in other types, with values that
+# the wanted types cannot take.
+DRIFTED = {
+    **ODD,
+    "passenger_count": (
+        f"CASE WHEN cents % 223 = 0 THEN 'two' WHEN cents % 227 = 0 THEN '1.7'"
+        f" ELSE cast({TRIP['passenger_count']} AS string) END"
+    ),
+    "PULocationID": f"({TRIP['PULocationID']}) + if(cents % 229 = 0, 0.5D, 0D)",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_trips(
-    spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    columns: Sequence[str] | None = None,
+    values: Mapping[str, str] = TRIP,
 ) -> DataFrame:
     """One trip per line item, with the year and month of its raw file.
 
@@ -99,8 +130,9 @@ def raw_trips(
         " ELSE cast(l_quantity * 2 + l_partkey % 7 AS int) END AS length",
         "if(l_partkey % 107 = 0, add_months(trunc(l_shipdate, 'MM'), 1),"
         " to_date(l_shipdate)) AS file_day",
+        "cast(rint(l_extendedprice * 100) AS bigint) AS cents",
     )
-    fields = ", ".join(f"'{name}', {TRIP[name]}" for name in columns or TRIP)
+    fields = ", ".join(f"'{name}', {values[name]}" for name in columns or values)
     return timed.selectExpr(f"inline(array(named_struct({fields})))")
 
 

@@ -6,25 +6,34 @@ from __future__ import annotations
 def _half_up(num: str, den: str, places: int) -> str:
     """``num / den`` rounded half up, in whole numbers so that ties are exact."""
     top, bottom = f"({num})::hugeint", f"nullif({den}, 0)::hugeint"
+    whole = f"cast(sign({top}) AS int) * ((2 * abs({top}) * {10**places} + {bottom}) // (2 * {bottom}))"
+    return f"cast(cast({whole} AS varchar) || 'e-{places}' AS double)"
+
+
+def _dec(name: str) -> str:
+    """A value as a plain decimal of six places; NULL where it is not such a number."""
     return (
-        f"cast(sign({top}) * ((2 * abs({top}) * {10**places} + {bottom})"
-        f" // (2 * {bottom})) AS double) / {10**places}"
+        f"CASE WHEN abs({name}) < 1e18 THEN cast(cast({name} AS varchar) AS decimal(24,6)) END"
     )
 
 
 def _units(name: str) -> str:
-    """Sum in ten-thousandths."""
-    return f"sum(cast(round({name} * 10000) AS bigint))"
+    """Decimal sum in millionths, for ratios."""
+    return f"cast(sum(cast(({_dec(name)}) * 1000000 AS hugeint)) AS hugeint)"
 
 
 def _total(name: str) -> str:
-    return _half_up(_units(name), "10000", 2)
+    """Plain decimal sum, rounded by the engine's own decimal rounding."""
+    return f"cast(cast(round(sum({_dec(name)}), 2) AS varchar) AS double)"
 
 
 def _mean(name: str) -> str:
-    return _half_up(_units(name), f"count({name}) * 10000", 2)
+    return _half_up(_units(name), f"count({_dec(name)}) * 1000000", 2)
 
 
+# minutes are n/60: whole milliseconds of a minute hold them
+MILLIS = "cast(sum(cast(round(trip_duration_minutes * 60000) AS bigint)) AS hugeint)"
+
 FLAGS = {
     "dq_null_pickup": "tpep_pickup_datetime IS NULL",
     "dq_outside_month": """tpep_pickup_datetime IS NOT NULL AND (
@@ -53,7 +62,7 @@ TRAVEL = f"""count(*) AS trips_count,
     {_total('total_amount')} AS total_revenue,
     {_mean('total_amount')} AS avg_check,
     {_mean('trip_distance')} AS avg_trip_distance,
-    {_mean('trip_duration_minutes')} AS avg_trip_duration_minutes"""
+    {_half_up(MILLIS, 'count(trip_duration_minutes) * 60000', 2)} AS avg_trip_duration_minutes"""
 
 KEY = (
     r"/raw/yellow/year=(\d{4})/month=(\d{2})/"
@@ -61,10 +70,10 @@ KEY = (
 )
 
 CTES = {
-    "trips": (
+    "raw": (
         (),
         """
-  SELECT
+  SELECT cast(round(l_extendedprice * 100) AS bigint) AS cents,
     CASE WHEN l_partkey % 109 <> 0 THEN started END AS tpep_pickup_datetime,
     CASE WHEN l_partkey % 113 <> 0 THEN started + to_minutes(
       CASE WHEN l_suppkey % 97 = 0 THEN -5
@@ -106,30 +115,68 @@ CTES = {
     JOIN supplier ON s_suppkey = l_suppkey
   )""",
     ),
-    "timed": (
-        ("trips",),
+    "trips": (("raw",), f"SELECT {TRIP_COLUMNS} FROM raw"),
+    "odd": (
+        ("raw",),
         """
-  SELECT *, (epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime)) / 60
-    AS trip_duration_minutes
-  FROM trips""",
-    ),
-    "flagged": (
-        ("timed",),
+  SELECT * REPLACE (
+    CASE WHEN cents % 211 = 0 THEN trip_distance + 0.000004 ELSE trip_distance END
+      AS trip_distance,
+    CASE WHEN cents % 199 = 0 THEN 'NaN'::double ELSE tip_amount END AS tip_amount,
+    CASE WHEN total_amount IS NULL OR total_amount < 0 THEN total_amount
+         WHEN cents % 181 = 0 THEN 1e15
+         WHEN cents % 191 = 0 THEN 'Infinity'::double
+         WHEN cents % 193 = 0 THEN 'NaN'::double
+         WHEN cents % 197 = 0 THEN total_amount + 0.000004
+         ELSE total_amount END AS total_amount)
+  FROM raw""",
+    ),
+    "audited": (
+        ("odd",),
         "SELECT *, "
         + ",\n".join(f"({sql}) AS {name}" for name, sql in FLAGS.items())
-        + " FROM timed",
-    ),
-    "silver": (
-        ("flagged",),
-        f"""
+        + """ FROM (SELECT *,
+    (epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime)) / 60 AS trip_duration_minutes
+  FROM (SELECT * REPLACE (
+      CASE WHEN cents % 223 <> 0 AND cents % 227 <> 0 THEN passenger_count END
+        AS passenger_count),
+    cents % 223 = 0 OR cents % 227 = 0 AS cast_refused,
+    PULocationID IS NOT NULL AND cents % 229 = 0 AS cast_changed
+  FROM odd))""",
+    ),
+    **{
+        f"{kind}timed": (
+            (source,),
+            f"""
+  SELECT *, (epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime)) / 60
+    AS trip_duration_minutes
+  FROM {source}""",
+        )
+        for kind, source in (("", "trips"), ("odd_", "odd"))
+    },
+    **{
+        f"{kind}flagged": (
+            (f"{kind}timed",),
+            "SELECT *, "
+            + ",\n".join(f"({sql}) AS {name}" for name, sql in FLAGS.items())
+            + f" FROM {kind}timed",
+        )
+        for kind in ("", "odd_")
+    },
+    **{
+        name: (
+            (source,),
+            f"""
   SELECT {TRIP_COLUMNS}, trip_duration_minutes,
     cast(tpep_pickup_datetime AS date) AS pickup_date,
     cast(hour(tpep_pickup_datetime) AS int) AS pickup_hour,
     strftime(tpep_pickup_datetime, '%Y-%m') AS pickup_month,
     CASE WHEN trip_distance < 2 THEN 'short' WHEN trip_distance <= 10 THEN 'medium'
          ELSE 'long' END AS trip_type
-  FROM flagged WHERE NOT ({BAD})""",
-    ),
+  FROM {source} WHERE NOT ({BAD})""",
+        )
+        for name, source in (("plain_silver", "flagged"), ("silver", "odd_flagged"))
+    },
     "daily": (
         ("silver",),
         f"""
@@ -477,29 +524,29 @@ _CALENDAR = (
 
 # --- reports -------------------------------------------------------------------
 
-_SUMS = """sum(trips_count)::bigint AS n,
-    sum(round(total_revenue * 100)::bigint) AS rev"""
+_SUMS = f"""sum(trips_count)::bigint AS n,
+    {_units('total_revenue')} AS rev"""
 _WSUMS = (
     _SUMS
-    + """, sum(round(avg_trip_distance * 100)::bigint * trips_count) AS dist,
-    sum(round(avg_trip_duration_minutes * 100)::bigint * trips_count) AS dur"""
+    + """, sum(round(avg_trip_distance * 100)::hugeint * trips_count * 10000) AS dist,
+    sum(round(avg_trip_duration_minutes * 100)::hugeint * trips_count * 10000) AS dur"""
 )
-_TIPSUMS = _SUMS + ", sum(round(total_tips * 100)::bigint) AS tips"
+_TIPSUMS = _SUMS + f", {_units('total_tips')} AS tips"
 
 
 def _per_trip(total: str) -> str:
-    return _half_up(total, "n * 100", 2)
+    return _half_up(total, "n * 1000000", 2)
 
 
 def _pct(total: str) -> str:
     return _half_up("n * 100", total, 2)
 
 
-_VOLUME = f"""n AS trips_count, {_half_up('rev', '100', 2)} AS total_revenue,
+_VOLUME = f"""n AS trips_count, {_half_up('rev', '1000000', 2)} AS total_revenue,
     {_per_trip('rev')} AS avg_check"""
 _MEANS = f"""{_per_trip('dist')} AS avg_trip_distance,
     {_per_trip('dur')} AS avg_trip_duration_minutes"""
-_TIPS = f"""{_half_up('tips', '100', 2)} AS total_tips, {_per_trip('tips')} AS avg_tip,
+_TIPS = f"""{_half_up('tips', '1000000', 2)} AS total_tips, {_per_trip('tips')} AS avg_tip,
     {_half_up('tips * 100', 'rev', 2)} AS tips_share_from_revenue_pct"""
 
 
@@ -564,8 +611,16 @@ _REPORT = (
     + _union(
         f"SELECT year, month, '{name}' AS check_name,"
         f" count(*) FILTER (WHERE {sql}) AS failed_rows,"
-        " count(*) AS total_rows FROM flagged GROUP BY year, month"
-        for name, sql in {**{f: f for f in FLAGS}, "total_bad": BAD}.items()
+        " count(*) AS total_rows FROM audited GROUP BY year, month"
+        for name, sql in {
+            **{f: f for f in FLAGS},
+            "dq_cast_refused": "cast_refused",
+            "dq_cast_changed": "cast_changed",
+            "dq_unsummable_amount": " OR ".join(
+                f"isnan({c}) OR isinf({c})" for c in ("trip_distance", "fare_amount", "tip_amount", "total_amount")
+            ),
+            "total_bad": BAD,
+        }.items()
     )
     + ")"
 )
@@ -601,13 +656,13 @@ ORACLE: dict[str, str] = {
     "undetermined_trips": _sql(
         f"SELECT * FROM flagged WHERE ({BAD}) IS NULL", "flagged"
     ),
-    "silver_trips": _select("silver"),
-    "dq_report": _sql(_REPORT, "flagged"),
+    "silver_trips": _select("plain_silver"),
+    "dq_report": _sql(_REPORT, "audited"),
     "dq_drift": _sql(
         f"""SELECT year, month, "check", share,
         lag(share) OVER w AS previous_share, share - lag(share) OVER w AS share_change
         FROM ({_REPORT}) WINDOW w AS (PARTITION BY "check" ORDER BY year, month)""",
-        "flagged",
+        "audited",
     ),
     "row_retention": _sql(
         f"""SELECT *, silver_rows / bronze_rows AS retained_share,

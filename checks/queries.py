@@ -13,6 +13,7 @@ from faremill.operators import data_tests, gates, marts, periods, quality
 from faremill.operators.periods import in_periods
 from faremill.operators.quality import MonthBounds
 from faremill.plans import models, reports
+from faremill.sources.layers import conform
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,10 +44,18 @@ def flagged(
 def silver(
     spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    clean = quality.clean_trips(flagged(spark, sf_dir, columns))
+    """Clean trips for the marts, odd amounts among them."""
+    trips = fixture.raw_trips(spark, sf_dir, columns, fixture.ODD)
+    clean = quality.clean_trips(quality.add_quality_flags(trips, PER_ROW))
     return quality.silver_trips(clean, stamp=False)
 
 
+def audited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagged trips from files whose columns have other types."""
+    trips = conform(fixture.raw_trips(spark, sf_dir, values=fixture.DRIFTED))
+    return quality.add_quality_flags(trips, PER_ROW)
+
+
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.daily_mart(silver(spark, sf_dir, UNTIPPED))
 
@@ -149,18 +158,19 @@ def undetermined_trips(spark, sf_dir):
 
 @query
 def silver_trips(spark, sf_dir):
-    return silver(spark, sf_dir)
+    clean = quality.clean_trips(flagged(spark, sf_dir))
+    return quality.silver_trips(clean, stamp=False)
 
 
 @query
 def dq_report(spark, sf_dir):
-    return quality.quality_report(flagged(spark, sf_dir, UNTIPPED), PERIOD)
+    return quality.quality_report(audited(spark, sf_dir), PERIOD)
 
 
 @query
 def dq_drift(spark, sf_dir):
     return quality.bad_share_drift(
-        quality.quality_report(flagged(spark, sf_dir, UNTIPPED), PERIOD)
+        quality.quality_report(audited(spark, sf_dir), PERIOD)
     )
 
 

@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Integer units per 1.0 used by exact sums. Amounts and distances keep four
-# decimals; durations keep milliseconds of a minute, so n/60 is held exactly.
-UNITS = 10_000
+# Whole units per 1.0 of exact sums: millionths of amounts and distances; durations keep
+# milliseconds of a minute, so n/60 is held exactly.
+UNITS = 1_000_000
 MINUTE_UNITS = 60_000
 
+# Below, a sum adds whole numbers and millionths as longs; above, decimals. Beyond the
+# largest, a value counts as missing, as one that is not finite does.
+PLAIN = "1e9D"
+LARGEST = "1e18D"
+
 # Trip classes in their domain order.
 TRIP_CLASSES = ("short", "medium", "long")
 
@@ -25,40 +30,66 @@ PAYMENT_NAMES = {
 VALID_PAYMENT_TYPES = (0, 1, 2, 3, 4, 5, 6)
 
 
-def to_units(value: Column, units: int = UNITS) -> Column:
-    """Value as a whole number of small units.
+def unsummable(name: str) -> str:
+    """Whether a value is neither NULL nor a number that sums take in."""
+    return f"NOT (abs({name}) < {LARGEST})"  # NaN is larger than any number
+
+
+def summable(value: Column) -> Column:
+    return F.abs(value.cast("double")) < F.expr(LARGEST)
+
 
-    Sums of longs do not depend on the order in which partitions arrive, so a
-    rerun after a lost executor gives the same mart, and the aggregation buffer
-    stays a primitive long. Values that are not finite count as missing.
+def exact_sum(value: Column, weight: Column | None = None) -> Column:
+    """Sum of a double column, or of its products with whole numbers, in millionths.
+
+    A double of up to 10^9 is split into its whole part and its millionths, which is exact,
+    and both are added up as longs; larger ones, up to 10^18, as decimals. So the sum does
+    not depend on the order in which partitions arrive, a rerun after a lost executor gives
+    the same mart, and common amounts cost two additions of longs. A value has the millionth
+    that is nearest to it. NULL without a summable value.
     """
-    return F.rint(value.cast("double") * F.lit(float(units))).try_cast("bigint")
+    number, times = value.cast("double"), F.lit(1) if weight is None else weight
+    plain = F.abs(number) < F.expr(PLAIN)
+    whole = F.when(plain, number.cast("bigint"))
+    part = F.when(plain, F.rint((number - whole) * UNITS).cast("bigint"))
+    large = F.when(~plain & summable(number), number.try_cast("decimal(24,6)") * UNITS)
+    total = F.coalesce(F.sum(whole * times), F.lit(0)).cast("decimal(38,0)") * F.lit(UNITS)
+    total = total.cast("decimal(38,0)") + F.coalesce(F.sum(part * times), F.lit(0))
+    total = total + F.coalesce(F.sum((large * times).cast("decimal(38,0)")), F.lit(0))
+    return F.when(F.count_if(summable(number)) > 0, total.cast("decimal(38,0)"))
 
 
-def exact_sum(value: Column, units: int = UNITS) -> Column:
-    return F.sum(to_units(value, units))
+def exact_minutes(value: Column) -> Column:
+    """Sum of minutes in milliseconds; they come from timestamps, so longs hold them."""
+    return F.sum(F.rint(value.cast("double") * MINUTE_UNITS).try_cast("bigint")).cast("decimal(38,0)")
 
 
-def rounded_ratio(
-    numerator: str, denominator: str, places: int, scale: int = 1
-) -> Column:
-    """``numerator * scale / denominator`` of whole numbers, rounded half up.
+def ratio_sql(numerator: str, denominator: str, places: int, scale: int = 1) -> str:
+    """SQL of ``numerator * scale / denominator`` of whole numbers, rounded half up.
 
-    Both are SQL over long columns. Ties are decided on whole numbers of up to 38
-    digits, whatever the size, so they round the same way on every run. An
-    undefined quotient is NULL.
+    Ties are decided on whole numbers of up to 38 digits, whatever the size, so they round
+    the same way on every run. An undefined quotient is NULL.
     """
     top = f"(cast(({numerator}) AS decimal(38,0)) * {scale})"
     bottom, unit = f"cast(({denominator}) AS decimal(38,0))", 10**places
     # half up on the absolute values; the remainder goes first, so the division is exact
     doubled = f"(2 * abs({top}) * {unit} + abs({bottom}))"
     whole = f"(({doubled} - {doubled} % (2 * abs({bottom}))) / (2 * abs({bottom})))"
-    return F.expr(
-        f"CASE WHEN {bottom} <> 0 THEN"
-        f" cast(sign({top}) * sign({bottom}) AS double) * cast({whole} AS double) / {unit}D END"
+    # shifted as a decimal: the double next to the quotient, also beyond 2^53
+    shift = f"{10**-places:.{places}f}BD" if places else "1"
+    return (
+        f"CASE WHEN {bottom} <> 0 THEN cast(sign({top}) * sign({bottom}) AS double)"
+        f" * cast(cast({whole} AS decimal(38,0)) * {shift} AS double) END"
     )
 
 
+def rounded_ratio(
+    numerator: str, denominator: str, places: int, scale: int = 1
+) -> Column:
+    """The quotient of two SQL expressions of whole numbers, rounded half up."""
+    return F.expr(ratio_sql(numerator, denominator, places, scale))
+
+
 def round_half_up(value: Column, places: int) -> Column:
     """Round a double half up by its decimal digits, not its binary tail."""
     return F.round(value.cast("decimal(28,6)"), places).cast("double")
@@ -66,12 +97,12 @@ def round_half_up(value: Column, places: int) -> Column:
 
 def from_units(total: str, places: int, units: int = UNITS) -> Column:
     """Turn a sum of units back into a rounded double."""
-    return rounded_ratio(total, f"{units}L", places)
+    return rounded_ratio(total, str(units), places)
 
 
 def weighted_sum(value: str, weight: str) -> Column:
     """Sum of ``value * weight`` in units, for re-averaging a rounded mart."""
-    return F.sum(to_units(F.col(value)) * F.col(weight))
+    return exact_sum(F.col(value), F.col(weight))
 
 
 def is_blank(name: str) -> Column:
@@ -107,11 +138,6 @@ def month_text(day: str) -> Column:
     return F.expr(f"substring(cast({day} AS string), 6, 2)")
 
 
-def iso_weekday(day: str) -> Column:
-    """Monday is 1 and Sunday is 7."""
-    return F.weekday(F.col(day)) + 1
-
-
 def domain_order(name: str, values: tuple[str, ...]) -> Column:
     """Position of a value in a fixed domain; unknown values sort last."""
     rank = F.lit(len(values) + 1)

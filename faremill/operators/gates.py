@@ -6,7 +6,7 @@ and is then judged from the few rows of counts that come back.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -18,6 +18,7 @@ from faremill.functions.columns import VALID_PAYMENT_TYPES
 from faremill.operators.quality import MonthBounds
 
 MIN_RETAINED_SHARE = 0.7
+MAX_REFUSED_SHARE = 0.05
 
 # Columns that must be filled in every clean trip.
 REQUIRED_TRIP_COLUMNS = (
@@ -113,6 +114,108 @@ class Gate:
         return warnings
 
 
+@dataclass(frozen=True)
+class Fused:
+    """Several gates over one frame, profiled by one aggregate.
+
+    Each gate may look at a part of the rows only. A count that several gates ask for is
+    made once. ``counts`` are further predicates to count over all rows.
+    """
+
+    gates: tuple[Gate, ...]
+    where: tuple[str | None, ...] = ()
+    counts: tuple[tuple[str, str], ...] = ()
+
+    def _scope(self, position: int) -> str | None:
+        return self.where[position] if self.where else None
+
+    def _plan(self, position: int) -> dict[str, str]:
+        """SQL of each metric of a gate."""
+        gate, scope = self.gates[position], self._scope(position)
+        within = f"({scope}) AND " if scope else ""
+        filtered = f" FILTER (WHERE {scope})" if scope else ""
+        return {
+            gate.rows_metric: f"count_if({scope})" if scope else "count(*)",
+            **{name: f"{sql}{filtered}" for name, sql in gate.extra},
+            **{rule.metric: f"count_if({within}({rule.predicate}))" for rule in gate.rules},
+        }
+
+    def _all(self) -> dict[str, str]:
+        """Name of each distinct aggregate by its SQL."""
+        wanted = [sql for i in range(len(self.gates)) for sql in self._plan(i).values()]
+        wanted += ["count(*)", *[f"count_if({sql})" for _, sql in self.counts]]
+        return {sql: f"m{i}" for i, sql in enumerate(dict.fromkeys(wanted))}
+
+    def profile(self, table: DataFrame, by: Sequence[str] = (), prefix: str = "") -> DataFrame:
+        return table.groupBy(*by).agg(
+            *[F.expr(sql).alias(prefix + name) for sql, name in self._all().items()]
+        )
+
+    def split(self, row: Row, prefix: str = "") -> tuple[list[dict], dict[str, int]]:
+        """Each gate's metrics, and the further counts with all rows under ``total_rows``."""
+        names = self._all()
+
+        def of(plan: dict[str, str]) -> dict:
+            return {metric: row[prefix + names[sql]] for metric, sql in plan.items()}
+
+        further = {name: f"count_if({sql})" for name, sql in self.counts}
+        return (
+            [of(self._plan(i)) for i in range(len(self.gates))],
+            of({"total_rows": "count(*)", **further}),
+        )
+
+    def judge(
+        self, found: dict[tuple, list[dict]], required: Iterable[tuple[str, ...]] = ()
+    ) -> list[str]:
+        """Judge every gate for every group, in the gates' order."""
+        warnings = []
+        for position, gate in enumerate(self.gates):
+            # a group without a row in the gate's part does not count as found
+            metrics = {key: each[position] for key, each in found.items() if each[position][gate.rows_metric]}
+            absent = sorted(set(required) - set(metrics))
+            if absent:
+                raise GateError(f"{gate.name} has no rows for {absent}")
+            for key, values in sorted(metrics.items(), key=lambda x: [v or "" for v in x[0]]):
+                scope = " " + "-".join(map(str, key)) if key else ""
+                warnings += gate.judge(values, scope)
+        return warnings
+
+
+def profile_each(
+    tables: Mapping[str, tuple[DataFrame, Fused]], by: Sequence[str] = ()
+) -> dict[str, dict[tuple, tuple[list[dict], dict[str, int]]]]:
+    """Profiles of several tables from one job, by table and group.
+
+    One row per table and group comes back.
+    """
+    parts = [
+        fused.profile(table, by, f"{position}_").withColumn("_table", F.lit(name))
+        for position, (name, (table, fused)) in enumerate(tables.items())
+    ]
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    found: dict[str, dict] = {name: {} for name in tables}
+    positions = {name: position for position, name in enumerate(tables)}
+    for row in union.collect():
+        name = row["_table"]
+        key = tuple(row[column] for column in by)
+        found[name][key] = tables[name][1].split(row, f"{positions[name]}_")
+    return found
+
+
+def enforce_each(
+    tables: Mapping[str, tuple[DataFrame, Fused]],
+    by: Sequence[str] = (),
+    required: Iterable[tuple[str, ...]] = (),
+) -> tuple[list[str], dict[str, dict[tuple, int]]]:
+    """Judge several tables from one job; warnings, and each table's rows by group."""
+    warnings, rows = [], {}
+    required = list(required)
+    for name, found in profile_each(tables, by).items():
+        warnings += tables[name][1].judge({key: gates for key, (gates, _) in found.items()}, required)
+        rows[name] = {key: counts["total_rows"] for key, (_, counts) in found.items()}
+    return warnings, rows
+
+
 def _blank(name: str) -> str:
     return f"{name} IS NULL OR trim({name}) = ''"
 
@@ -204,6 +307,12 @@ def check_retention(bronze_rows: int, silver_rows: int, scope: str = "") -> None
         )
 
 
+def check_casts(rows: int, refused: int, scope: str = "") -> None:
+    """A month whose values often have no form in the wanted type is broken, not clean."""
+    if refused > rows * MAX_REFUSED_SHARE:
+        raise GateError(f"bronze{scope}: values of {refused} of {rows} rows could not be read")
+
+
 def check_contract(table: DataFrame, contract: schemas.MartContract) -> None:
     """Every contract column must be there; extra columns are allowed.
 

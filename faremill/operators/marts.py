@@ -18,12 +18,13 @@ from faremill.functions.columns import (
     MINUTE_UNITS,
     TRIP_CLASSES,
     UNITS,
+    exact_minutes,
     exact_sum,
     from_units,
     month_text,
     payment_name,
     rounded_ratio,
-    to_units,
+    summable,
     year_text,
 )
 
@@ -47,10 +48,10 @@ def trip_sums(
     """
     sums = [F.count("*").alias("trips")]
     for name in measures:
-        sums.append(exact_sum(F.col(name), _MEASURE_UNITS[name]).alias(f"{name}_sum"))
+        add = exact_minutes if _MEASURE_UNITS[name] == MINUTE_UNITS else exact_sum
+        sums.append(add(F.col(name)).alias(f"{name}_sum"))
         # the mean is over exactly the values in the sum
-        counted = F.count(to_units(F.col(name), _MEASURE_UNITS[name]))
-        sums.append(counted.alias(f"{name}_rows"))
+        sums.append(F.count_if(summable(F.col(name))).alias(f"{name}_rows"))
     return trips.groupBy(*keys).agg(*sums)
 
 
@@ -75,7 +76,7 @@ def _total(measure: str) -> Column:
 
 
 def _mean(measure: str) -> Column:
-    rows = f"{measure}_rows * {_MEASURE_UNITS[measure]}L"
+    rows = f"{measure}_rows * {_MEASURE_UNITS[measure]}BD"
     return rounded_ratio(f"{measure}_sum", rows, 2)
 
 

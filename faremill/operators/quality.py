@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faremill.functions.columns import VALID_PAYMENT_TYPES, trip_class
+from faremill.functions.columns import VALID_PAYMENT_TYPES, trip_class, unsummable
 from faremill.operators.periods import first_of_month, last_of_month
 
 FLAG_PREFIX = "dq_"
@@ -17,6 +17,10 @@ FLAG_PREFIX = "dq_"
 # Fixed value: the name written with every ingested row.
 SOURCE_SYSTEM = "nyc_taxi_yellow"
 
+# columns of audits that are not part of a clean trip
+AUDIT_COLUMNS = ("cast_refused", "cast_changed")
+AMOUNTS = ("trip_distance", "fare_amount", "tip_amount", "total_amount")
+
 MAX_TRIP_MINUTES = 1440
 MAX_TRIP_DISTANCE = 100
 
@@ -162,22 +166,44 @@ def silver_trips(clean: DataFrame, stamp: bool = True) -> DataFrame:
     return trips
 
 
-def quality_counts(flagged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Every flag's count in one aggregate, whole or per period."""
+def audit_rules(columns: Sequence[str]) -> dict[str, str]:
+    """Findings about a row's values that do not make it bad, as predicates.
+
+    Refused and changed casts are counted when raw files are read. An amount that is not
+    finite, or too large for the sums, counts as missing there.
+    """
+    rules = {
+        f"dq_{name}": f"{name} > 0"
+        for name in ("cast_refused", "cast_changed")
+        if name in columns
+    }
+    amounts = [f"coalesce({unsummable(name)}, false)" for name in AMOUNTS if name in columns]
+    if amounts:
+        rules["dq_unsummable_amount"] = " OR ".join(amounts)
+    return rules
+
+
+def report_counts(flagged: DataFrame) -> dict[str, str]:
+    """Every count that the report needs, as SQL predicates over flagged rows."""
     flags = flag_columns(flagged)
+    bad = " OR ".join(flags)
+    return {**{name: name for name in flags}, **audit_rules(flagged.columns), "total_bad": bad}
+
+
+def quality_counts(flagged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Every check's count in one aggregate, whole or per period."""
+    if not flag_columns(flagged):
+        raise ValueError("no data quality columns found")
     return flagged.groupBy(*by).agg(
         F.count("*").alias("total_rows"),
-        *[F.count_if(F.col(name)).alias(name) for name in flags],
-        F.count_if(bad_row(flags)).alias("total_bad"),
+        *[F.count_if(F.expr(sql)).alias(name) for name, sql in report_counts(flagged).items()],
     )
 
 
-def quality_report(flagged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One row per check with its failures and their share of all rows."""
-    checks = [*flag_columns(flagged), "total_bad"]
-    report = quality_counts(flagged, by).unpivot(
-        [*by, "total_rows"], checks, "check", "failed_rows"
-    )
+def report_of(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Counts as one row per check, with their share of all rows."""
+    checks = [name for name in counts.columns if name not in (*by, "total_rows")]
+    report = counts.unpivot([*by, "total_rows"], checks, "check", "failed_rows")
     share = F.when(
         F.col("total_rows") > 0, F.col("failed_rows") / F.col("total_rows")
     ).otherwise(F.lit(0.0))
@@ -186,6 +212,11 @@ def quality_report(flagged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def quality_report(flagged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per check with its failures and their share of all rows."""
+    return report_of(quality_counts(flagged, by), by)
+
+
 def row_retention(flagged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rows before and after cleaning, and the share that stayed."""
     flags = flag_columns(flagged)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faremill import schemas
-from faremill.functions.columns import TRIP_CLASSES, iso_weekday, rounded_ratio
+from faremill.functions.columns import TRIP_CLASSES, ratio_sql, rounded_ratio
 
 # Staging model of each serving table.
 STAGING = {
@@ -16,6 +16,8 @@ STAGING = {
     schemas.PAYMENT.name: "stg_payment_type_stats",
     schemas.CENTROIDS_TABLE: "stg_taxi_zone_centroids",
 }
+METRICS = "int_daily_trip_metrics"
+KPIS = "mart_daily_trip_kpis"
 
 
 def stage_mart(table: DataFrame, contract: schemas.MartContract) -> DataFrame:
@@ -28,31 +30,54 @@ def stage_centroids(table: DataFrame) -> DataFrame:
     return table.select(*schemas.ZONE_CENTROIDS.names)
 
 
-def _share(name: str) -> Column:
-    share = rounded_ratio(f"{name}_trips_count", "trips_count", 4)
-    return F.when(F.col("trips_count") == 0, F.lit(0.0)).otherwise(share)
+def _metrics_sql() -> list[str]:
+    """The daily metrics as SQL over the staged daily mart."""
+    weekday = "weekday(pickup_date) + 1"  # Monday is 1
+    counts = [f"{name}_trips_count" for name in TRIP_CLASSES]
+    shares = [
+        f"CASE WHEN trips_count = 0 THEN 0D ELSE {ratio_sql(count, 'trips_count', 4)} END"
+        f" AS {name}_trips_share"
+        for name, count in zip(TRIP_CLASSES, counts, strict=True)
+    ]
+    return [
+        "pickup_date",
+        "trunc(pickup_date, 'MM') AS pickup_month",
+        "year(pickup_date) AS pickup_year",
+        "month(pickup_date) AS pickup_month_number",
+        f"{weekday} AS day_of_week",
+        f"{weekday} IN (6, 7) AS is_weekend",
+        *TOTALS,
+        *counts,
+        *shares,
+    ]
+
+
+TOTALS = (
+    "trips_count", "total_revenue", "avg_check", "avg_trip_distance", "avg_trip_duration_minutes",
+)
 
 
 def daily_metrics(staged: DataFrame) -> DataFrame:
     """Calendar attributes and class shares, one row per day."""
-    weekday = iso_weekday("pickup_date")
     stamp = [name for name in (schemas.DAILY.stamp,) if name in staged.columns]
-    return staged.select(
-        "pickup_date",
-        F.trunc("pickup_date", "MM").alias("pickup_month"),
-        F.year("pickup_date").alias("pickup_year"),
-        F.month("pickup_date").alias("pickup_month_number"),
-        weekday.alias("day_of_week"),
-        weekday.isin(6, 7).alias("is_weekend"),
-        "trips_count",
-        "total_revenue",
-        "avg_check",
-        "avg_trip_distance",
-        "avg_trip_duration_minutes",
-        *[f"{name}_trips_count" for name in TRIP_CLASSES],
-        *[_share(name).alias(f"{name}_trips_share") for name in TRIP_CLASSES],
-        *stamp,
-    )
+    return staged.selectExpr(*_metrics_sql(), *stamp)
+
+
+def view_sql(names: dict[str, str]) -> dict[str, str]:
+    """Queries of the models that are views, by model, in the order of their making.
+
+    names: where each serving table and model is found in the catalog.
+    """
+    views = {
+        STAGING[mart]: f"SELECT {', '.join(contract.contract_names)} FROM {names[mart]}"
+        for mart, contract in schemas.MARTS.items()
+    }
+    if schemas.CENTROIDS_TABLE in names:
+        points = ", ".join(schemas.ZONE_CENTROIDS.names)
+        views[STAGING[schemas.CENTROIDS_TABLE]] = f"SELECT {points} FROM {names[schemas.CENTROIDS_TABLE]}"
+    metrics = ", ".join([*_metrics_sql(), schemas.DAILY.stamp])
+    views[METRICS] = f"SELECT {metrics} FROM {names[STAGING[schemas.DAILY.name]]}"
+    return views
 
 
 def dominant_class() -> Column:

@@ -29,7 +29,9 @@ def _text(config: Mapping[str, Any] | None, key: str) -> str:
     return "" if value is None else str(value).strip()
 
 
-def refresh_periods(config: Mapping[str, Any] | None) -> list[Period]:
+def refresh_periods(
+    config: Mapping[str, Any] | None, most: int = MAX_REFRESH_MONTHS
+) -> list[Period]:
     """Months of a refresh request; blank values take their defaults."""
     values = {
         key: _text(config, key) or default for key, default in _DEFAULT_REFRESH.items()
@@ -40,10 +42,10 @@ def refresh_periods(config: Mapping[str, Any] | None) -> list[Period]:
             f"supported: {REFRESH_MODE!r}"
         )
     months = month_range(*[values[key] for key in _RANGE])
-    if len(months) > MAX_REFRESH_MONTHS:
+    if len(months) > most:
         raise ValueError(
             f"refresh interval is too large: {len(months)} months, "
-            f"at most {MAX_REFRESH_MONTHS} are allowed"
+            f"at most {most} are allowed"
         )
     return months
 

@@ -2,26 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import json
+from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faremill import schemas
 from faremill.operators.periods import Period, in_periods
+from faremill.sources.columns import registry, unite
+from faremill.sources.ledger import Entry, FolderLedger, Key, remove_folders
 
-ROW_STATUSES = ("clean", "bad", "undetermined")
+# casts that lose nothing, by wanted type
+_SAFE_CASTS = {
+    "bigint": ("bigint", "int", "smallint", "tinyint"),
+    "int": ("int", "smallint", "tinyint"),
+    "double": ("double", "float", "int", "smallint", "tinyint"),
+    "timestamp_ntz": ("timestamp_ntz", "timestamp", "date"),
+}
+_NUMBERS = ("bigint", "int", "double")
 
 
 @dataclass(frozen=True)
 class Layers:
     """Where each dataset lives under one root folder.
 
-    Clean, bad and undetermined trips share one dataset, split by a leading
-    ``row_status`` partition, so a month is checked and split in a single write.
+    Bronze and checked trips are kept by loads (see Loads); clean ones are one dataset, bad
+    and undetermined ones another, split by a ``row_status`` partition.
     """
 
     root: str
@@ -37,23 +48,8 @@ class Layers:
         return f"{self.raw}/year={year}/month={month}/{name}"
 
     @property
-    def bronze(self) -> str:
-        return f"{self.root}/bronze/{self.taxi_type}"
-
-    @property
-    def checked(self) -> str:
-        return f"{self.root}/checked/{self.taxi_type}"
-
-    def checked_rows(self, status: str) -> str:
-        return f"{self.checked}/row_status={status}"
-
-    @property
-    def silver(self) -> str:
-        return self.checked_rows("clean")
-
-    @property
-    def bad_records(self) -> str:
-        return self.checked_rows("bad")
+    def ledger(self) -> str:
+        return f"{self.root}/ledger/{self.taxi_type}"
 
     @property
     def quality(self) -> str:
@@ -67,7 +63,7 @@ class Layers:
         return f"{self.root}/raw/lookup/taxi_zone_lookup.csv"
 
 
-def _text_periods(fields: Iterable[T.StructField]) -> T.StructType:
+def text_periods(fields: Iterable[T.StructField]) -> T.StructType:
     """Partition values as text, so that month ``01`` does not become 1."""
     kept = [field for field in fields if field.name not in schemas.PERIOD]
     text = [T.StructField(name, T.StringType()) for name in schemas.PERIOD]
@@ -77,39 +73,17 @@ def _text_periods(fields: Iterable[T.StructField]) -> T.StructType:
 def read_months(
     spark: SparkSession,
     path: str,
+    schema: T.StructType,
     periods: Sequence[Period] | None = None,
-    above: str = "",
-    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """A partitioned layer, all of it or only the given months' folders.
-
-    ``above`` stands for partition folders above the year. Without a known
-    ``schema`` one footer per month tells it: a month is always replaced whole,
-    so its files agree, and reading every footer of a large layer is avoided.
-    """
+    """A layer of one schema, all of it or only the given months' folders."""
     folders = (
         [path]
         if periods is None
-        else [f"{path}/{above}year={year}/month={month}" for year, month in periods]
-    )
-    reader = spark.read.option("basePath", path)
-    fields: dict[str, T.StructField] = {}
-    if schema is None:
-        for folder in folders:
-            for field in reader.parquet(folder).schema:
-                fields.setdefault(field.name, field)
-    else:
-        fields = {field.name: field for field in schema}
-    return (
-        spark.read.option("basePath", path)
-        .schema(_text_periods(fields.values()))
-        .parquet(*folders)
+        else [f"{path}/year={year}/month={month}" for year, month in periods]
     )
-
-
-def scan_month(spark: SparkSession, path: str, period: Period) -> DataFrame:
-    """One month of a layer by a predicate that prunes partitions."""
-    return read_months(spark, path).where(in_periods([period]))
+    reader = spark.read.option("basePath", path).schema(text_periods(schema))
+    return reader.parquet(*folders)
 
 
 def write_months(df: DataFrame, path: str, keys: Sequence[str] = schemas.PERIOD) -> None:
@@ -122,32 +96,97 @@ def write_months(df: DataFrame, path: str, keys: Sequence[str] = schemas.PERIOD)
     )
 
 
-def remove_folders(spark: SparkSession, folders: Iterable[str]) -> None:
-    """Delete folders through Spark's own file system client."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    conf = spark._jsc.hadoopConfiguration()
-    for folder in folders:
-        path = hadoop.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+def counted_months(periods: Sequence[Period]) -> list[Column]:
+    """Rows of each month, for an observation of a frame that is being written."""
+    return [F.count_if(in_periods([month])).alias("".join(month)) for month in periods]
 
 
-def split_by_status(
-    spark: SparkSession, layers: Layers, rows: DataFrame, periods: Sequence[Period]
-) -> None:
-    """Write checked rows of whole months into their status partitions.
+class Loads:
+    """Month folders of datasets whose files drift, under the loads that wrote them.
 
-    A month that no longer has bad rows must not keep last run's, so the months'
-    old folders go first. These folders are not read by the serving tables.
+    A write fills new folders and leaves the live ones as they are; the ledger then names
+    the new ones. It keeps each month's schema, so that reads need no footers and months of
+    different schemas are read together.
     """
-    remove_folders(
-        spark,
+
+    def __init__(self, spark: SparkSession, layers: Layers):
+        self.spark = spark
+        self.layers = layers
+        self.ledger = FolderLedger(spark, layers.ledger)
+
+    def folder(self, dataset: str, load: str) -> str:
+        return f"{self.layers.root}/{dataset}/{self.layers.taxi_type}/load={load}"
+
+    def write(
+        self,
+        dataset: str,
+        rows: DataFrame,
+        load: str,
+        periods: Sequence[Period],
+        keys: Sequence[str] = (),
+    ) -> dict[Key, Entry]:
+        """Write a load's months; entries for the ledger, counted while writing.
+
+        keys: partition columns below the month.
+        """
+        seen = Observation()
         (
-            f"{layers.checked_rows(status)}/year={year}/month={month}"
-            for status in ROW_STATUSES
-            for year, month in periods
-        ),
-    )
-    write_months(rows, layers.checked, ("row_status", *schemas.PERIOD))
+            rows.observe(seen, *counted_months(periods))
+            .write.mode("overwrite")
+            .partitionBy(*schemas.PERIOD, *keys)
+            .parquet(self.folder(dataset, load))
+        )
+        below = {*schemas.PERIOD, *keys}
+        kept = T.StructType([field for field in rows.schema if field.name not in below])
+        counts = seen.get
+        return {
+            (dataset, month): Entry(load, counts["".join(month)], kept.json())
+            for month in periods
+            if counts["".join(month)]
+        }
+
+    def read(
+        self, dataset: str, periods: Sequence[Period], keys: Sequence[str] = ()
+    ) -> DataFrame:
+        """Live months as one frame: one scan for each schema, united by the registry."""
+        live = self.ledger.live(dataset)
+        return self.scan(dataset, {month: live[month] for month in periods if month in live}, keys)
+
+    def scan(
+        self, dataset: str, entries: Mapping[Period, Entry], keys: Sequence[str] = ()
+    ) -> DataFrame:
+        if not entries:
+            raise ValueError(f"no months of {dataset} to read")
+        by_schema: dict[str, list[str]] = {}
+        for (year, month), entry in sorted(entries.items()):
+            folder = f"{self.folder(dataset, entry.load)}/year={year}/month={month}"
+            by_schema.setdefault(entry.schema, []).append(folder)
+        found = {text: T.StructType.fromJson(json.loads(text)) for text in by_schema}
+        below = [T.StructField(name, T.StringType()) for name in keys]
+        whole = T.StructType([*text_periods(registry(found.values())), *below])
+        base = f"{self.layers.root}/{dataset}/{self.layers.taxi_type}"
+        scans = []
+        for text, folders in by_schema.items():
+            schema = T.StructType([*text_periods(found[text]), *below])
+            part = self.spark.read.option("basePath", base).schema(schema).parquet(*folders)
+            scans.append(unite(part, whole))
+        return reduce(DataFrame.unionByName, scans)
+
+    def expire(self, keep: int = 2) -> None:
+        """Remove month folders that none of the newest versions names."""
+        gone = self.ledger.retire(keep)
+        remove_folders(
+            self.spark,
+            [
+                f"{self.folder(dataset, load)}/year={year}/month={month}"
+                for dataset, (year, month), load in sorted(gone)
+            ],
+        )
+
+
+def scan_month(spark: SparkSession, layers: Layers, dataset: str, period: Period) -> DataFrame:
+    """One month of a layer; only its folder is listed and only its files are read."""
+    return Loads(spark, layers).read(dataset, [period]).where(in_periods([period]))
 
 
 def raw_file_paths(spark: SparkSession, layers: Layers) -> DataFrame:
@@ -160,18 +199,40 @@ def raw_file_paths(spark: SparkSession, layers: Layers) -> DataFrame:
     )
 
 
-def _conform(raw: DataFrame) -> DataFrame:
-    """Give the pipeline's columns one type; other columns stay as they are."""
-    present = {name.lower() for name in raw.columns}
+def conform(raw: DataFrame) -> DataFrame:
+    """Give the pipeline's columns one type and count what that cost.
+
+    ``cast_refused`` counts a row's values that have no form in the wanted type and become
+    NULL; ``cast_changed`` those that come out different, such as 1.7 as a whole number.
+    Other columns stay as they are.
+    """
+    present = {field.name.lower(): field for field in raw.schema}
     lacking = [name for name in schemas.TRIP_TYPES if name.lower() not in present]
     if lacking:
         raise ValueError(f"raw files lack columns {lacking}")
-    return raw.withColumns(
-        {
-            name: F.col(name).try_cast(kind)
-            for name, kind in schemas.TRIP_TYPES.items()
-        }
-    )
+    refused, changed = [], []
+    for name, kind in schemas.TRIP_TYPES.items():
+        found = present[name.lower()].dataType
+        if found.simpleString() in _SAFE_CASTS.get(kind, (kind,)):
+            continue
+        cast = F.col(name).try_cast(kind)
+        refused.append((F.col(name).isNotNull() & cast.isNull()).cast("int"))
+        if found == T.StringType():  # text says a number in many ways: compare the numbers
+            back, was = cast.try_cast("double"), F.col(name).try_cast("double")
+            lost = back != was if kind in _NUMBERS else F.lit(False)
+        else:
+            lost = cast.try_cast(found) != F.col(name)
+        changed.append(F.coalesce(lost, F.lit(False)).cast("int"))
+    total = {"cast_refused": refused, "cast_changed": changed}
+    sums = {name: reduce(Column.__add__, parts, F.lit(0)) for name, parts in total.items()}
+    typed = {name: F.col(name).try_cast(kind) for name, kind in schemas.TRIP_TYPES.items()}
+    return raw.withColumns({**sums, **typed})
+
+
+def footers(spark: SparkSession, paths: Sequence[str]) -> list[T.StructType]:
+    """Schemas of raw files, each from its footer; many are asked for at a time."""
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        return list(pool.map(lambda path: spark.read.parquet(path).schema, paths))
 
 
 def read_raw(
@@ -179,26 +240,27 @@ def read_raw(
 ) -> DataFrame:
     """Raw months as one frame.
 
-    Monthly files drift: a column may be a double in one year and a whole number
-    in the next. Files with the same footer schema are read together, so years
-    of months become a handful of scans rather than one scan per month.
+    Monthly files drift: a column may be a double in one year and a whole number in the
+    next, or change the case of its name. Files with the same footer schema are read
+    together, so years of months become a handful of scans, and the scans are united under
+    one registry of columns.
     """
     if not periods:
         raise ValueError("no periods to read")
+    paths = [layers.raw_file(period) for period in periods]
     by_footer: dict[str, tuple[T.StructType, list[str]]] = {}
-    for period in periods:
-        path = layers.raw_file(period)
-        footer = spark.read.parquet(path).schema
+    for path, footer in zip(paths, footers(spark, paths), strict=True):
         by_footer.setdefault(footer.json(), (footer, []))[1].append(path)
     scans = [
-        _conform(
+        conform(
             spark.read.option("basePath", layers.raw)
-            .schema(_text_periods(footer))
+            .schema(text_periods(footer))
             .parquet(*paths)
         )
         for footer, paths in by_footer.values()
     ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+    whole = registry(scan.schema for scan in scans)
+    return reduce(DataFrame.unionByName, [unite(scan, whole) for scan in scans])
 
 
 def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:

@@ -1,26 +1,26 @@
-"""Serving tables: definition, month replacement, counts and table swaps."""
+"""Serving tables: months under loads, one ledger version that all readers resolve.
+
+Rows of a table live under the load that wrote them. Views with the tables' plain names show
+the loads that the newest ledger version names, so all tables change together, when that
+version is added, and a run that ends before has changed nothing.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from faremill import schemas
 from faremill.operators.gates import GateError
-from faremill.operators.periods import (
-    PERIOD,
-    Period,
-    collect_periods,
-    fully_processed,
-    in_periods,
-    normalize_period,
-)
+from faremill.operators.periods import PERIOD, Period, in_periods, normalize_period
+from faremill.sources.layers import counted_months
+from faremill.sources.ledger import Entry, Key, TableLedger
 
-STAGING = "__staging"
-PREVIOUS = "__previous"
+LOADS = "__loads"
+LEDGER = "live_months"
 
 
 @contextmanager
@@ -39,120 +39,133 @@ def replacing_partitions(spark: SparkSession) -> Iterator[None]:
 
 
 class ServingTables:
-    """Managed tables of one database, partitioned by year and month."""
+    """Managed tables of one database, partitioned by load, year and month."""
 
     def __init__(self, spark: SparkSession, database: str, location: str | None = None):
         self.spark = spark
         self.database = database
         place = f" LOCATION '{location}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
+        self.ledger = TableLedger(spark, self.name(LEDGER))
 
     def name(self, table: str, suffix: str = "") -> str:
         return f"{self.database}.{table}{suffix}"
 
-    def create(self, suffix: str = "") -> None:
+    def create(self) -> None:
+        self.ledger.create()
         for mart in schemas.MARTS.values():
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self.name(mart.name, suffix)} "
-                f"({mart.ddl}) USING parquet PARTITIONED BY (year, month)"
-            )
+            self.define(mart.name, mart.ddl, mart.stored_names)
+
+    def define(self, table: str, ddl: str, columns: Sequence[str]) -> None:
+        """A table of loads, and the view of its live months."""
+        loads = self.name(table, LOADS)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {loads} ({ddl}, load string) USING parquet "
+            "PARTITIONED BY (load, year, month)"
+        )
+        if self.spark.catalog.tableExists(self.name(table)):
+            return
+        ledger = self.name(LEDGER)
+        # the live months are a few rows, so they prune the partitions of the loads
+        self.spark.sql(
+            f"CREATE VIEW {self.name(table)} AS "
+            f"SELECT {', '.join('rows.' + name for name in columns)} FROM {loads} rows "
+            f"JOIN (SELECT load, year, month FROM {ledger} WHERE dataset = '{table}' "
+            f"AND version = (SELECT max(version) FROM {ledger})) live "
+            "ON rows.load = live.load AND rows.year = live.year AND rows.month = live.month"
+        )
 
-    def check_exist(self, suffix: str = "") -> None:
+    def check_exist(self) -> None:
         missing = [
             mart
             for mart in schemas.MARTS
-            if not self.spark.catalog.tableExists(self.name(mart, suffix))
+            if not self.spark.catalog.tableExists(self.name(mart))
         ]
         if missing:
             raise GateError(f"missing serving tables in {self.database}: {missing}")
 
-    def table(self, mart: str, suffix: str = "") -> DataFrame:
-        return self.spark.table(self.name(mart, suffix))
-
-    def replace_months(
-        self, mart: str, rows: DataFrame, periods: Sequence[Period], suffix: str = ""
-    ) -> None:
-        """Replace the given months of a table, or nothing at all.
-
-        A month without new rows would silently keep its old ones, so every
-        month must have rows before anything is written.
+    def table(self, mart: str, version: int | None = None) -> DataFrame:
+        """The live months, or those of a former version that is still kept."""
+        if version is None:
+            return self.spark.table(self.name(mart))
+        live = self.ledger.live(mart, version)
+        chosen = [entry.load + "".join(month) for month, entry in live.items()]
+        rows = self.spark.table(self.name(mart, LOADS))
+        return rows.where(F.concat("load", *PERIOD).isin(chosen)).drop("load")
+
+    def loaded(self, mart: str, load: str, periods: Sequence[Period]) -> DataFrame:
+        """Months of one load, live or not."""
+        rows = self.spark.table(self.name(mart, LOADS))
+        return rows.where((F.col("load") == load) & in_periods(periods)).drop("load")
+
+    def load(
+        self, mart: str, rows: DataFrame, periods: Sequence[Period], load: str
+    ) -> dict[Key, Entry]:
+        """Write months under a load; entries for the ledger, counted while writing.
+
+        Nothing is live yet. A month without rows is refused: its former rows would stay.
         """
-        counts = self.month_counts(rows.where(in_periods(periods)))
-        empty = sorted(set(periods) - set(counts))
+        contract = schemas.MARTS[mart]
+        body = [name for name in contract.stored_names if name not in PERIOD]
+        ready = rows.where(in_periods(periods)).select(*body, F.lit(load).alias("load"), *PERIOD)
+        ready = ready.hint("rebalance", *PERIOD).sortWithinPartitions(*PERIOD, *contract.grain)
+        counts = self.insert(mart, ready, periods)
+        empty = sorted(month for month, n in counts.items() if not n)
         if empty:
             raise GateError(f"no rows to load into {mart} for {empty}")
-        contract = schemas.MARTS[mart]
-        ready = rows.where(in_periods(periods)).select(*contract.stored_names)
+        return {(mart, month): Entry(load, n) for month, n in counts.items()}
+
+    def insert(self, table: str, ready: DataFrame, periods: Sequence[Period]) -> dict[Period, int]:
+        """Write rows of loads into a table; each month's rows, counted while writing.
+
+        The observation is the plan's last step, in the tasks that write, so a task that is
+        run again counts once. A load's partitions are replaced, so a step can be repeated.
+        """
+        seen = Observation()
         with replacing_partitions(self.spark):
-            (
-                ready.hint("rebalance", *PERIOD)
-                .sortWithinPartitions(*PERIOD, *contract.grain)
-                .write.insertInto(self.name(mart, suffix), overwrite=True)
-            )
-        loaded = self.month_counts(
-            self.table(mart, suffix).where(in_periods(periods))
-        )
-        if loaded != counts:
-            raise GateError(f"{mart}: loaded {loaded}, expected {counts}")
+            observed = ready.observe(seen, *counted_months(periods))
+            observed.write.insertInto(self.name(table, LOADS), overwrite=True)
+        return {month: seen.get["".join(month)] for month in periods}
 
-    @staticmethod
-    def month_counts(rows: DataFrame) -> dict[Period, int]:
-        """Rows per month; one collected row for each month."""
-        counted = rows.groupBy(*PERIOD).agg(F.count("*").alias("n")).collect()
-        return {(row["year"], row["month"]): row["n"] for row in counted}
+    def replace_months(self, mart: str, rows: DataFrame, periods: Sequence[Period], load: str) -> None:
+        """Replace the given months of one table, or nothing at all."""
+        self.ledger.commit(self.load(mart, rows, periods, load))
 
-    def processed_periods(self) -> list[Period]:
-        """Months with rows in every serving table.
+    def month_counts(self, mart: str) -> dict[Period, int]:
+        """Rows of each live month, from the ledger."""
+        return {month: entry.rows for month, entry in self.ledger.live(mart).items()}
 
-        Only partition values and row counts are read. The partition list alone
-        would also name months whose rows were removed.
-        """
-        tables = {mart: self.table(mart) for mart in schemas.MARTS}
-        return collect_periods(fully_processed(tables))
+    def processed_periods(self) -> list[Period]:
+        """Months with rows in every serving table, from the ledger alone."""
+        state = self.ledger.state()
+        months = [
+            {month for (name, month), entry in state.items() if name == mart and entry.rows}
+            for mart in schemas.MARTS
+        ]
+        return sorted(set.intersection(*months))
 
-    def delete_months(
-        self, mart: str, periods: Sequence[Period], suffix: str = ""
-    ) -> None:
-        """Drop the months' partitions of one table."""
+    def delete_months(self, mart: str, periods: Sequence[Period]) -> None:
+        """Take months out of one table."""
         chosen = sorted({normalize_period(*period) for period in periods})
-        if not chosen:
-            return
-        parts = ", ".join(f"PARTITION (year='{y}', month='{m}')" for y, m in chosen)
-        self.spark.sql(f"ALTER TABLE {self.name(mart, suffix)} DROP IF EXISTS {parts}")
-        if not self.table(mart, suffix).where(in_periods(chosen)).isEmpty():
-            raise RuntimeError(f"{mart}: months were not deleted")
+        if chosen:
+            self.ledger.commit({}, drop=[(mart, month) for month in chosen])
 
     def delete_month(self, period: Period) -> None:
-        for mart in schemas.MARTS:
-            self.delete_months(mart, [period])
+        """Take a month out of all tables at once."""
+        month = normalize_period(*period)
+        self.ledger.commit({}, drop=[(mart, month) for mart in schemas.MARTS])
 
     def truncate(self) -> None:
-        for mart in schemas.MARTS:
-            if self.spark.catalog.tableExists(self.name(mart)):
-                self.spark.sql(f"TRUNCATE TABLE {self.name(mart)}")
-
-    def drop(self, suffix: str) -> None:
-        for mart in schemas.MARTS:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(mart, suffix)}")
-
-    def swap_in(self, suffix: str = STAGING) -> None:
-        """Put staged tables in place and keep the former ones for rollback.
+        """Empty all tables at once; former versions can be restored until they expire."""
+        self.ledger.commit({}, keep=False)
 
-        A swap that was cut off is finished by calling it again: a table that is no
-        longer staged has been swapped before.
-        """
-        exists = self.spark.catalog.tableExists
-        staged = [m for m in schemas.MARTS if exists(self.name(m, suffix))]
-        if not staged or any(
-            m not in staged and not exists(self.name(m)) for m in schemas.MARTS
-        ):
-            self.check_exist(suffix)
-        for mart in staged:
-            live = self.name(mart)
-            if exists(live):
-                self.spark.sql(f"DROP TABLE IF EXISTS {live}{PREVIOUS}")
-                self.spark.sql(f"ALTER TABLE {live} RENAME TO {live}{PREVIOUS}")
-            self.spark.sql(f"ALTER TABLE {live}{suffix} RENAME TO {live}")
+    def expire(self, keep: int = 2) -> None:
+        """Drop the partitions that none of the newest versions names."""
+        for table, (year, month), load in sorted(self.ledger.retire(keep)):
+            self.spark.sql(
+                f"ALTER TABLE {self.name(table, LOADS)} DROP IF EXISTS "
+                f"PARTITION (load='{load}', year='{year}', month='{month}')"
+            )
 
 
 def jdbc_options(

@@ -1,5 +1,6 @@
 """The month pipeline end to end over raw files made from the test tables."""
 
+from collections import Counter
 from pathlib import Path
 
 import pandas as pd
@@ -14,7 +15,8 @@ from faremill.operators.periods import first_of_month, in_periods, last_of_month
 from faremill.plans.pipeline import Pipeline
 from faremill.sources import layers as files
 from faremill.sources.layers import Layers
-from faremill.sources.serving import PREVIOUS, STAGING, ServingTables
+from faremill.sources.ledger import TableLedger
+from faremill.sources.serving import ServingTables
 
 MONTHS = [("1998", "05"), ("1998", "06"), ("1998", "07")]
 REBUILD = {
@@ -146,8 +148,8 @@ def test_layers_hold_every_row(loaded, trips):
     fresh = Pipeline(loaded.spark, loaded.layers, loaded.serving)
     assert rows(fresh.checked(MONTHS)) == rows(loaded.checked(MONTHS))
     assert rows(fresh.silver(MONTHS)) == rows(loaded.silver(MONTHS))
-    report = files.read_months(loaded.spark, loaded.layers.quality)
-    assert report.count() == 14 * len(MONTHS)
+    report = loaded.spark.read.parquet(loaded.layers.quality)
+    assert report.count() == 17 * len(MONTHS)
 
 
 def test_no_new_months_is_a_success(loaded):
@@ -155,10 +157,9 @@ def test_no_new_months_is_a_success(loaded):
 
 
 def test_month_scan_prunes_partitions(loaded):
-    scan = files.scan_month(loaded.spark, loaded.layers.bronze, MONTHS[1])
+    scan = files.scan_month(loaded.spark, loaded.layers, "bronze", MONTHS[1])
     plan = scan._jdf.queryExecution().executedPlan().toString()
-    filters = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
-    assert "concat(year" in filters and "199806" in filters, plan
+    assert plan.count("InMemoryFileIndex(1 paths)") == 1 and "month=06" in "".join(scan.inputFiles())
     months = scan.select("source_year", "source_month").distinct().collect()
     assert [tuple(row) for row in months] == [MONTHS[1]]
 
@@ -185,11 +186,14 @@ def test_refresh_replaces_only_its_month_and_is_idempotent(loaded, trips):
 
 def test_partly_loaded_month_is_picked_up_again(loaded):
     full = snapshot(loaded)
-    name = loaded.serving.name(schemas.ROUTE.name)
-    loaded.spark.sql(f"ALTER TABLE {name} DROP PARTITION (year='1998', month='07')")
+    loaded.serving.delete_months(schemas.ROUTE.name, MONTHS[2:])
     assert loaded.serving.processed_periods() == MONTHS[:2]
     assert loaded.process_new() == MONTHS[2:]
     assert snapshot(loaded) == full
+    # the models follow a run that processed something
+    kpis = loaded.spark.table(loaded.serving.name("mart_daily_trip_kpis"))
+    daily = loaded.serving.table(schemas.DAILY.name)
+    assert rows(kpis.select("pickup_date", "trips_count")) == rows(daily.select("pickup_date", "trips_count"))
 
 
 def test_failed_gate_leaves_serving_untouched(loaded, trips):
@@ -216,14 +220,19 @@ def test_months_without_new_rows_are_refused(loaded):
     before = snapshot(loaded)
     may = loaded.mart(schemas.DAILY.name, MONTHS[:1])
     with pytest.raises(GateError, match="no rows to load"):
-        loaded.serving.replace_months(schemas.DAILY.name, may, MONTHS[:2])
+        loaded.serving.replace_months(schemas.DAILY.name, may, MONTHS[:2], "half")
     assert snapshot(loaded) == before
 
 
 def test_build_models(loaded):
     kpis = loaded.build_models()
     assert kpis.count() == loaded.serving.table(schemas.DAILY.name).count()
-    assert loaded.spark.table("stg_hourly_trips").columns[-1] == "gold_load_timestamp"
+    # another session finds the models in the catalog
+    other = loaded.spark.newSession()
+    staged = other.table(loaded.serving.name("stg_hourly_trips"))
+    assert staged.columns[-1] == "gold_load_timestamp"
+    assert staged.count() == loaded.serving.table(schemas.HOURLY.name).count()
+    assert other.table(loaded.serving.name("int_daily_trip_metrics")).count() == kpis.count()
     voided = loaded.serving.table(schemas.PAYMENT.name).withColumn(
         "payment_type", F.lit(6).cast("bigint")
     )
@@ -231,16 +240,50 @@ def test_build_models(loaded):
         loaded._test_model("stg_payment_type_stats", voided)
 
 
-def test_rebuild_swaps_only_after_gates(loaded):
+def test_rebuild_changes_only_after_gates(loaded):
     loaded.serving.delete_month(MONTHS[2])
     old = snapshot(loaded)
     with pytest.raises(ValueError, match="Missing periods: 1998-08"):
         loaded.rebuild({**REBUILD, "expected_end_month": "08"})
     assert snapshot(loaded) == old
+    before = loaded.serving.ledger.version()
     assert loaded.rebuild(REBUILD) == MONTHS
     assert loaded.serving.processed_periods() == MONTHS
-    previous = loaded.serving.table(schemas.DAILY.name, PREVIOUS)
-    assert rows(previous) == old[schemas.DAILY.name]
+    whole = snapshot(loaded)
+    assert rows(loaded.serving.table(schemas.DAILY.name, before)) == old[schemas.DAILY.name]
+    loaded.serving.ledger.restore(before)
+    assert snapshot(loaded) == old
+    loaded.serving.ledger.restore(before + 1)
+    assert snapshot(loaded) == whole
+    with pytest.raises(ValueError, match="no version 0"):
+        loaded.serving.ledger.restore(0)
+
+
+def test_models_rewrite_only_changed_months(loaded, trips):
+    """A one-month run computes one month of KPIs; the other months' files stay."""
+    loaded.build_models()
+
+    def kpi_files():
+        return set(loaded.spark.table(loaded.serving.name("mart_daily_trip_kpis__loads")).inputFiles())
+
+    before, live = kpi_files(), loaded.serving.ledger.live("mart_daily_trip_kpis")
+    assert sorted(live) == MONTHS
+    loaded.process(MONTHS[1:2])
+    kpis = loaded.build_models()
+    now = loaded.serving.ledger.live("mart_daily_trip_kpis")
+    assert [month for month in MONTHS if now[month] != live[month]] == MONTHS[1:2]
+    fresh = kpi_files() - before
+    assert fresh and all(f"load={now[MONTHS[1]].load}/year=1998/month=06/" in f for f in fresh)
+    assert kpis.count() == loaded.serving.table(schemas.DAILY.name).count()
+    loaded.serving.delete_month(MONTHS[0])
+    assert loaded.build_models().where("pickup_month_number = 5").isEmpty()
+    loaded.process(MONTHS[:1])
+
+
+def test_views_prune_to_live_loads(loaded):
+    view = loaded.serving.table(schemas.DAILY.name).where("year = '1998' AND month = '06'")
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
 
 
 def test_delete_and_truncate(loaded):
@@ -324,41 +367,193 @@ def test_a_raw_month_that_lost_its_rows_is_refused(pipeline, trips, tmp_path):
     assert snapshot(pipeline) == before
 
 
-def test_a_half_published_month_is_taken_up_again(pipeline, trips, tmp_path, monkeypatch):
-    write_raw(trips, tmp_path, MONTHS[:1])
+STEPS = (
+    [("load", k) for k in range(4)]
+    + [("gate_serving", 0), ("append", 0), ("expire", 0)]
+)
+
+
+@pytest.mark.parametrize("late", [False, True])
+@pytest.mark.parametrize(("step", "call"), STEPS)
+def test_a_killed_run_leaves_all_tables_old_or_all_new(
+    half, trips, monkeypatch, step, call, late
+):
+    """Killed before or after each step of publishing: no table differs from the others."""
+    pipeline, old, new = half
+    owner = {"load": ServingTables, "expire": ServingTables, "gate_serving": Pipeline, "append": TableLedger}[step]
+    real, calls = getattr(owner, step), []
+
+    def dying(self, *args, **named):
+        calls.append(step)
+        if len(calls) - 1 != call:
+            return real(self, *args, **named)
+        if late:
+            real(self, *args, **named)
+        raise OSError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(owner, step, dying)
+        with pytest.raises(OSError):
+            pipeline.publish(MONTHS[:1])
+    published = step == "expire" or (step == "append" and late)
+    assert snapshot(pipeline) == (new if published else old)
+    if published:
+        pipeline.serving.ledger.restore(pipeline.serving.ledger.version() - 1)
+    assert snapshot(pipeline) == old
+
+
+@pytest.fixture(scope="module")
+def half(spark, trips, tmp_path_factory):
+    """A published month whose next version is prepared: (pipeline, old rows, new rows)."""
+    root = tmp_path_factory.mktemp("half")
+    pipeline = make_pipeline(spark, root)
+    write_raw(trips, root, MONTHS[:1], lambda frame, period: frame.tail(2))
     pipeline.process(MONTHS[:1])
+    old = snapshot(pipeline)
+    write_raw(trips, root, MONTHS[:1])
+    pipeline.publish(MONTHS[:1], pipeline.prepare(MONTHS[:1]))
+    new = snapshot(pipeline)
+    assert all(old[mart] != new[mart] for mart in old)
+    pipeline.serving.ledger.restore(pipeline.serving.ledger.version() - 1)
+    return pipeline, old, new
+
+
+def test_a_version_that_was_cut_off_is_not_seen(half, spark):
+    """A version's file that the catalog does not know yet changes nothing."""
+    pipeline, old, _ = half
+    ledger = pipeline.serving.ledger
+    number = ledger.version()
+    folder = Path(ledger.rows().inputFiles()[0].removeprefix("file://")).parent.parent
+    cut = folder / f"version={number + 1}"
+    cut.mkdir()
+    (cut / "part-0.parquet").write_bytes(b"cut off")
+    assert ledger.version() == number and snapshot(pipeline) == old
+    (cut / "part-0.parquet").unlink()
+    cut.rmdir()
+
+
+def test_rows_that_got_lost_on_the_way_are_noticed(half, monkeypatch):
+    pipeline, old, _ = half
+    real = ServingTables.loaded
+
+    def lossy(self, mart, load, months):
+        frame = real(self, mart, load, months)
+        return frame.where("pickup_hour <> 9") if mart == schemas.HOURLY.name else frame
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ServingTables, "loaded", lossy)
+        with pytest.raises(GateError, match="gold_hourly_trips: loaded"):
+            pipeline.publish(MONTHS[:1])
+    assert snapshot(pipeline) == old
+
+
+def test_former_loads_expire(pipeline, trips, tmp_path):
+    write_raw(trips, tmp_path, MONTHS[:1])
+    for _ in range(3):
+        pipeline.process(MONTHS[:1])
+    table = pipeline.spark.table(pipeline.serving.name(schemas.DAILY.name, "__loads"))
+    assert table.select("load").distinct().count() == 2  # the live one and one before it
+    assert len(pipeline.serving.ledger.versions()) == 2
+    assert len(list((tmp_path / "checked" / "yellow").glob("load=*/year=*/month=*"))) <= 2
+
+
+def test_a_failed_write_leaves_checked_rows_as_they_were(pipeline, trips, tmp_path, monkeypatch):
+    write_raw(trips, tmp_path, MONTHS[:1])
+    pipeline.ingest(MONTHS[:1])
+    pipeline.check_trips(MONTHS[:1])
+    before = rows(pipeline.checked(MONTHS[:1]))
     write_raw(trips, tmp_path, MONTHS[:1], lambda frame, period: frame.tail(2))
-    replace = ServingTables.replace_months
-    third = list(schemas.MARTS)[2]
+    pipeline.ingest(MONTHS[:1])
+    real = files.Loads.write
 
-    def failing(self, mart, *rest):
-        if mart == third:
+    def failing(self, dataset, *rest):
+        if dataset == "rejected":
             raise OSError("disk full")
-        replace(self, mart, *rest)
+        return real(self, dataset, *rest)
 
     with monkeypatch.context() as patch:
-        patch.setattr(ServingTables, "replace_months", failing)
+        patch.setattr(files.Loads, "write", failing)
         with pytest.raises(OSError):
-            pipeline.process(MONTHS[:1])
-    assert pipeline.new_periods() == MONTHS[:1]
-    assert pipeline.process_new() == MONTHS[:1]
-    for mart in (schemas.DAILY, schemas.ROUTE):
-        total = pipeline.serving.table(mart.name).agg(F.sum("trips_count")).first()[0]
-        assert total == 2
-    # the models follow a run that processed something
-    kpis = pipeline.spark.table(pipeline.serving.name("mart_daily_trip_kpis"))
-    assert kpis.agg(F.sum("trips_count")).first()[0] == 2
+            pipeline.check_trips(MONTHS[:1])
+    assert rows(pipeline.checked(MONTHS[:1])) == before
+    pipeline.check_trips(MONTHS[:1])
+    assert pipeline.checked(MONTHS[:1]).count() == 2
 
 
-def test_a_swap_that_was_cut_off_is_finished_by_the_next(pipeline, trips, tmp_path):
-    write_raw(trips, tmp_path, MONTHS[:1])
+def test_rejected_rows_are_packed(pipeline, trips, tmp_path):
+    """Clean rows stay where their split is; the few others of a month share a file."""
+    write_raw(trips, tmp_path)
+    pipeline.ingest(MONTHS)
+    spread = pipeline.loads.read("bronze", MONTHS).repartition(6)
+    entries = pipeline.loads.write("bronze", spread, "spread", MONTHS)
+    pipeline.loads.ledger.commit(entries)
+    pipeline.check_trips(MONTHS)
+    for status in ("bad", "undetermined"):
+        found = (tmp_path / "rejected").rglob(f"month=*/row_status={status}/*.parquet")
+        per_month = Counter(str(f.parent) for f in found)
+        assert len(per_month) >= 2 and set(per_month.values()) == {1}
+        assert not list((tmp_path / "checked").rglob(f"row_status={status}"))
+
+
+def test_names_and_types_may_drift_between_runs(pipeline, trips, tmp_path):
+    """A fee column changes its case, its type and its place; an int column becomes text."""
+
+    def first(frame, period):
+        return frame.assign(airport_fee=2, note=7)
+
+    def second(frame, period):
+        frame = frame.assign(Airport_fee=1.25, note="seven")
+        return frame[["Airport_fee", *[c for c in frame.columns if c != "Airport_fee"]]]
+
+    write_raw(trips, tmp_path, MONTHS[:1], first)
     pipeline.process(MONTHS[:1])
-    pipeline.publish(MONTHS[:1], STAGING)
-    serving, first = pipeline.serving, list(schemas.MARTS)[0]
-    live = serving.name(first)
-    pipeline.spark.sql(f"ALTER TABLE {live} RENAME TO {live}{PREVIOUS}")
-    pipeline.spark.sql(f"ALTER TABLE {live}{STAGING} RENAME TO {live}")
-    serving.swap_in(STAGING)
-    assert serving.processed_periods() == MONTHS[:1]
-    with pytest.raises(GateError, match="missing serving tables"):
-        serving.swap_in(STAGING)
+    write_raw(trips, tmp_path, MONTHS[1:2], second)
+    fresh = Pipeline(pipeline.spark, pipeline.layers, pipeline.serving)
+    fresh.process(MONTHS[1:2])
+    for frame in (fresh.loads.read("bronze", MONTHS[:2]), fresh.silver(MONTHS[:2])):
+        kinds = dict(frame.dtypes)
+        assert kinds["airport_fee"] == "double" and kinds["note"] == "string"
+        assert "Airport_fee" not in kinds
+        found = frame.groupBy("month").agg(
+            F.min("airport_fee").alias("low"), F.max("airport_fee").alias("high"), F.max("note").alias("note")
+        )
+        assert {tuple(row) for row in found.collect()} == {
+            ("05", 2.0, 2.0, "7"),
+            ("06", 1.25, 1.25, "seven"),
+        }
+
+
+def test_reading_layers_runs_no_footer_jobs(loaded, monkeypatch):
+    """Schemas of bronze and checked months come from the ledger."""
+
+    def none(*args):
+        raise AssertionError("a footer was read")
+
+    monkeypatch.setattr(files, "footers", none)
+    assert loaded.checked(MONTHS).count() > 0
+    plan = loaded.silver(MONTHS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1  # months of one schema are one scan
+
+
+def test_casts_are_counted_and_broken_months_refused(pipeline, trips, tmp_path):
+    def some(frame, period):
+        frame["passenger_count"] = frame["passenger_count"].astype("float64")
+        frame.loc[frame.index[:3], "passenger_count"] = [1.7, 2.5, float("nan")]
+        frame["PULocationID"] = frame["PULocationID"].astype("Int64").astype("string")
+        frame.loc[frame.index[3], "PULocationID"] = "12a"
+        return frame
+
+    write_raw(trips, tmp_path, MONTHS[:1], some)
+    pipeline.process(MONTHS[:1])
+    report = pipeline.spark.read.parquet(pipeline.layers.quality)
+    failed = {row["check"]: row["failed_rows"] for row in report.collect()}
+    assert failed["dq_cast_changed"] == 2 and failed["dq_cast_refused"] >= 1
+    before = snapshot(pipeline)
+
+    def broken(frame, period):
+        return frame.assign(fare_amount="abc")
+
+    write_raw(trips, tmp_path, MONTHS[:1], broken)
+    with pytest.raises(GateError, match="could not be read"):
+        pipeline.process(MONTHS[:1])
+    assert snapshot(pipeline) == before

@@ -166,7 +166,7 @@ def test_report(flag):
         flag(GOOD, with_changes(trip_distance=0.0), with_changes(trip_distance=None))
     )
     rows = {row["check"]: row for row in report.collect()}
-    assert len(rows) == 14
+    assert len(rows) == 15
     assert rows["dq_bad_distance"]["failed_rows"] == 1
     assert rows["total_bad"]["failed_rows"] == 1
     assert rows["total_bad"]["share"] == pytest.approx(1 / 3)
