@@ -10,6 +10,7 @@ monotone queue gives it in constant time.
 from __future__ import annotations
 
 import os
+import re
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,7 +36,8 @@ class Packing:
 
     exact: the least power of two that is tried as the length of an unpadded window; step:
     within a sentence longer than this, cuts are allowed at this distance; flush:
-    tokens that are planned together; cache: distinct words whose ids a task keeps.
+    tokens that are planned together; cache: distinct words whose ids a task keeps: when there
+    are more, the words that came in few slices of the text go.
     """
 
     tokenizer: str
@@ -47,7 +49,7 @@ class Packing:
     step: int = 256
     exact: int = 128
     flush: int = 1 << 18
-    cache: int = 120_000
+    cache: int = 100_000
 
 
 SCHEMA = (
@@ -56,10 +58,11 @@ SCHEMA = (
 )
 
 
-STOPS = frozenset(".!?…")
 SIGNS = "!#$%&()*+,-./:;<=>?@[]^_{|}~"  # ASCII signs but quotes and the backslash
-CLOSER_SET = frozenset("\"'”»)")
-CLOSERS = "\"'”»)"
+# letters up to U+024F, but for the one that becomes two in lower case
+LETTERS = "^[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+$"
+TAIL = "(?P<tail>[" + re.escape(SIGNS) + "]+)$"
+SENTENCE_END = "[.!?…][\"'”»)]*$"
 
 
 class ByteNames(dict):
@@ -73,7 +76,13 @@ class ByteNames(dict):
 
 class WordTokens:
     """Token ids of texts. The tokenizer never joins what white space parts, so the ids of
-    a text are those of its words in turn, and each distinct word is encoded once."""
+    a text are those of its words in turn.
+
+    Latin letters with signs behind, the usual word, are at most two units of the
+    vocabulary's splitting rule, letters in lower case and signs (the apostrophe starts
+    units of its own); each distinct unit goes to the merging step directly, and only once
+    while it is kept. Other words are encoded whole.
+    """
 
     def __init__(self, path: str, cache: int):
         # Spark's tasks already use all cores
@@ -81,71 +90,82 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.cache = cache
         self.letters = ByteNames()
-        self.reset()
-
-    def reset(self) -> None:
-        self.known: dict[str, int] = {}
-        self.units: dict[str, list[int]] = {}  # signs behind words
-        self.stems: dict[str, list[int]] = {}
+        self.known: dict[str, int] = {}  # number of each unit and each other word
         self.starts = np.zeros(0, dtype=np.int64)
         self.lengths = np.zeros(0, dtype=np.int64)
-        self.ends_sentence = np.zeros(0, dtype=bool)
+        self.seen = np.zeros(0, dtype=np.int64)  # slices that held it, later ones more
         self.ids = np.zeros(0, dtype=np.uint32)
 
-    def numbers(self, words: list[str]) -> np.ndarray:
-        if len(self.known) > self.cache:
-            self.reset()
-        codes = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+    def forget(self, most: int) -> None:
+        """Keep what came in several slices, at most that many units and words."""
+        often = np.argsort(-self.seen, kind="stable")[:most]
+        kept = np.sort(often[self.seen[often] > 1])
+        names = list(self.known)
+        self.known = {names[i]: k for k, i in enumerate(kept.tolist())}
+        self.ids, self.starts = gather(self.ids, self.starts[kept], self.lengths[kept])
+        self.lengths = self.lengths[kept]
+        self.seen = (self.seen[kept] + 1) // 2
+
+    def numbers(self, strings: pa.Array, encode) -> np.ndarray:
+        """Numbers of distinct strings; those not known are encoded and kept."""
+        names = strings.to_pylist()
+        codes = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
         new = np.flatnonzero(codes < 0)
         if len(new):
-            fresh = [words[i] for i in new.tolist()]
+            fresh = [names[i] for i in new.tolist()]
             first = len(self.known)
             self.known.update(zip(fresh, range(first, first + len(fresh)), strict=True))
             codes[new] = first + np.arange(len(fresh))
-            found = self.encode_words(fresh)
+            found = encode(fresh)
             lengths = np.fromiter(map(len, found), np.int64, len(found))
             begin = len(self.ids) + np.cumsum(lengths) - lengths
             flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
-            stops = [w[-1:] in STOPS or (w[-1:] in CLOSER_SET and w.rstrip(CLOSERS)[-1:] in STOPS) for w in fresh]
             self.ids = np.concatenate([self.ids, flat])
             self.starts = np.concatenate([self.starts, begin])
             self.lengths = np.concatenate([self.lengths, lengths])
-            self.ends_sentence = np.concatenate([self.ends_sentence, np.array(stops, dtype=bool)])
+            self.seen = np.concatenate([self.seen, np.zeros(len(fresh), dtype=np.int64)])
+        self.seen[codes] += 1
         return codes
 
+    def encode_units(self, units: list[str]) -> list[list[int]]:
+        """Letters beyond ASCII are spelt by the vocabulary's names for their bytes."""
+        tokenize, letters = self.tokenizer.model.tokenize, self.letters
+        return [
+            [t.id for t in tokenize(unit if unit.isascii() else unit.translate(letters))]
+            for unit in units
+        ]
+
     def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word. Latin letters with signs behind, the usual case, are at most two
-        units of the vocabulary's splitting rule, letters in lower case and signs, which go
-        to the merging step directly; the apostrophe starts units of its own. Letters
-        beyond ASCII are spelt by the vocabulary's names for their bytes."""
-        out: list[list[int] | None] = [None] * len(words)
-        rest = []
-        units, stems, tokenize = self.units, self.stems, self.tokenizer.model.tokenize
-        for i, word in enumerate(words):
-            stem = word.rstrip(SIGNS)
-            if stem.isalpha() and (stem.isascii() or (max(stem) < "\u0250" and "\u0130" not in stem)):
-                stem = stem.lower()
-                ids = stems.get(stem)
-                if ids is None:
-                    unit = stem if stem.isascii() else stem.translate(self.letters)
-                    stems[stem] = ids = [t.id for t in tokenize(unit)]
-                if len(stem) < len(word):
-                    tail = word[len(stem) :]
-                    if tail not in units:
-                        units[tail] = [t.id for t in tokenize(tail)]
-                    ids = ids + units[tail]
-                out[i] = ids
-            else:
-                rest.append(i)
-        for at in range(0, len(rest), 1024):
-            some = rest[at : at + 1024]
-            encoded = self.tokenizer.encode_batch_fast(
-                [words[i] for i in some], add_special_tokens=False
-            )
-            for i, x in zip(some, encoded, strict=True):
-                out[i] = x.ids
+        out: list[list[int]] = []
+        for at in range(0, len(words), 1024):
+            part = self.tokenizer.encode_batch_fast(words[at : at + 1024], add_special_tokens=False)
+            out += [x.ids for x in part]
         return out
 
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct words, one after the other, and where each word's begin and how
+        many they are."""
+        if len(self.known) > self.cache:
+            self.forget(self.cache // 2)
+        stems = pc.utf8_rtrim(words, characters=SIGNS)
+        usual = pc.match_substring_regex(stems, LETTERS)
+        is_usual = np.asarray(usual)
+        parts = np.full((len(words), 2), -1, dtype=np.int64)
+        lower = pc.utf8_lower(stems.filter(usual)).dictionary_encode()
+        if len(lower):
+            parts[is_usual, 0] = self.numbers(lower.dictionary, self.encode_units)[np.asarray(lower.indices)]
+        signed = pc.and_(usual, pc.not_equal(pc.binary_length(stems), pc.binary_length(words)))
+        tails = pc.struct_field(pc.extract_regex(words.filter(signed), TAIL), [0]).dictionary_encode()
+        if len(tails):
+            parts[np.asarray(signed), 1] = self.numbers(tails.dictionary, self.encode_units)[np.asarray(tails.indices)]
+        others = words.filter(pc.invert(usual))
+        if len(others):
+            parts[~is_usual, 0] = self.numbers(others, self.encode_words)
+        used = parts.ravel()[parts.ravel() >= 0]
+        ids, _ = gather(self.ids, self.starts[used], self.lengths[used])
+        lengths = np.where(parts >= 0, self.lengths[parts], 0).sum(axis=1)
+        return ids, np.cumsum(lengths) - lengths, lengths
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids in order; tokens of each text; token positions after each sentence."""
         split = pc.ascii_split_whitespace(texts)
@@ -154,15 +174,22 @@ class WordTokens:
         if not len(coded):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64), np.zeros(0, np.int64)
         # white space at either end of a text leaves an empty word, which has no ids
-        number = self.numbers(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
-        lengths = self.lengths[number]
+        flat, starts, lengths = self.words(coded.dictionary)
+        number = np.asarray(coded.indices)
+        lengths = lengths[number]
         ends = np.cumsum(lengths)
-        total = int(ends[-1])
-        at = np.repeat(self.starts[number] - (ends - lengths), lengths)
-        ids = self.ids[at + np.arange(total)]
+        ids, _ = gather(flat, starts[number], lengths)
         word_ends = np.concatenate(([0], ends))[np.cumsum(per_text)]
         tokens = np.diff(np.concatenate(([0], word_ends)))
-        return ids, tokens, ends[self.ends_sentence[number]]
+        stops = np.asarray(pc.match_substring_regex(coded.dictionary, SENTENCE_END))
+        return ids, tokens, ends[stops[number]]
+
+
+def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches of an array one after the other, and where each begins now."""
+    begin = np.cumsum(lengths) - lengths
+    total = int(lengths.sum())
+    return values[np.repeat(starts - begin, lengths) + np.arange(total)], begin
 
 
 def cut_points(ends: np.ndarray, sentences: np.ndarray, plan: Packing) -> tuple[np.ndarray, np.ndarray]:
@@ -301,6 +328,8 @@ def pack_texts(batches, plan: Packing, task: int) -> Iterator[pa.RecordBatch]:
             yield packed
     if packed := stream.flush(last=True):
         yield packed
+    # the worker may go on to tasks of another kind
+    encoder.forget(plan.cache // 8)
 
 
 def pack(documents: DataFrame, plan: Packing) -> DataFrame:
