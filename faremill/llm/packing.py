@@ -26,7 +26,7 @@ from pyspark.sql.types import IntegralType
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-from faremill.llm.words import kept_in_worker, slices
+from faremill.llm.words import give_back, kept_in_worker, slices
 
 
 @dataclass(frozen=True)
@@ -330,6 +330,7 @@ def pack_texts(batches, plan: Packing, task: int) -> Iterator[pa.RecordBatch]:
         yield packed
     # the worker may go on to tasks of another kind
     encoder.forget(plan.cache // 8)
+    give_back()
 
 
 def pack(documents: DataFrame, plan: Packing) -> DataFrame:

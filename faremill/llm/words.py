@@ -7,6 +7,7 @@ for every text of a slice at once.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Iterator
@@ -139,6 +140,15 @@ def kept_in_worker(name: str, make):
     return getattr(store, name)
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Python workers live on for later tasks of any kind,
+    and what allocators keep for themselves would add up beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
+
 def slices(batches, column: str = "text", most_bytes: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """Record batches cut so that each holds about most_bytes of text, or one longer text."""
     for batch in batches:
@@ -152,3 +162,4 @@ def slices(batches, column: str = "text", most_bytes: int = 1 << 21) -> Iterator
             to = min(rows, max(at + 1, to))
             yield batch.slice(at, to - at)
             at = to
+    give_back()
