@@ -10,6 +10,7 @@ instead of keeping rates anywhere.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from faremill.llm.storage import written
+from faremill.llm.storage import discard, written
 from faremill.llm.words import Words, mix, slices
 
 _U = np.uint64
@@ -41,7 +42,6 @@ class Mixture:
     epochs: int = 60
     rounds: int = 60
     tolerance: float = 1e-4
-    snap: float = 0.0
     seed: int = 17
 
 
@@ -154,33 +154,55 @@ def softmax(scores: np.ndarray) -> np.ndarray:
     return scores / scores.sum(axis=1, keepdims=True)
 
 
-def posteriors(documents: DataFrame, weights: np.ndarray, plan: Mixture) -> DataFrame:
-    """The documents with n_tokens (words) and posteriors over the domains; the columns
-    are named _tokens and _p0, _p1, _p2."""
+@dataclass(frozen=True)
+class Names:
+    """Columns that the operator adds, under names that the documents do not have."""
+
+    tokens: str
+    p: tuple[str, ...]
+    rate: str
+    copies: str
+    draw: str
+
+    @classmethod
+    def beside(cls, columns: list[str]) -> Names:
+        taken = {name.lower() for name in columns}
+
+        def free(name: str) -> str:
+            while name in taken:
+                name += "_"
+            return name
+
+        p = tuple(free(f"mixed_p{k}") for k in range(len(DOMAINS)))
+        return cls(free("mixed_tokens"), p, free("mixed_rate"), free("mixed_copies"), free("mixed_draw"))
+
+
+def posteriors(
+    documents: DataFrame, weights: np.ndarray, plan: Mixture, steps: tuple[list, float] | None = None
+) -> DataFrame:
+    """The documents with tokens (words) and posteriors over the domains and, where the
+    fitted steps are given, the rate; see Names for the columns."""
     shared = documents.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
-    size, names = plan.features, documents.columns
-    at = names.index("text")
-    schema = StructType(
-        [
-            *documents.schema.fields,
-            StructField("_tokens", LongType()),
-            *(StructField(f"_p{k}", DoubleType()) for k in range(len(DOMAINS))),
-        ]
-    )
+    size, names = plan.features, Names.beside(documents.columns)
+    at = documents.columns.index("text")
+    added = [StructField(names.tokens, LongType()), *(StructField(x, DoubleType()) for x in names.p)]
+    added += [StructField(names.rate, DoubleType())] if steps else []
+    schema = StructType([*documents.schema.fields, *added])
 
     def scored(batches):
         own = shared.value
-        for batch in slices(batches):
+        for batch in slices(batches, documents_text, 1 << 20):
             doc, column, value, counts = features(batch.column(at).cast("string"), size)
             scores = np.stack(
                 [np.bincount(doc, value * own[column, k], len(batch)) for k in range(len(DOMAINS))], axis=1
             )
             p = softmax(scores + own[-1])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(counts), *(pa.array(p[:, k]) for k in range(len(DOMAINS)))],
-                names=[*batch.schema.names, *(f.name for f in schema.fields[len(names) :])],
-            )
+            more = [pa.array(counts), *(pa.array(p[:, k]) for k in range(len(DOMAINS)))]
+            if steps:
+                more.append(pa.array(replay(p, *steps)[0]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=schema.names)
 
+    documents_text = documents.columns[at]
     return documents.mapInArrow(scored, schema)
 
 
@@ -195,28 +217,37 @@ def replay(p: np.ndarray, residuals: list, step: float) -> tuple[np.ndarray, np.
     return rate, ahead
 
 
-def fit(known: DataFrame, plan: Mixture) -> tuple[list, float, np.ndarray, np.ndarray]:
-    """Residuals of all steps, the step size, the totals that are met and the targets.
+@dataclass(frozen=True)
+class Fit:
+    """residuals and step give the rates again (replay); met, target: expected totals of the
+    domains as shares of all tokens; converged: whether all are within the tolerance."""
 
-    known: _tokens and posteriors of all documents. Totals are shares of all tokens.
-    """
-    k = len(DOMAINS)
-    names = [f"_p{i}" for i in range(k)]
+    residuals: list
+    step: float
+    met: np.ndarray
+    target: np.ndarray
+    converged: bool
+
+
+def fit(known: DataFrame, tokens: str, names: tuple[str, ...], plan: Mixture) -> Fit:
+    """Nonnegative rates whose expected totals meet the targets, by accelerated projected
+    gradient: one pass over the tokens and posteriors of all documents for each step."""
+    k = len(names)
     sums = known.agg(
-        F.sum("_tokens").alias("n"),
-        *(F.sum(F.col("_tokens") * F.col(x)).alias(x) for x in names),
-        *(F.sum(F.col("_tokens") * F.col(x) * F.col(y)).alias(x + y) for x in names for y in names),
+        F.sum(tokens).alias("n"),
+        *(F.sum(F.col(tokens) * F.col(x)).alias(x) for x in names),
+        *(F.sum(F.col(tokens) * F.col(x) * F.col(y)).alias(x + y) for x in names for y in names),
     ).first()
     total = float(sums["n"] or 0)
     if not total:
-        return [], 1.0, np.zeros(k), np.zeros(k)
+        return Fit([], 1.0, np.zeros(k), np.zeros(k), True)
     have = np.array([sums[x] for x in names]) / total
     gram = np.array([[sums[x + y] for y in names] for x in names]) / total
     step = 1.0 / float(np.linalg.eigvalsh(gram)[-1])
     weights = np.array(plan.weights) / sum(plan.weights)
     target = weights * have[0] / weights[0]
     residuals: list[list[float]] = []
-    small = known.select("_tokens", *names)
+    small = known.select(tokens, *names)
 
     def totals(batches):
         for batch in batches:
@@ -228,62 +259,60 @@ def fit(known: DataFrame, plan: Mixture) -> tuple[list, float, np.ndarray, np.nd
             )
 
     met = have
-    for _ in range(plan.rounds):
-        if residuals:
-            found = small.mapInArrow(totals, ", ".join(f"{x} double" for x in names))
-            row = found.agg(*(F.sum(x).alias(x) for x in names)).first()
-            met = np.array([row[x] for x in names]) / total
-        gap = met - target
-        if np.abs(gap).max() < plan.tolerance:
-            break
-        residuals.append(gap.tolist())
-    return residuals, step, met, target
+    while np.abs(met - target).max() >= plan.tolerance and len(residuals) < plan.rounds:
+        residuals.append((met - target).tolist())
+        found = small.mapInArrow(totals, ", ".join(f"{x} double" for x in names))
+        row = found.agg(*(F.sum(x).alias(x) for x in names)).first()
+        met = np.array([row[x] for x in names]) / total
+    converged = bool(np.abs(met - target).max() < plan.tolerance)
+    if not converged:
+        warnings.warn(
+            f"after {plan.rounds} steps the totals are {met.round(5)}, the targets {target.round(5)}",
+            stacklevel=2,
+        )
+    return Fit(residuals, step, met, target, converged)
 
 
 def with_rates(documents: DataFrame, labels: DataFrame, plan: Mixture = Mixture()) -> DataFrame:
-    """The documents with _tokens, posteriors, _rate and _copies (how often each is taken).
+    """The documents with tokens, posteriors, rate and copies (how often each is taken); see
+    Names for the columns.
 
-    copies is the rate rounded up or down by a hash of doc_id so that its mean is the rate.
-    A null or empty text has no
-    tokens. Equal rows get equal rates. Without labels, or without documents, rates are 1.
+    copies is the rate rounded up or down by a hash of doc_id and text, so that its mean is
+    the rate; rows that share both are taken alike. A null or empty text has no tokens.
+    Equal texts get equal rates. Without labels, or without documents, rates are 1. Where
+    the targets are not met within the tolerance after all rounds, a warning gives both.
     """
+    names = Names.beside(documents.columns)
     weights = learn(documents, labels, plan)
-    rows = posteriors(documents, weights, plan)
-    names = [f"_p{i}" for i in range(len(DOMAINS))]
-    known = written(rows.select("_tokens", *names), "posteriors")
-    residuals, step, _, _ = fit(known, plan) if weights.any() else ([], 1.0, None, None)
-    at = len(documents.columns)
-    k, snap = len(DOMAINS), plan.snap
-    schema = StructType([*rows.schema.fields, StructField("_rate", DoubleType())])
-
-    def rated(batches):
-        for batch in batches:
-            p = np.stack([np.asarray(batch.column(at + 1 + i)) for i in range(k)], axis=1)
-            rate, _ = replay(p, residuals, step)
-            whole = np.round(rate)
-            rate = np.where(np.abs(rate - whole) <= snap, whole, rate)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], names=schema.names)
-
-    chance = F.pmod(F.xxhash64("doc_id", F.lit(plan.seed)), F.lit(1 << 30)) / float(1 << 30)
-    return rows.mapInArrow(rated, schema).withColumn(
-        "_copies", F.floor("_rate") + (chance < F.col("_rate") - F.floor("_rate")).cast("long")
+    first = posteriors(documents.select("text"), weights, plan)
+    own = Names.beside(["text"])
+    known = written(first.select(own.tokens, *own.p), "posteriors")
+    found = fit(known, own.tokens, own.p, plan) if weights.any() else Fit([], 1.0, np.zeros(1), np.zeros(1), True)
+    discard(known)
+    rows = posteriors(documents, weights, plan, (found.residuals, found.step))
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(plan.seed)), F.lit(1 << 30)) / float(1 << 30)
+    whole = F.floor(names.rate)
+    return rows.withColumn(
+        names.copies, whole + (draw < F.col(names.rate) - whole).cast("long")
     )
 
 
 def mix_sources(documents: DataFrame, labels: DataFrame, plan: Mixture = Mixture()) -> DataFrame:
     """The documents, each as many times as the mixture takes it, with their columns."""
-    rows = with_rates(documents, labels, plan).filter("_copies > 0")
-    repeated = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    return rows.withColumn("_copy", repeated).select(*documents.columns)
+    names = Names.beside(documents.columns)
+    rows = with_rates(documents, labels, plan).filter(F.col(names.copies) > 0)
+    repeated = F.explode(F.sequence(F.lit(1), F.col(names.copies).cast("int")))
+    return rows.withColumn(names.draw, repeated).select(*documents.columns)
 
 
 def rates(documents: DataFrame, labels: DataFrame, plan: Mixture = Mixture()) -> DataFrame:
     """One row per document row: tokens, posteriors over the domains, rate and copies."""
-    rows = with_rates(documents.select("doc_id", "text"), labels, plan)
-    return rows.select(
+    texts = documents.select("doc_id", "text")
+    names = Names.beside(texts.columns)
+    return with_rates(texts, labels, plan).select(
         "doc_id",
-        F.col("_tokens").alias("n_tokens"),
-        *(F.col(f"_p{i}").alias(f"p_{d}") for i, d in enumerate(DOMAINS)),
-        F.col("_rate").alias("rate"),
-        F.col("_copies").alias("copies"),
+        F.col(names.tokens).alias("n_tokens"),
+        *(F.col(x).alias(f"p_{d}") for x, d in zip(names.p, DOMAINS, strict=True)),
+        F.col(names.rate).alias("rate"),
+        F.col(names.copies).alias("copies"),
     )

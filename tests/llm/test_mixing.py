@@ -19,7 +19,7 @@ def labelled(spark):
 
 def test_rates_bring_totals_to_targets(spark):
     docs, labels = labelled(spark)
-    plan = mixing.Mixture(weights=(0.7, 0.2, 0.1), snap=0.0)
+    plan = mixing.Mixture(weights=(0.7, 0.2, 0.1))
     rows = mixing.rates(docs, labels, plan).toPandas()
     assert (rows.rate >= 0).all()
     p = rows[["p_good", "p_low", "p_toxic"]].to_numpy()
@@ -89,3 +89,52 @@ def test_production_parameters_meet_the_targets_in_copies(spark):
         assert np.allclose(totals / totals.sum(), plan.weights, atol=near)
     low = rows[rows.doc_id % 5 == 0]
     assert 0 < low.rate.mean() < 0.15 and low.copies.sum() > 0
+
+
+def test_columns_of_any_name_come_back(spark):
+    """Columns named like those that the operator adds are left alone."""
+    docs, labels = labelled(spark)
+    docs = docs.selectExpr(
+        "*", "doc_id AS _rate", "doc_id * 2 AS mixed_rate", "'x' AS MIXED_P0", "doc_id AS mixed_copies",
+        "doc_id AS mixed_tokens", "doc_id AS mixed_draw", "doc_id AS _copy",
+    )
+    rows = mixing.mix_sources(docs, labels).collect()
+    assert rows and all(r.mixed_rate == 2 * r.doc_id and r.mixed_draw == r._copy == r.doc_id for r in rows)
+
+
+def test_null_ids_draw_by_their_text(spark):
+    docs, labels = labelled(spark)
+    more = frame(spark, [(None, prose(k, 30) + " ### $$$ %%% ***" * 3, "en") for k in range(1000, 1400)])
+    plan = mixing.Mixture(weights=(0.4, 0.6, 0.0))
+    rows = [r for r in mixing.rates(docs.unionByName(more), labels, plan).collect() if r.doc_id is None]
+    assert 0.05 < np.mean([r.rate for r in rows]) < 0.95
+    assert abs(np.mean([r.copies for r in rows]) - np.mean([r.rate for r in rows])) < 0.1
+
+
+def test_rates_are_the_nonnegative_least_squares_of_a_plain_solver(spark):
+    """Against projected gradient by the textbook, in one array, until nothing moves."""
+    rng = np.random.default_rng(3)
+    p, n = rng.dirichlet((2, 1, 0.5), 300), rng.integers(1, 200, 300)
+    names = mixing.Names.beside([])
+    known = spark.createDataFrame([(int(k), *map(float, x)) for k, x in zip(n, p)], [names.tokens, *names.p])
+    plan = mixing.Mixture(weights=(0.8, 0.15, 0.05), tolerance=1e-7, rounds=200)
+    found = mixing.fit(known.repartition(3), names.tokens, names.p, plan)
+    assert found.converged
+    rate, _ = mixing.replay(p, found.residuals, found.step)
+    share = n / n.sum()
+    target = np.array(plan.weights) * (share @ p)[0] / plan.weights[0]
+    plain = np.ones(300)
+    for _ in range(20_000):
+        plain = np.maximum(0, plain - found.step * (p @ ((share * plain) @ p - target)))
+    assert np.allclose(found.target, target) and np.allclose((share * rate) @ p, target, atol=1e-5)
+    assert np.allclose((share * plain) @ p, target, atol=1e-5)
+    # both start from rates of 1 and move only along the domains: the same solution
+    assert np.abs(rate - plain).max() < 0.02
+
+
+def test_unmet_targets_are_reported(spark):
+    names = mixing.Names.beside([])
+    known = spark.createDataFrame([(10, 0.9, 0.1, 0.0)], [names.tokens, *names.p])
+    with pytest.warns(UserWarning, match="targets"):
+        found = mixing.fit(known, names.tokens, names.p, mixing.Mixture(rounds=3))
+    assert not found.converged and len(found.residuals) == 3
