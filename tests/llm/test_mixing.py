@@ -111,25 +111,25 @@ def test_null_ids_draw_by_their_text(spark):
     assert abs(np.mean([r.copies for r in rows]) - np.mean([r.rate for r in rows])) < 0.1
 
 
-def test_rates_are_the_nonnegative_least_squares_of_a_plain_solver(spark):
-    """Against projected gradient by the textbook, in one array, until nothing moves."""
+@pytest.mark.parametrize(("weights", "met"), [((0.8, 0.15, 0.05), True), ((0.7, 0.3, 0.0), False)])
+def test_totals_are_those_of_plain_nonnegative_least_squares(spark, weights, met):
+    """Against projected gradient by the textbook, in one array, until nothing moves. Rates
+    that reach the totals are not unique, the totals are, also where targets are out of reach."""
     rng = np.random.default_rng(3)
     p, n = rng.dirichlet((2, 1, 0.5), 300), rng.integers(1, 200, 300)
     names = mixing.Names.beside([])
     known = spark.createDataFrame([(int(k), *map(float, x)) for k, x in zip(n, p)], [names.tokens, *names.p])
-    plan = mixing.Mixture(weights=(0.8, 0.15, 0.05), tolerance=1e-7, rounds=200)
+    plan = mixing.Mixture(weights=weights, tolerance=1e-7, rounds=150)
     found = mixing.fit(known.repartition(3), names.tokens, names.p, plan)
-    assert found.converged
     rate, _ = mixing.replay(p, found.residuals, found.step)
     share = n / n.sum()
-    target = np.array(plan.weights) * (share @ p)[0] / plan.weights[0]
+    target = np.array(weights) * (share @ p)[0] / weights[0]
     plain = np.ones(300)
     for _ in range(20_000):
         plain = np.maximum(0, plain - found.step * (p @ ((share * plain) @ p - target)))
-    assert np.allclose(found.target, target) and np.allclose((share * rate) @ p, target, atol=1e-5)
-    assert np.allclose((share * plain) @ p, target, atol=1e-5)
-    # both start from rates of 1 and move only along the domains: the same solution
-    assert np.abs(rate - plain).max() < 0.02
+    assert found.converged == met and np.allclose(found.target, target)
+    assert np.allclose((share * rate) @ p, (share * plain) @ p, atol=1e-4)
+    assert (np.abs((share * plain) @ p - target).max() < 1e-5) == met
 
 
 def test_unmet_targets_are_reported(spark):
