@@ -232,12 +232,12 @@ def silver_inline_gate(bounds: MonthBounds) -> Gate:
             Rule(
                 "outside_month_count",
                 bounds.outside("pickup_date"),
-                "rows outside the expected month",
+                "pickups of another month",
             ),
             Rule(
                 "invalid_pickup_hour_count",
                 f"pickup_hour IS NULL OR {_hour_outside('pickup_hour')}",
-                "invalid pickup_hour",
+                "no hour of a day",
             ),
         ),
         rows_metric="silver_count",
@@ -253,41 +253,41 @@ def silver_gate(bounds: MonthBounds) -> Gate:
             Rule(
                 "outside_month_count",
                 bounds.outside("pickup_date"),
-                "rows outside expected pickup date range",
+                "pickups of another month",
             ),
             *[
                 Rule(
                     f"null_{name}",
                     f"{name} IS NULL",
-                    f"column {name} contains NULL values",
+                    f"{name} is not filled",
                 )
                 for name in REQUIRED_TRIP_COLUMNS
             ],
             Rule(
                 "invalid_payment_type_count",
                 f"payment_type IS NULL OR payment_type NOT IN ({codes})",
-                "invalid payment_type",
+                "unknown payment codes",
             ),
             Rule(
                 "invalid_pickup_location_count",
                 "PULocationID IS NULL OR PULocationID <= 0",
-                "invalid PULocationID",
+                "no pickup zone",
             ),
             Rule(
                 "invalid_dropoff_location_count",
                 "DOLocationID IS NULL OR DOLocationID <= 0",
-                "invalid DOLocationID",
+                "no dropoff zone",
             ),
             Rule(
                 "invalid_pickup_hour_count",
                 f"pickup_hour IS NULL OR {_hour_outside('pickup_hour')}",
-                "invalid pickup_hour",
+                "no hour of a day",
             ),
-            Rule("invalid_distance_count", "trip_distance <= 0", "trip_distance <= 0"),
+            Rule("invalid_distance_count", "trip_distance <= 0", "no distance"),
             Rule(
                 "invalid_amount_count",
                 "total_amount <= 0",
-                "total_amount <= 0, allowed for refunds and corrections",
+                "nothing was paid, as after a refund",
                 severity="warn",
             ),
         ),
@@ -302,8 +302,7 @@ def check_retention(bronze_rows: int, silver_rows: int, scope: str = "") -> None
         raise GateError(f"silver{scope} is empty")
     if silver_rows < bronze_rows * MIN_RETAINED_SHARE:
         raise GateError(
-            f"silver{scope}: too many rows were removed "
-            f"({silver_rows} of {bronze_rows} left)"
+            f"silver{scope}: only {silver_rows} of {bronze_rows} rows are clean"
         )
 
 
@@ -323,8 +322,7 @@ def check_contract(table: DataFrame, contract: schemas.MartContract) -> None:
     missing = [name for name in contract.contract_names if name not in actual]
     if missing:
         raise GateError(
-            f"{contract.name} is missing expected columns: {missing}. "
-            f"Actual columns: {table.columns}"
+            f"{contract.name} lacks {missing}; it has {table.columns}"
         )
     wrong = [
         f"{name} is {actual[name]}, expected {kind}"
@@ -342,7 +340,7 @@ def _text_rules(mart: str) -> list[Rule]:
         schemas.ROUTE.name: ["trip_type", "pickup_zone", "dropoff_zone"],
     }.get(mart, [])
     return [
-        Rule(f"empty_{name}_count", _blank(name), f"rows with empty {name}")
+        Rule(f"empty_{name}_count", _blank(name), f"{name} is blank")
         for name in names
     ]
 
@@ -354,7 +352,7 @@ def mart_gate(mart: str, bounds: MonthBounds) -> Gate:
         Rule(
             "invalid_pickup_hour_count",
             f"pickup_hour IS NULL OR {_hour_outside('pickup_hour')}",
-            "rows with invalid pickup_hour",
+            "no hour of a day",
         )
     ]
     return Gate(
@@ -363,7 +361,7 @@ def mart_gate(mart: str, bounds: MonthBounds) -> Gate:
             Rule(
                 "outside_month_count",
                 f"pickup_date IS NULL OR {bounds.outside('pickup_date')}",
-                "rows outside expected month range",
+                "rows of another month",
             ),
             *text,
             *(hour if mart == schemas.HOURLY.name else []),
@@ -377,7 +375,7 @@ def serving_month_gate(mart: str, bounds: MonthBounds) -> Gate:
         Rule(
             "invalid_pickup_hour_count",
             _hour_outside("pickup_hour"),
-            "rows with invalid pickup_hour",
+            "no hour of a day",
         )
     ]
     return Gate(
@@ -386,12 +384,12 @@ def serving_month_gate(mart: str, bounds: MonthBounds) -> Gate:
             Rule(
                 "out_of_month_date_count",
                 bounds.outside("pickup_date"),
-                "out-of-month pickup_date values",
+                "pickup dates of another month",
             ),
             Rule(
                 "non_positive_trips_count",
                 "trips_count <= 0",
-                "non-positive trips_count values",
+                "rows without trips",
             ),
             *_text_rules(mart),
             *(hour if mart == schemas.HOURLY.name else []),
@@ -421,8 +419,8 @@ def check_full_range(row: Row, mart: str, expected_min, expected_max) -> None:
         raise GateError(f"{mart} is empty")
     if (row["min_pickup_date"], row["max_pickup_date"]) != (expected_min, expected_max):
         raise GateError(
-            f"unexpected pickup_date range for {mart}: {row['min_pickup_date']} to "
-            f"{row['max_pickup_date']}, expected {expected_min} to {expected_max}"
+            f"{mart} spans {row['min_pickup_date']} to {row['max_pickup_date']} instead of "
+            f"{expected_min} to {expected_max}"
         )
     gate.judge(row)
 
@@ -478,26 +476,24 @@ def centroid_profile(centroids: DataFrame) -> DataFrame:
 def check_centroids(row: Row, limits: CentroidLimits = CentroidLimits()) -> list[str]:
     if row["rows_count"] != limits.rows:
         raise GateError(
-            f"zone centroids: expected {limits.rows} rows, got {row['rows_count']}"
+            f"zone points: {row['rows_count']} rows instead of {limits.rows}"
         )
     duplicates = row["duplicate_location_ids_count"]
     if duplicates > limits.duplicate_ids:
         raise GateError(
-            f"zone centroids: {duplicates} duplicated location ids, "
-            f"at most {limits.duplicate_ids} are expected"
+            f"zone points: {duplicates} repeat a zone, {limits.duplicate_ids} may"
         )
     for name in ("borough", "zone"):
         if row[f"empty_{name}_count"] > 0:
-            raise GateError(f"zone centroids: rows with empty {name}")
+            raise GateError(f"zone points: {name} is empty in some rows")
     for name, (low, high) in (
         ("latitude", limits.latitude),
         ("longitude", limits.longitude),
     ):
         if row[f"min_{name}"] < low or row[f"max_{name}"] > high:
             raise GateError(
-                f"zone centroids: {name} range looks invalid: "
-                f"{row[f'min_{name}']} to {row[f'max_{name}']}"
+                f"zone points: {name} reaches from {row[f'min_{name}']} to {row[f'max_{name}']}"
             )
     if duplicates > 0:
-        return ["zone centroids hold several points for some zones"]
+        return ["zone points: some zones have several"]
     return []

@@ -21,7 +21,7 @@ def _whole_number(value: int | str, field: str, kind: str) -> int:
     try:
         return int(value)
     except (TypeError, ValueError):
-        raise ValueError(f"{field} must be a valid {kind}, got {value!r}") from None
+        raise ValueError(f"{field}: {value!r} is no {kind}") from None
 
 
 def first_of_month(year: int | str, month: int | str, field: str = "period") -> date:
@@ -29,9 +29,9 @@ def first_of_month(year: int | str, month: int | str, field: str = "period") ->
     y = _whole_number(year, f"{field} year", "year")
     m = _whole_number(month, f"{field} month", "month")
     if y < 1:
-        raise ValueError(f"{field} year must be greater than 0, got {year!r}")
+        raise ValueError(f"{field}: there is no year {year!r}")
     if not 1 <= m <= 12:
-        raise ValueError(f"{field} month must be between 1 and 12, got {month!r}")
+        raise ValueError(f"{field}: there is no month {month!r}")
     return date(y, m, 1)
 
 
@@ -59,8 +59,7 @@ def month_range(
     end = first_of_month(end_year, end_month, "end")
     if start > end:
         raise ValueError(
-            "start period must be earlier than or equal to end period, "
-            f"got {start:%Y-%m} > {end:%Y-%m}"
+            f"the range from {start.isoformat()[:7]} to {end.isoformat()[:7]} runs backwards"
         )
     first, last = start.year * 12 + start.month - 1, end.year * 12 + end.month - 1
     return [as_period(date(n // 12, n % 12 + 1, 1)) for n in range(first, last + 1)]
@@ -224,14 +223,13 @@ def check_rebuild_source(
 ) -> list[Period]:
     """Discovered months must be exactly the confirmed range."""
     if not discovered:
-        raise ValueError("full rebuild refused: no raw periods were discovered")
+        raise ValueError("nothing to rebuild from: there are no raw months")
     missing = sorted(set(expected) - set(discovered))
     unexpected = sorted(set(discovered) - set(expected))
     if missing or unexpected:
         raise ValueError(
-            "full rebuild refused: the raw source does not match the expected "
-            f"range. Missing periods: {format_periods(missing)}. "
+            f"raw months differ from the confirmed ones. Missing periods: {format_periods(missing)}. "
             f"Unexpected periods: {format_periods(unexpected)}. "
-            "Serving tables were not changed."
+            "Nothing was changed."
         )
     return sorted(set(expected))

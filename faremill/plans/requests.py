@@ -13,7 +13,7 @@ REFRESH_MODE = "replace_period"
 REBUILD_MODE = "full_raw_rebuild"
 MAX_REFRESH_MONTHS = 12
 
-_UNTOUCHED = "Serving tables were not changed."
+_UNTOUCHED = "Nothing was changed."
 _RANGE = ("start_year", "start_month", "end_year", "end_month")
 _DEFAULT_REFRESH = {
     "start_year": "2024",
@@ -38,14 +38,12 @@ def refresh_periods(
     }
     if values["refresh_mode"] != REFRESH_MODE:
         raise ValueError(
-            f"unsupported refresh_mode {values['refresh_mode']!r}; "
-            f"supported: {REFRESH_MODE!r}"
+            f"refresh_mode {values['refresh_mode']!r} is unknown, only {REFRESH_MODE!r} is there"
         )
     months = month_range(*[values[key] for key in _RANGE])
     if len(months) > most:
         raise ValueError(
-            f"refresh interval is too large: {len(months)} months, "
-            f"at most {most} are allowed"
+            f"{len(months)} months are more than the {most} that one refresh may take"
         )
     return months
 
@@ -65,19 +63,19 @@ def rebuild_request(config: Mapping[str, Any]) -> RebuildRequest:
     """Refuse unless the mode, both confirmations and the range are given."""
     if config.get("rebuild_mode") != REBUILD_MODE:
         raise ValueError(
-            f"full rebuild is not confirmed: rebuild_mode must be {REBUILD_MODE!r}. "
+            f"a rebuild is asked for by rebuild_mode {REBUILD_MODE!r}. "
             f"{_UNTOUCHED}"
         )
     for key in ("confirm_full_rebuild", "confirm_serving_replacement"):
         if not _confirmed(config.get(key)):
             raise ValueError(
-                f"full rebuild is not confirmed: {key} must be true. {_UNTOUCHED}"
+                f"a rebuild waits for {key}. {_UNTOUCHED}"
             )
     names = [f"expected_{key}" for key in _RANGE]
     for name in names:
         if not _text(config, name):
             raise ValueError(
-                f"missing required full rebuild value: {name}. {_UNTOUCHED}"
+                f"a rebuild needs {name}. {_UNTOUCHED}"
             )
     try:
         months = month_range(*[_text(config, name) for name in names])
