@@ -204,12 +204,27 @@ def vertex(documents: DataFrame):
     return F.coalesce(F.col("doc_id").cast("long"), made)
 
 
-def numbered(documents: DataFrame) -> DataFrame:
-    """id, text and a digest of the text."""
+def identified(documents: DataFrame, name: str = "id") -> DataFrame:
+    """The documents with a number for each (doc_id, text): the doc_id for the text of least
+    digest, and numbers above all doc_ids for other texts under it."""
+    key, digest = f"{name}_key", f"{name}_digest"
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return documents.select(
-        vertex(documents).alias("id"), text.alias("text"), F.unhex(F.md5(text)).alias("digest")
-    )
+    rows = documents.select(vertex(documents).alias(key), F.md5(text).alias(digest))
+    shared = rows.groupBy(key).agg(F.min(digest).alias("low"), F.max(digest).alias("high"))
+    shared = written(shared.filter("low < high").select(key, "low"), "shared_ids")
+    if shared.isEmpty():
+        return documents.withColumn(name, vertex(documents))
+    rows = documents.withColumns({key: vertex(documents), digest: F.md5(text)})
+    made = F.xxhash64(key, digest).bitwiseAND(F.lit(2**62 - 1)) + F.lit(2**62)
+    least = shared.select(key, F.col("low").alias(f"{name}_low"))
+    own = F.when(F.coalesce(F.col(f"{name}_low") != F.col(digest), F.lit(False)), made).otherwise(F.col(key))
+    return rows.join(least, key, "left").withColumn(name, own).select(*documents.columns, name)
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """id, text and a digest of the text, of rows that identified() gave."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return rows.select("id", text.alias("text"), F.unhex(F.md5(text)).alias("digest"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, plan: NearDuplicates) -> DataFrame:
@@ -318,11 +333,12 @@ def lead_pairs(batches, least: float):
 
 
 def classes(documents: DataFrame, plan: NearDuplicates = NearDuplicates()) -> DataFrame:
-    """(id, class_id) of each document: the least id among those that links reach.
+    """(id, class_id) of each row (id, text) that identified() gave: the least id among those
+    that links reach.
 
     Texts of similarity 0.8 or more (weighted Jaccard on counted five-word shingles) link
     if they share a band; equal texts always do, unless they have no words. Rows of one
-    doc_id are one document. A text whose own shingles, which no other candidate has, weigh
+    id are one document. A text whose own shingles, which no other candidate has, weigh
     more than a fifth can have no link and leaves at once; the same weights bound the
     similarity of any two texts, and only pairs that can reach 0.8 are compared. Of the
     texts that share a band, each is compared first with
@@ -436,17 +452,25 @@ def find(documents: DataFrame, plan: NearDuplicates = NearDuplicates()) -> DataF
     """One row per document row: doc_id, class_id and kept (it is the one that stays).
 
     A null text has no words; texts without words are alone in their classes. A document
-    whose doc_id is null has a number made from its text as class. An empty table gives an
-    empty result.
+    whose doc_id is null has a number made from its text as class. Rows that share doc_id
+    and text are one document; unlike texts under one doc_id are different documents, the
+    one of least digest under the doc_id and the others under numbers above all doc_ids. An
+    empty table gives an empty result.
     """
-    rows = documents.select("doc_id", vertex(documents).alias("id"))
-    return rows.join(classes(documents, plan), "id").select(
+    rows = identified(documents.select("doc_id", "text"))
+    return rows.join(classes(rows.select("id", "text"), plan), "id").select(
         "doc_id", "class_id", (F.col("id") == F.col("class_id")).alias("kept")
     )
 
 
 def keep_one(documents: DataFrame, plan: NearDuplicates = NearDuplicates()) -> DataFrame:
-    """One document of each class, with all columns: the one with the least doc_id."""
-    stay = classes(documents, plan).filter("id = class_id").select(F.col("id").alias("_id"))
-    rows = documents.withColumn("_id", vertex(documents)).join(stay, "_id", "left_semi")
-    return rows.dropDuplicates(["_id"]).select(*documents.columns)
+    """One document of each class, with all columns: the one with the least doc_id. Of rows
+    that share doc_id and text and differ elsewhere, any one."""
+    taken = {name.lower() for name in documents.columns}
+    name = "dedup_id"
+    while any(x.startswith(name) for x in taken):
+        name += "_"
+    rows = identified(documents, name)
+    found = classes(rows.select(F.col(name).alias("id"), "text"), plan)
+    stay = found.filter("id = class_id").select(F.col("id").alias(name))
+    return rows.join(stay, name, "left_semi").dropDuplicates([name]).select(*documents.columns)

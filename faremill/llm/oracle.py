@@ -8,11 +8,13 @@ WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 # takes its words away.
 DOUBLED_WINDOWS = f"""
 WITH listed AS (SELECT doc_id, {WORDS} AS w FROM documents),
-placed AS (SELECT doc_id, w, unnest(range(greatest(len(w) - 19, 0))) AS place FROM listed),
+placed AS (
+  SELECT doc_id, place, md5(array_to_string(w[place + 1:place + 20], ' ')) AS window_words
+  FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 19, 0))) AS place FROM listed)),
 repeated AS (
   SELECT doc_id, place FROM (
     SELECT doc_id, place,
-      row_number() OVER (PARTITION BY array_to_string(w[place + 1:place + 20], ' ') ORDER BY doc_id, place) AS n
+      row_number() OVER (PARTITION BY window_words ORDER BY doc_id, place) AS n
     FROM placed) WHERE n > 1),
 gone AS (SELECT DISTINCT doc_id, place + unnest(range(20)) AS place FROM repeated),
 words AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS place FROM listed),

@@ -116,3 +116,25 @@ def test_query(spark, small):
     rows = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()
     found = queries.QUERIES["op6_dart_minhash"](spark, small).collect()
     assert {r.doc_id: r.class_id for r in found} == brute([tuple(r) for r in rows])
+
+
+def test_unlike_texts_under_one_id_are_documents_of_their_own(spark):
+    rows = [
+        (1, prose(1), "en"), (1, prose(2), "en"), (1, prose(2), "en"), (2, prose(2), "en"),
+        (3, prose(3), "en"), (3, prose(3), "en"), (4, prose(1) + " tail", "en"), (None, prose(9), "en"),
+    ]
+    docs = frame(spark, rows).repartition(3)
+    found = minhash.find(docs).collect()
+    assert len(found) == len(rows)
+    by = {}
+    for r in found:
+        by.setdefault(r.doc_id, set()).add(r.class_id)
+    assert len(by[1]) == 2  # both texts are linked, each to its own class
+    assert by[2] <= by[1] and by[4] <= by[1] and by[2] != by[4]
+    assert by[3] == {3}
+    kept = minhash.keep_one(docs.withColumn("_id", docs.doc_id).withColumn("dedup_id", docs.n_chars))
+    texts = sorted(r.text.removesuffix(" tail") for r in kept.collect())
+    assert texts == sorted(prose(k) for k in (1, 2, 3, 9))
+    assert all(r.dedup_id == r.n_chars and r._id == r.doc_id for r in kept.collect())
+    again = [sorted((r.doc_id or 0, r.text) for r in minhash.keep_one(docs.repartition(n)).collect()) for n in (1, 5)]
+    assert again[0] == again[1]
