@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faremill.llm.minhash import vertex
-from faremill.llm.storage import written
+from faremill.llm.storage import discard, written
 from faremill.llm.words import Words, grams, mix, slices
 
 _U = np.uint64
@@ -183,12 +183,13 @@ def repeated(documents: DataFrame, plan: Windows = Windows()) -> DataFrame:
     keyed = keyed.repartition("hash", "check", "part").sortWithinPartitions(
         "hash", "check", "part", "id", "at"
     )
-    marked = written(
-        keyed.mapInArrow(
-            later_copies, "hash long, check int, id long, tag int, at int, later boolean"
-        ),
-        "windows",
+    marked = keyed.mapInArrow(
+        later_copies, "hash long, check int, id long, tag int, at int, later boolean"
     )
+    # the hashes are only needed once more for the firsts
+    marked = marked.withColumns({x: F.when(~F.col("later"), F.col(x)) for x in ("hash", "check")})
+    marked = written(marked, "windows")
+    discard(survivors)
     # windows with very many copies: the firsts of their groups meet, a few for each window
     spread = marked.filter(~F.col("later"))
     first = spread.groupBy("hash", "check").agg(F.min(F.struct("id", "at")).alias("first"))
