@@ -6,6 +6,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Spark's setting: what a query has shuffled is removed when it ends, not at some collection of garbage
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's spark.checkpoint.dir; where it is unset, a folder in the warehouse."""
@@ -18,11 +21,17 @@ def shared_folder(spark: SparkSession) -> str:
 def written(frame: DataFrame, name: str) -> DataFrame:
     """The frame, computed once, written to the shared folder and read back.
 
-    It cuts the lineage: a lost executor costs a read, not the steps before.
+    It cuts the lineage: a lost executor costs a read, not the steps before. What was
+    shuffled for it is removed once it is written.
     """
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     out = spark.read.schema(frame.schema).parquet(path)
     out._written_at = path
     return out
