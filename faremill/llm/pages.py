@@ -1,11 +1,11 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host come from one template. Every page of a host lists its texts with the
-tags they lie in and how often they occur there; what a share of the host's unlike articles
-have alike is template, what varies is a slot. The text of a page is what lies in the slots
-of the article, or of the region with most varying text if no element is marked as the
-article. Nodes are aligned by their tag path and text, over all pages at once, instead of
-pairwise by matched(); README.md says why.
+Pages of one host come from one template. One page of the host is the seed of its wrapper,
+and every page is aligned with the seed by simple tree matching, in which equal texts weigh
+more than unlike ones; what has no partner is put into the wrapper below the place of its
+element. What a share of the host's unlike articles have alike in one place of the wrapper
+is template, what varies is a slot. The text of a page is what lies in the slots of the
+article, or of the region with most varying text if no element is marked as the article.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ import re
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,14 +28,13 @@ from faremill.llm.words import slices
 class Wrapper:
     """share: part of a host's unlike articles that have a text of the template, two at
     least; most: part of a page's varying text from which on an element is no boilerplate
-    for a part of its name; parts: groups that a host's pages are dealt to; cells, depth:
-    largest table and depth of matched()."""
+    for a part of its name; parts: groups that a host's pages are dealt to; cells: largest
+    table of children that matched() holds, larger ones are halved, with the same score."""
 
     share: float = 0.5
     most: float = 0.5
     parts: int = 16
-    cells: int = 20_000
-    depth: int = 100
+    cells: int = 1 << 20
 
 
 # Fixed names: elements and words of class, id and role.
@@ -72,20 +72,39 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 _CUT_TAG = re.compile(r"<(?:[a-zA-Z/!?][^<>]*)?\Z")
 
 
-@dataclass
+@dataclass(slots=True, eq=False)
 class Node:
-    """names: words of class, id and role; pieces: what hyphens and the like part in them."""
+    """names: words of class, id and role; pieces: what hyphens and the like part in them.
+
+    Set by shaped(): value, a hash of the own text with its tags and times, None without
+    text; inner: the child nodes; order, values: of a root, all nodes, parents before
+    children, and their values. Set by matched(): form, equal for equal trees of tags and of values that both pages have;
+    weight: of the tree matched with an equal one."""
 
     tag: str
     names: frozenset = frozenset()
     pieces: frozenset = frozenset()
     parts: list = field(default_factory=list)  # text and nodes in order
+    value: int | None = None
+    inner: list = field(default_factory=list)
+    order: list = field(default_factory=list)
+    values: frozenset = frozenset()
+    form: int = 0
+    weight: int = 0
 
     def children(self) -> list[Node]:
-        return [x for x in self.parts if isinstance(x, Node)]
+        return [x for x in self.parts if not isinstance(x, str)]
 
     def own_text(self) -> str:
-        return " ".join(" ".join(x for x in self.parts if isinstance(x, str)).split())
+        return " ".join(" ".join([x for x in self.parts if isinstance(x, str)]).split())
+
+
+def names_of(attrs) -> tuple[frozenset, frozenset]:
+    words = [v.lower() for k, v in attrs if v and k in ("class", "id", "role", "itemprop")]
+    names = frozenset([part for v in words for part in v.split()])
+    pieces = frozenset([w for name in names for w in _SPLIT.split(name) if w])
+    hidden = any([k in ("hidden", "aria-hidden") and v != "false" for k, v in attrs])
+    return (names | {"#hidden"} if hidden else names), pieces
 
 
 class Builder(HTMLParser):
@@ -99,15 +118,14 @@ class Builder(HTMLParser):
             self.end_open(("p",), ("button", "table", "td", "th", "li", "article", "section", "div"))
         if tag in CLOSES:
             self.end_open(*CLOSES[tag])
-        words = [v.lower() for k, v in attrs if v and k in ("class", "id", "role", "itemprop")]
-        names = frozenset(part for v in words for part in v.split())
-        pieces = frozenset(w for name in names for w in _SPLIT.split(name) if w)
-        hidden = any(k in ("hidden", "aria-hidden") and v != "false" for k, v in attrs)
-        node = Node(tag, names | ({"#hidden"} if hidden else frozenset()), pieces)
+        node = Node(tag, *names_of(attrs)) if attrs else Node(tag)
         self.open[-1].parts.append(node)
         if tag not in VOID:
             self.open.append(node)
 
+    def updatepos(self, i, j):
+        return j  # nobody asks for lines
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
@@ -133,68 +151,183 @@ def parse(html: str) -> Node:
     return builder.root
 
 
-def matched(a: Node, b: Node, plan: Wrapper, depth: int = 0) -> tuple[int, list[tuple[Node, Node]]]:
-    """Simple tree matching: the most nodes that two trees share in order, and the pairs.
+def formed(root: Node, common: set[int], forms: dict) -> None:
+    """Numbers equal trees alike. A value that one of the pages lacks equals none."""
+    for node in reversed(root.order):  # children before their parents
+        own = node.value if node.value in common else None
+        weight, inner = 1 if own is None else 2, node.inner
+        if inner:
+            key = (node.tag, own, *[x.form for x in inner])
+            weight += sum([x.weight for x in inner])
+        else:
+            key = (node.tag, own)
+        node.form = forms.setdefault(key, len(forms))
+        node.weight = weight
+
+
+def trimmed(left: list[Node], right: list[Node]) -> tuple[int, int]:
+    """Equal trees at the front and, of the rest, at the end. To match them costs nothing:
+    neither could weigh more elsewhere, and what is matched with one of them is free."""
+    n, front, end = min(len(left), len(right)), 0, 0
+    while front < n and left[front].form == right[front].form:
+        front += 1
+    while end < n - front and left[-1 - end].form == right[-1 - end].form:
+        end += 1
+    return front, end
+
+
+def middle(x: Node, y: Node) -> tuple[list[Node], list[Node], int]:
+    """Children of both that trimmed() leaves, and the weight of the others."""
+    front, end = trimmed(x.inner, y.inner)
+    left, right = x.inner[front : len(x.inner) - end], y.inner[front : len(y.inner) - end]
+    return left, right, sum(c.weight for c in x.inner) - sum(c.weight for c in left)
+
+
+def pair_weight(x: Node, y: Node, memo: dict) -> int:
+    if x.tag != y.tag:
+        return 0
+    if x.form == y.form:
+        return x.weight
+    if x.inner and y.inner:
+        return memo[x.form, y.form]
+    return 1 + (x.value is not None and x.value == y.value)
+
+
+def weights(left: list[Node], right: list[Node], memo: dict):
+    """For each node of the left, the weights of its tree matched with those of the right."""
+    tags = np.array([hash(y.tag) for y in right])
+    values = np.array([y.value or 0 for y in right])
+    deep = [(j, y) for j, y in enumerate(right) if y.inner]
+    for x in left:
+        row = (tags == hash(x.tag)).astype(np.int64)
+        if x.value is not None:
+            row += row * (values == x.value)
+        if x.inner:
+            for j, y in deep:
+                row[j] = pair_weight(x, y, memo)
+        yield row
+
+
+def table(left: list[Node], right: list[Node], memo: dict):
+    """Rows of the most weight of each front of the left with each front of the right."""
+    if len(right) < 24:  # arrays would cost more
+        best = [0] * (len(right) + 1)
+        for x in left:
+            now = [0]
+            for j, y in enumerate(right):
+                now.append(max(best[j + 1], now[j], best[j] + pair_weight(x, y, memo)))
+            best = now
+            yield best
+        return
+    best = np.zeros(len(right) + 1, dtype=np.int64)
+    for row in weights(left, right, memo):
+        now = best.copy()
+        now[1:] = np.maximum.accumulate(np.maximum(best[1:], best[:-1] + row))
+        best = now
+        yield best
+
+
+def last(rows):
+    for row in rows:
+        pass
+    return row
+
+
+def weigh(a: Node, b: Node) -> dict[tuple[int, int], int]:
+    """The most weight of matching two trees of one tag, for all that meet in them, by form."""
+    memo: dict[tuple[int, int], int] = {}
+    stack = [(a, b)]
+    while stack:
+        x, y = stack[-1]
+        left, right, total = middle(x, y)
+        deep = [v for v in right if v.inner]
+        wanted = [
+            (u, v)
+            for u in left
+            if u.inner
+            for v in deep
+            if u.tag == v.tag and u.form != v.form and (u.form, v.form) not in memo
+        ]
+        if wanted:
+            stack += wanted
+            continue
+        stack.pop()
+        if left and right:
+            total += int(last(table(left, right, memo))[-1])
+        alike = x.value is not None and x.value == y.value
+        memo[x.form, y.form] = 1 + alike + total
+    return memo
 
-    A tool to compare two pages; extract() goes by constants() of all pages instead.
-    Roots must have the same tag; children are matched as sequences. Long sequences of
-    children are paired in order by tag instead of in a table.
-    """
+
+def sequence(left: list[Node], right: list[Node], plan: Wrapper, memo: dict) -> list[tuple[Node, Node]]:
+    """Pairs of the heaviest matching of two sequences in order."""
+    out, stack = [], [(left, right)]
+    while stack:
+        left, right = stack.pop()
+        if not left or not right:
+            continue
+        if len(left) > 1 and len(left) * len(right) > plan.cells:
+            half = len(left) // 2
+            fore = np.asarray(last(table(left[:half], right, memo)))
+            back = np.asarray(last(table(left[: half - 1 : -1], right[::-1], memo)))[::-1]
+            cut = int(np.argmax(fore + back))
+            stack += [(left[half:], right[cut:]), (left[:half], right[:cut])]
+            continue
+        score = [[0] * (len(right) + 1), *table(left, right, memo)]
+        i, j = len(left), len(right)
+        while i and j:
+            if score[i][j] == score[i - 1][j]:
+                i -= 1
+            elif score[i][j] == score[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                out.append((left[i], right[j]))
+    return out
+
+
+def matched(a: Node, b: Node, plan: Wrapper) -> tuple[int, list[tuple[Node, Node]]]:
+    """Simple tree matching: the heaviest pairs of nodes that two trees share in order, and
+    their number. Roots must have the same tag. A pair weighs 1, with equal values 2."""
     if a.tag != b.tag:
         return 0, []
-    pairs = [(a, b)]
-    if depth > plan.depth:
-        return 1, pairs
-    left, right = a.children(), b.children()
-    if not left or not right:
-        return 1, pairs
-    if len(left) * len(right) > plan.cells:
-        total, j = 1, 0
-        for x in left:
-            k = j
-            while k < len(right) and right[k].tag != x.tag:
-                k += 1
-            if k < len(right):
-                n, more = matched(x, right[k], plan, depth + 1)
-                total, j = total + n, k + 1
-                pairs += more
-        return total, pairs
-    score = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
-    inner: dict[tuple[int, int], tuple[int, list]] = {}
-    for i, x in enumerate(left):
-        row, above = score[i + 1], score[i]
-        for j, y in enumerate(right):
-            best = above[j + 1] if above[j + 1] > row[j] else row[j]
-            if x.tag == y.tag:
-                if x.parts or y.parts:
-                    inner[i, j] = found = matched(x, y, plan, depth + 1)
-                else:
-                    inner[i, j] = found = (1, [(x, y)])
-                if above[j] + found[0] > best:
-                    best = above[j] + found[0]
-            row[j + 1] = best
-    i, j = len(left), len(right)
-    while i and j:
-        if score[i][j] == score[i - 1][j]:
-            i -= 1
-        elif score[i][j] == score[i][j - 1]:
-            j -= 1
-        else:
-            pairs += inner[i - 1, j - 1][1]
-            i, j = i - 1, j - 1
-    return 1 + score[len(left)][len(right)], pairs
+    for root in (a, b):
+        if not root.order:
+            shaped(root)
+    common = a.values & b.values
+    forms: dict = {}
+    formed(a, common, forms)
+    formed(b, common, forms)
+    memo = weigh(a, b) if a.form != b.form else {}
+    pairs, stack = [], [(a, b)]
+    while stack:
+        x, y = stack.pop()
+        pairs.append((x, y))
+        if x.form == y.form:
+            stack += zip(x.inner, y.inner, strict=True)
+        elif x.inner and y.inner:
+            front, end = trimmed(x.inner, y.inner)
+            n, m = len(x.inner), len(y.inner)
+            stack += zip(x.inner[:front], y.inner[:front], strict=True)
+            stack += zip(x.inner[n - end :], y.inner[m - end :], strict=True)
+            stack += sequence(x.inner[front : n - end], y.inner[front : m - end], plan, memo)
+    return len(pairs), pairs
 
 
 def constants(root: Node) -> list[tuple[int, list[Node]]]:
     """Each text with the tags it lies in and its times there, as a 64-bit hash; its nodes."""
     found: dict[bytes, list[Node]] = {}
+    paths: dict[tuple[bytes, str], bytes] = {}
     stack = [(root, b"")]
     while stack:
-        node, path = stack.pop()
-        path = hashlib.blake2b(path + node.tag.encode("utf-8", "replace"), digest_size=8).digest()
+        node, above = stack.pop()
+        path = paths.get((above, node.tag))
+        if path is None:
+            path = hashlib.blake2b(above + node.tag.encode("utf-8", "replace"), digest_size=8).digest()
+            paths[above, node.tag] = path
         if text := node.own_text():
             found.setdefault(path + text.encode("utf-8", "replace"), []).append(node)
-        stack += [(x, path) for x in reversed(node.children())]
+        stack += [(x, path) for x in reversed(node.parts) if not isinstance(x, str)]
     out = []
     for key, nodes in found.items():
         digest = hashlib.blake2b(key, digest_size=8, salt=len(nodes).to_bytes(8, "big")).digest()
@@ -210,6 +343,43 @@ def walk(node: Node):
         stack += reversed(node.children())
 
 
+def shaped(root: Node) -> Node:
+    """Sets what matched() and placed() read of the nodes."""
+    root.order = list(walk(root))
+    for node in root.order:
+        node.inner = node.children()
+    found = constants(root)
+    for value, nodes in found:
+        for node in nodes:
+            node.value = value
+    root.values = frozenset([value for value, _ in found])
+    return root
+
+
+def hashed(above: int, tag: str, value: int = 0) -> int:
+    data = b"%d %d %s" % (above, value, tag.encode("utf-8", "replace"))
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "big", signed=True)
+
+
+def placed(root: Node, seed: Node, plan: Wrapper) -> list[tuple[int, Node]]:
+    """Each node with text, with its place in the wrapper that grows from the seed and its
+    value, as a hash. The place is that of the node of the seed it is matched with, if their
+    values are equal; other texts are put in below the place of the element they lie in."""
+    partner = {id(x): y for x, y in matched(root, seed, plan)[1]}
+    number = {id(y): i for i, y in enumerate(seed.order)}
+    out, stack = [], [(root, 0)]
+    while stack:
+        node, above = stack.pop()
+        other = partner.get(id(node))
+        if node.value is not None:
+            alike = other is not None and other.value == node.value
+            out.append((number[id(other)] if alike else hashed(above, node.tag, node.value), node))
+        if node.inner:
+            place = hashed(above, node.tag) if other is None else number[id(other)]
+            stack += [(x, place) for x in node.inner]
+    return out
+
+
 def is_boilerplate(node: Node, inside_main: bool, bulk: frozenset | set = frozenset()) -> bool:
     """bulk: ids of elements that hold most of what varies: only a whole name, or a piece
     that stands for readers' comments, makes them boilerplate."""
@@ -325,11 +495,12 @@ def link_share(node: Node) -> float:
     return linked / whole if whole else 0.0
 
 
-def main_text(html: str, template: set[int] | None, plan: Wrapper) -> str:
+def main_text(html: str, template: set[int] | None, plan: Wrapper, seed: Node | None = None) -> str:
+    """template: texts of the wrapper, as placed() names them with this seed."""
     root = parse(html)
     fixed: set[int] = set()
-    if template is not None:
-        fixed = {id(n) for text, nodes in constants(root) if text in template for n in nodes}
+    if template and seed is not None:
+        fixed = {id(n) for text, n in placed(shaped(root), seed, plan) if text in template}
     region = main_region(root)
     if region is not None:
         return "\n".join(t for t, _ in blocks(region, fixed, True))
@@ -339,11 +510,24 @@ def main_text(html: str, template: set[int] | None, plan: Wrapper) -> str:
     return "\n".join(t for t, n in kept if n is region or link_share(n) < 0.6)
 
 
+class Seeds:
+    """Seeds of hosts; rows come in the order of their hosts, so one is kept."""
+
+    def __init__(self):
+        self.html, self.root = None, None
+
+    def __call__(self, html: str | None) -> Node | None:
+        if html is not None and html != self.html:
+            self.html, self.root = html, shaped(parse(html))
+        return None if html is None else self.root
+
+
 def extract_rows(batches, plan: Wrapper):
+    seeds = Seeds()
     for batch in slices(batches, "html"):
         texts = []
-        for html, wrapper in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            texts.append(main_text(html or "", set(wrapper) if wrapper else None, plan))
+        for html, seed, wrapper in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+            texts.append(main_text(html or "", set(wrapper) if wrapper else None, plan, seeds(seed)))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string())],
             names=["page_id", "url", "text"],
@@ -359,14 +543,16 @@ def article_hash(root: Node) -> int:
     return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "big", signed=True)
 
 
-def constant_rows(batches):
-    """host, article and constant of each text of the pages; a null constant for an article
-    itself. Copies of one article, whatever stands around it, have one hash."""
+def constant_rows(batches, plan: Wrapper):
+    """host, article and constant of each text of the pages in its place of the wrapper; a
+    null constant for an article itself. Copies of one article, whatever stands around it,
+    have one hash."""
+    seeds = Seeds()
     for batch in slices(batches, "html"):
         at, articles, texts = [], [], []
-        for i, html in enumerate(batch.column(1).to_pylist()):
-            root = parse(html)
-            own = [None, *(text for text, _ in constants(root))]
+        for i, (html, seed) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+            root = shaped(parse(html))
+            own = [None, *(text for text, _ in placed(root, seeds(seed), plan))]
             at += [i] * len(own)
             articles += [article_hash(root)] * len(own)
             texts += own
@@ -387,18 +573,28 @@ def extract(pages: DataFrame, plan: Wrapper = Wrapper()) -> DataFrame:
     second, unlike article, is read without a template. Repeated rows have equal results. All
     articles of a host count, copies once, so a text that only copies of one article share is
     no template; only hashes of texts are brought together, counted in the map tasks first.
-    The pages of a host are dealt to several groups, each with the host's template.
+    The pages of a host are dealt to several groups, each with the host's seed and template.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
     ).withColumn("host", F.coalesce(host_of(F.col("url")), F.lit("")))
+    part = F.pmod(F.monotonically_increasing_id(), F.lit(plan.parts)).cast("int")
+    rows = rows.withColumn("part", part)
+    own = rows.filter("host <> '' and html <> ''")
+
+    def to_parts(hosts: DataFrame) -> DataFrame:
+        return hosts.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(plan.parts - 1))))
+
+    seed = F.min(F.struct(F.xxhash64("html").alias("order"), "html")).alias("seed")
+    seeds = written(own.groupBy("host").agg(seed).select("host", F.col("seed.html").alias("seed")), "seeds")
     # copies of an article have equal rows here, so that they count once
     listed = (
-        rows.filter("host <> '' and html <> ''")
-        .select("host", "html")
-        .mapInArrow(constant_rows, "host string, article long, constant long")
+        own.join(to_parts(seeds), ["host", "part"])
+        .select("host", "html", "seed")
+        .sortWithinPartitions("host")
+        .mapInArrow(lambda batches: constant_rows(batches, plan), "host string, article long, constant long")
         .distinct()
     )
     counts = written(listed.groupBy("host", "constant").agg(F.count(F.lit(1)).alias("n")), "constants")
@@ -409,13 +605,13 @@ def extract(pages: DataFrame, plan: Wrapper = Wrapper()) -> DataFrame:
         .filter(F.col("n") >= plan.share * F.col("unlike"))
         .groupBy("host")
         .agg(F.collect_list("constant").alias("wrapper"))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(plan.parts - 1))))
+        .join(seeds, "host")
     )
-    part = F.pmod(F.monotonically_increasing_id(), F.lit(plan.parts)).cast("int")
+    wrappers = written(wrappers, "wrappers")
     found = (
-        rows.withColumn("part", part)
-        .join(wrappers, ["host", "part"], "left")
-        .select("page_id", "url", "html", "wrapper")
+        rows.join(to_parts(wrappers), ["host", "part"], "left")
+        .sortWithinPartitions("host")
+        .select("page_id", "url", "html", "seed", "wrapper")
         .mapInArrow(lambda batches: extract_rows(batches, plan), "page_id long, url string, text string")
     )
     return found.withColumn("n_chars", F.length("text").cast("long"))

@@ -1,4 +1,5 @@
 import html
+import random
 import re
 
 import pytest
@@ -182,3 +183,56 @@ def test_a_host_is_dealt_to_several_groups(spark):
     assert texts(frame) == {i: f"T{i}\nOwn text {i}" for i in range(300)}
     plan = frame._jdf.queryExecution().optimizedPlan().toString()
     assert "(host" in plan and "part" in plan
+
+
+def test_alike_answers_in_unlike_places_are_no_template(spark):
+    def page(i):
+        answers = [f"Answer {k} of {i}" for k in range(3)]
+        answers[i % 3] = "Yes"
+        own = "".join(f"<section><h2>Question {k}</h2><p>{a}</p></section>" for k, a in enumerate(answers))
+        return f"<article><h1>T{i}</h1>{own}</article>"
+
+    found = texts(pages.extract(made(spark, [(i, f"http://y.example/{i}", page(i)) for i in range(6)])))
+    for i, text in found.items():
+        assert text.split("\n") == [f"T{i}", *("Yes" if k == i % 3 else f"Answer {k} of {i}" for k in range(3))]
+
+
+def grown(rng, depth):
+    tag, text = rng.choice("ab"), rng.choice(["", "x", "y"])
+    inner = "".join(grown(rng, depth - 1) for _ in range(rng.randint(0, 3))) if depth else ""
+    return f"<{tag}>{text}{inner}</{tag}>"
+
+
+def brute(x, y):
+    """The most weight of two trees, over all ways to pair their children in order."""
+    if x.tag != y.tag:
+        return 0
+
+    def best(left, right):
+        if not left or not right:
+            return 0
+        return max(
+            best(left[1:], right), best(left, right[1:]), brute(left[0], right[0]) + best(left[1:], right[1:])
+        )
+
+    return 1 + (x.value is not None and x.value == y.value) + best(x.children(), y.children())
+
+
+@pytest.mark.parametrize("cells", [0, 4, 1 << 20])
+def test_tree_matching_finds_the_heaviest_pairs(cells):
+    rng = random.Random(7)
+    for _ in range(150):
+        a, b = (pages.parse("".join(grown(rng, 2) for _ in range(rng.randint(1, 3)))) for _ in "ab")
+        n, pairs = pages.matched(a, b, pages.Wrapper(cells=cells))
+        weight = sum(1 + (x.value is not None and x.value == y.value) for x, y in pairs)
+        assert n == len(pairs) == len({id(x) for x, _ in pairs}) == len({id(y) for _, y in pairs})
+        assert weight == brute(a, b)
+        assert all(x.tag == y.tag for x, y in pairs)
+
+
+def test_deep_and_wide_pages_are_matched_whole():
+    a, b = (pages.parse("<div>" * 3000 + f"deep {k}<p>x</p>" + "</div>" * 3000) for k in "ab")
+    assert pages.matched(a, b, pages.Wrapper())[0] == 3002
+    a, b = (pages.parse("".join(f"<p>{(i * k) % 1009}</p>" for i in range(1500))) for k in (5, 7))
+    one, halved = (pages.matched(a, b, pages.Wrapper(cells=c))[1] for c in (1 << 22, 1000))
+    assert len({sum(1 + (x.value == y.value) for x, y in pairs if x.value) for pairs in (one, halved)}) == 1
