@@ -410,19 +410,9 @@ def bulk_of(root: Node, template: set[int], plan: Wrapper) -> set[int]:
     return {id(x) for x in order if x.pieces & NAMES and sizes[id(x)] and sizes[id(x)] >= least}
 
 
-def blocks(
-    region: Node, template: set[int], inside_main: bool, bulk: frozenset | set = frozenset()
-) -> list[tuple[str, Node]]:
-    """Texts of the blocks of a region in page order, each with its innermost block node."""
-    out: list[tuple[str, Node]] = []
-    buffer: list[str] = []
-
-    def flush(owner: Node) -> None:
-        text = " ".join("".join(buffer).split())
-        buffer.clear()
-        if text:
-            out.append((text, owner))
-
+def pieces(region: Node, inside_main: bool, bulk: frozenset | set = frozenset()):
+    """Texts of a region in page order with the nodes they lie in; None for a text where a
+    block ends, with the innermost block node."""
     # iterative: pages nest without limit
     stack: list = [(region, iter(region.parts), region, inside_main)]
     while stack:
@@ -431,21 +421,33 @@ def blocks(
         if part is None:
             stack.pop()
             if node.tag in BLOCKS:
-                flush(owner)
-            continue
-        if isinstance(part, str):
-            if id(node) not in template:
-                buffer.append(part)
-            continue
-        if part.tag == "br":
-            buffer.append(" ")
+                yield owner, None
+        elif isinstance(part, str):
+            yield node, part
+        elif part.tag == "br":
+            yield part, " "
         elif not is_boilerplate(part, main, bulk):
             block = part.tag in BLOCKS
             if block:
-                flush(owner)
+                yield owner, None
             now_main = main or part.tag in MAIN_TAGS
             stack.append((part, iter(part.parts), part if block else owner, now_main))
-    flush(region)
+    yield region, None
+
+
+def blocks(
+    region: Node, template: set[int], inside_main: bool, bulk: frozenset | set = frozenset()
+) -> list[tuple[str, Node]]:
+    """Texts of the blocks of a region in page order, each with its innermost block node."""
+    out: list[tuple[str, Node]] = []
+    buffer: list[str] = []
+    for node, text in pieces(region, inside_main, bulk):
+        if text is None:
+            if joined := " ".join("".join(buffer).split()):
+                out.append((joined, node))
+            buffer.clear()
+        elif id(node) not in template:
+            buffer.append(text)
     return out
 
 
@@ -495,12 +497,13 @@ def link_share(node: Node) -> float:
     return linked / whole if whole else 0.0
 
 
-def main_text(html: str, template: set[int] | None, plan: Wrapper, seed: Node | None = None) -> str:
-    """template: texts of the wrapper, as placed() names them with this seed."""
+def main_text(html: str, template: set[int] | None, plan: Wrapper, constants=()) -> str:
+    """template: texts of the wrapper; constants: of the nodes with text, in page order."""
     root = parse(html)
     fixed: set[int] = set()
-    if template and seed is not None:
-        fixed = {id(n) for text, n in placed(shaped(root), seed, plan) if text in template}
+    if template:
+        own = [x for x in walk(root) if x.own_text()]
+        fixed = {id(x) for x, constant in zip(own, constants, strict=True) if constant in template}
     region = main_region(root)
     if region is not None:
         return "\n".join(t for t, _ in blocks(region, fixed, True))
@@ -510,55 +513,90 @@ def main_text(html: str, template: set[int] | None, plan: Wrapper, seed: Node |
     return "\n".join(t for t, n in kept if n is region or link_share(n) < 0.6)
 
 
-class Seeds:
-    """Seeds of hosts; rows come in the order of their hosts, so one is kept."""
+def article_hash(root: Node, region: Node | None) -> int:
+    """64 bits of the text of the marked article, or of the whole page if none is marked."""
+    every = {id(x) for x in walk(root)}  # here no piece of a name decides
+    found = blocks(region or root, set(), region is not None, every)
+    text = "\n".join(t for t, _ in found).encode("utf-8", "replace")
+    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "big", signed=True)
 
-    def __init__(self):
-        self.html, self.root = None, None
 
-    def __call__(self, html: str | None) -> Node | None:
-        if html is not None and html != self.html:
-            self.html, self.root = html, shaped(parse(html))
-        return None if html is None else self.root
+READ = (
+    "page_id long, url string, host string, part int, article long, constants array<long>, "
+    "body string, cuts array<int>, at array<int>"
+)
 
 
-def extract_rows(batches, plan: Wrapper):
-    seeds = Seeds()
+def read_rows(batches, plan: Wrapper):
+    """What is needed of each page: the hash of its article, its texts in their places of the
+    wrapper, and the pieces of a marked article one after another, with their lengths and
+    the numbers of their texts (-1: none, -2: a block ends); of other pages the html."""
+    seeds = None, None
     for batch in slices(batches, "html"):
-        texts = []
-        for html, seed, wrapper in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
-            texts.append(main_text(html or "", set(wrapper) if wrapper else None, plan, seeds(seed)))
+        articles, constants, bodies, cuts, ats = [], [], [], [], []
+        for html, seed in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
+            root = parse(html)
+            number, own = {}, []
+            if seed is not None:
+                if seed != seeds[0]:  # rows come in the order of their hosts
+                    seeds = seed, shaped(parse(seed))
+                places = {id(x): place for place, x in placed(shaped(root), seeds[1], plan)}
+                for x in root.order:
+                    if x.value is not None:
+                        number[id(x)] = len(own)
+                        own.append(places[id(x)])
+            region = main_region(root)
+            articles.append(article_hash(root, region) if html and seed is not None else None)
+            constants.append(own)
+            if region is None:
+                bodies.append(html)
+                cuts.append(None)
+                ats.append(None)
+                continue
+            found = list(pieces(region, True))
+            bodies.append("".join([text for _, text in found if text]))
+            cuts.append([len(text or "") for _, text in found])
+            ats.append([-2 if text is None else number.get(id(x), -1) for x, text in found])
+        ints = pa.list_(pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(texts, pa.string())],
-            names=["page_id", "url", "text"],
+            [
+                *(batch.column(i) for i in range(4)),
+                pa.array(articles, pa.int64()),
+                pa.array(constants, pa.list_(pa.int64())),
+                pa.array(bodies, pa.string()),
+                pa.array(cuts, ints),
+                pa.array(ats, ints),
+            ],
+            names=["page_id", "url", "host", "part", "article", "constants", "body", "cuts", "at"],
         )
 
 
-def article_hash(root: Node) -> int:
-    """64 bits of the text of the marked article, or of the whole page if none is marked."""
-    region = main_region(root)
-    every = {id(x) for x in walk(root)}  # here no piece of a name decides
-    found = blocks(region or root, set(), region is not None, every)
-    text = "\n".join(t for t, _ in found).encode("utf-8", "replace")
-    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "big", signed=True)
+def joined(body: str, cuts: list[int], at: list[int], constants: list[int], template: set[int]) -> str:
+    """The blocks of a marked article without the template, as main_text() gives them."""
+    out, buffer, begin = [], [], 0
+    for length, number in zip(cuts, at, strict=True):
+        if number == -2:
+            if text := " ".join("".join(buffer).split()):
+                out.append(text)
+            buffer.clear()
+        elif number == -1 or constants[number] not in template:
+            buffer.append(body[begin : begin + length])
+        begin += length
+    return "\n".join(out)
 
 
-def constant_rows(batches, plan: Wrapper):
-    """host, article and constant of each text of the pages in its place of the wrapper; a
-    null constant for an article itself. Copies of one article, whatever stands around it,
-    have one hash."""
-    seeds = Seeds()
-    for batch in slices(batches, "html"):
-        at, articles, texts = [], [], []
-        for i, (html, seed) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-            root = shaped(parse(html))
-            own = [None, *(text for text, _ in placed(root, seeds(seed), plan))]
-            at += [i] * len(own)
-            articles += [article_hash(root)] * len(own)
-            texts += own
+def extract_rows(batches, plan: Wrapper):
+    for batch in slices(batches, "body"):
+        texts = []
+        for constants, body, cuts, at, wrapper in zip(*(x.to_pylist() for x in batch.columns[2:]), strict=True):
+            template = set(wrapper or ())
+            if cuts is None:
+                texts.append(main_text(body, template, plan, constants))
+            else:
+                texts.append(joined(body, cuts, at, constants, template))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(at, pa.int64())), pa.array(articles, pa.int64()), pa.array(texts, pa.int64())],
-            names=["host", "article", "constant"],
+            [batch.column(0), batch.column(1), pa.array(texts, pa.string())],
+            names=["page_id", "url", "text"],
         )
 
 
@@ -589,13 +627,17 @@ def extract(pages: DataFrame, plan: Wrapper = Wrapper()) -> DataFrame:
 
     seed = F.min(F.struct(F.xxhash64("html").alias("order"), "html")).alias("seed")
     seeds = written(own.groupBy("host").agg(seed).select("host", F.col("seed.html").alias("seed")), "seeds")
-    # copies of an article have equal rows here, so that they count once
-    listed = (
-        own.join(to_parts(seeds), ["host", "part"])
-        .select("host", "html", "seed")
+    read = written(
+        rows.join(to_parts(seeds), ["host", "part"], "left")
         .sortWithinPartitions("host")
-        .mapInArrow(lambda batches: constant_rows(batches, plan), "host string, article long, constant long")
-        .distinct()
+        .select("page_id", "url", "host", "part", "html", "seed")
+        .mapInArrow(lambda batches: read_rows(batches, plan), READ),
+        "read",
+    )
+    # copies of an article have equal rows here, so that they count once; null: the article itself
+    own = F.concat(F.array(F.lit(None).cast("long")), "constants")
+    listed = (
+        read.filter("article is not null").select("host", "article", F.explode(own).alias("constant")).distinct()
     )
     counts = written(listed.groupBy("host", "constant").agg(F.count(F.lit(1)).alias("n")), "constants")
     total = counts.filter("constant is null and n > 1").select("host", F.col("n").alias("unlike"))
@@ -605,13 +647,11 @@ def extract(pages: DataFrame, plan: Wrapper = Wrapper()) -> DataFrame:
         .filter(F.col("n") >= plan.share * F.col("unlike"))
         .groupBy("host")
         .agg(F.collect_list("constant").alias("wrapper"))
-        .join(seeds, "host")
     )
     wrappers = written(wrappers, "wrappers")
     found = (
-        rows.join(to_parts(wrappers), ["host", "part"], "left")
-        .sortWithinPartitions("host")
-        .select("page_id", "url", "html", "seed", "wrapper")
+        read.join(to_parts(wrappers), ["host", "part"], "left")
+        .select("page_id", "url", "constants", "body", "cuts", "at", "wrapper")
         .mapInArrow(lambda batches: extract_rows(batches, plan), "page_id long, url string, text string")
     )
     return found.withColumn("n_chars", F.length("text").cast("long"))
