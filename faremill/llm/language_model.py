@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faremill.llm.storage import written
+from faremill.llm.storage import discard, written
 from faremill.llm.words import Words, mix, slices, text_bytes
 
 _U = np.uint64
@@ -553,7 +553,9 @@ def score(documents: DataFrame, plan: Model = Model()) -> DataFrame:
         "counts",
     )
     strings_ = counts.filter("kind = 0").select("chunk", "key", "n")
-    costs = costs_of(written(strings_.groupBy("key").agg(F.sum("n").alias("n")), "grams"), plan)
+    grams = written(strings_.groupBy("key").agg(F.sum("n").alias("n")), "grams")
+    costs = costs_of(grams, plan)
+    discard(grams)
     vocabulary = written(
         counts.filter("kind = 1").groupBy("key", "check").agg(F.sum("n").alias("n")), "vocabulary"
     )
@@ -603,6 +605,7 @@ def score(documents: DataFrame, plan: Model = Model()) -> DataFrame:
     found = written(
         texts.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInArrow(scored, schema), "scores"
     )
+    discard(counts, costs)
     tail = found.select("row", F.explode("tail").alias("w")).select(
         "row", F.col("w.key").alias("key"), F.col("w.check").alias("check"), F.col("w.times").alias("times")
     )

@@ -2,12 +2,13 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from faremill.llm import language_model as lm
-from faremill.llm import queries
+from faremill.llm import queries, storage
 from tests.llm.conftest import frame, messy_rows, prose, words
 
 
@@ -179,3 +180,14 @@ def test_sharded_tree_equals_the_dense_one(spark, share):
                 at = tree.child[at, data[k - d]]
             expected += float(tree.cost[at, data[k]])
         assert r.score == pytest.approx(expected, rel=1e-4)
+
+
+def test_tables_of_strings_go_after_their_last_reader(spark, messy):
+    def there():
+        folder = Path(storage.shared_folder(spark).removeprefix("file:"))
+        return {f for f in folder.glob("*-*") if f.name.partition("-")[0] in ("counts", "grams", "costs", "scores")}
+
+    before = there()
+    found = lm.score(messy)
+    assert {f.name.partition("-")[0] for f in there() - before} == {"scores"}
+    assert found.count() == messy.count()
