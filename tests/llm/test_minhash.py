@@ -6,6 +6,7 @@ import pytest
 
 from faremill.llm import minhash, queries
 from faremill.llm.components import components
+from faremill.llm.storage import written
 from faremill.llm.words import Words
 from tests.llm.conftest import frame, messy_rows, prose, words
 
@@ -107,6 +108,23 @@ def test_components(spark):
     assert found == expected
 
 
+def test_few_links_are_followed_in_one_step(spark, monkeypatch):
+    """A long chain takes one written table; where there are more links, rounds of joins end alike."""
+    from faremill.llm import components as module
+
+    made = []
+    monkeypatch.setattr(module, "written", lambda rows, name: (made.append(name), written(rows, name))[1])
+    links = [(i, i - 1) for i in range(-50, 150) if i % 40] + [(1000, 7), (None, 5), (3, 3), (7, 1000)]
+    frame_ = spark.createDataFrame(links, "a long, b long").repartition(4)
+    found = {r.id: r.component for r in components(frame_).collect()}
+    assert len(made) == 1
+    expected = {i: max(-51, 40 * (i // 40)) for i in range(-51, 150)} | {1000: 0}
+    assert found == expected
+    assert {r.id: r.component for r in components(frame_, 10).collect()} == expected
+    assert len(made) > 2
+    assert components(frame_.filter("a = b")).count() == 0
+
+
 def test_empty_table(nothing):
     assert minhash.find(nothing).count() == 0
     assert minhash.keep_one(nothing).count() == 0
