@@ -107,20 +107,70 @@ class Counter:
             self.add(*(np.concatenate(x) for x in zip(*parts, strict=True)))
             self.most = most
 
-    def take(self, kind: int, chunk: int):
+    def take(self):
         self.merge()
-        for key, check, n in self.parts:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(key), kind, dtype=np.int8)),
-                    pa.array(np.full(len(key), chunk, dtype=np.int64)),
-                    pa.array(key.view(np.int64)),
-                    pa.array(check),
-                    pa.array(n),
-                ],
-                names=["kind", "chunk", "key", "check", "n"],
-            )
-        self.parts, self.size = [], 0
+        parts, self.parts, self.size = self.parts, [], 0
+        return parts
+
+
+GATHERED = "kind byte, chunk long, key long, check int, n long, strings binary, times binary"
+_PLACES = 1 << 10  # places that two-byte contexts are dealt to
+
+
+def rows_of(kind: int, chunk: int, key, check, n, strings=None, times=None) -> pa.RecordBatch:
+    """A batch of the columns of GATHERED."""
+    none = pa.nulls(len(key), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.full(len(key), kind, dtype=np.int8)),
+            pa.array(np.full(len(key), chunk, dtype=np.int64)),
+            pa.array(key.view(np.int64)),
+            pa.array(check),
+            pa.array(n),
+            none if strings is None else pa.array(strings, pa.binary()),
+            none if times is None else pa.array(times, pa.binary()),
+        ],
+        names=["kind", "chunk", "key", "check", "n", "strings", "times"],
+    )
+
+
+def packed(values: np.ndarray) -> bytes:
+    """8-byte values, byte by byte of all of them, compressed."""
+    return pa.compress(values.view(np.uint8).reshape(-1, 8).T.tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int, kind) -> np.ndarray:
+    found = np.frombuffer(pa.decompress(data, 8 * n, "zstd", asbytes=True), dtype=np.uint8)
+    return np.ascontiguousarray(found.reshape(8, n).T).view(kind).ravel()
+
+
+def unpacked_strings(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(unpacked(data, n, np.uint64), dtype=np.uint64)
+
+
+def string_rows(counter: Counter, chunk: int):
+    """The strings of a chunk and their counts, a row for each place of their last two bytes
+    of context: ascending, as steps from one to the next."""
+    for key, _, n in counter.take():
+        place = (mix((key >> _U(8)) & _U(0xFFFF)) % _U(_PLACES)).astype(np.uint16)
+        order = np.argsort(place, kind="stable")
+        key, n, place = key[order], n[order].astype(np.int64), place[order]
+        edges = np.concatenate(([0], np.flatnonzero(np.diff(place)) + 1, [len(key)]))
+        spans = list(zip(edges[:-1], edges[1:], strict=True))
+        yield rows_of(
+            0,
+            chunk,
+            place[edges[:-1]].astype(np.int64),
+            np.zeros(len(spans), np.int32),
+            np.diff(edges),
+            [packed(np.diff(key[a:b], prepend=_U(0))) for a, b in spans],
+            [packed(n[a:b]) for a, b in spans],
+        )
+
+
+def word_rows(counter: Counter):
+    for part in counter.take():
+        yield rows_of(1, 0, *part)
 
 
 def word_keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +203,7 @@ def gather(batches, plan: Model):
     grams, vocabulary, last = Counter(), Counter(), None
     for chunk, batch in chunks(batches, plan):
         if chunk != last and last is not None:
-            yield from grams.take(0, last)
+            yield from string_rows(grams, last)
         last = chunk
         held = np.asarray(batch.column(0).to_numpy(zero_copy_only=False), dtype=bool)
         for out in (False, True):
@@ -169,12 +219,12 @@ def gather(batches, plan: Model):
                 grams.add(key, np.zeros(len(key), np.int32))
                 vocabulary.add(*word_keys(Words(texts)))
         if grams.size > grams.most:
-            yield from grams.take(0, chunk)
+            yield from string_rows(grams, chunk)
         if vocabulary.size > vocabulary.most:
-            yield from vocabulary.take(1, 0)
+            yield from word_rows(vocabulary)
     if last is not None:
-        yield from grams.take(0, last)
-    yield from vocabulary.take(1, 0)
+        yield from string_rows(grams, last)
+    yield from word_rows(vocabulary)
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -189,11 +239,22 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (x - 0.5) * np.log(x) - x + 0.9189385332046727 + series - shift
 
 
+_FEW = np.arange(1 << 12)
+_FEW_HALF, _FEW_WHOLE = log_gamma(_FEW + 0.5), log_gamma(_FEW + 1.0)
+
+
+def log_gamma_of(counts: np.ndarray, more: float, few: np.ndarray) -> np.ndarray:
+    """log of the gamma function of whole counts and `more`; few: the same of small counts."""
+    out = few[np.minimum(counts, len(few) - 1).astype(np.int64)]
+    if (many := counts >= len(few)).any():
+        out[many] = log_gamma(counts[many] + more)
+    return out
+
+
 def block(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """log of the Krichevsky-Trofimov probability of so many zeros and ones."""
-    return (
-        log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - np.log(np.pi)
-    )
+    sides = log_gamma_of(zeros, 0.5, _FEW_HALF) + log_gamma_of(ones, 0.5, _FEW_HALF)
+    return sides - log_gamma_of(zeros + ones, 1.0, _FEW_WHOLE) - np.log(np.pi)
 
 
 def decisions(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -358,12 +419,25 @@ def descended(levels: list[Level], mixed, left, rest) -> np.ndarray:
     return mixed
 
 
-def read_grams(batches) -> tuple[np.ndarray, np.ndarray]:
-    parts = [(np.asarray(x.column(0)).view(np.uint64), np.asarray(x.column(1))) for x in batches if x.num_rows]
-    if not parts:
+def read_lists(batches) -> list[tuple[int, bytes, np.ndarray, np.ndarray]]:
+    """Chunk, packed strings, strings and counts of each row."""
+    out = []
+    for x in batches:
+        for chunk, n, strings, times in zip(*(x.column(i).to_pylist() for i in range(1, 5)), strict=True):
+            out.append((chunk, strings, unpacked_strings(strings, n), unpacked(times, n, np.int64)))
+    return out
+
+
+def merged(lists) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct strings of the lists, ascending, and their counts."""
+    if not lists:
         return np.zeros(0, np.uint64), np.zeros(0)
-    key, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-    return key, n.astype(np.float64)
+    every = np.sort(np.concatenate([x[2] for x in lists]))
+    key = every[np.concatenate(([True], every[1:] != every[:-1]))]
+    n = np.zeros(len(key))
+    for _, _, own, times in lists:
+        n[np.searchsorted(key, own)] += times
+    return key, n
 
 
 def grown(key: np.ndarray, n: np.ndarray, plan: Model, least: float):
@@ -392,7 +466,7 @@ def grown(key: np.ndarray, n: np.ndarray, plan: Model, least: float):
 
 def weigh_up(batches, plan: Model, least: float):
     """What the longest contexts give to those of two bytes, a row for each decision."""
-    key, n = read_grams(batches)
+    key, n = merged(read_lists(batches))
     if len(key):
         for b, _, _, levels in grown(key, n, plan, least):
             x = levels[-1]
@@ -432,8 +506,10 @@ def weigh_top(table: pa.Table, plan: Model, least: float) -> list[tuple]:
 
 
 def weigh_down(batches, plan: Model, least: float, above: list[tuple]):
-    """log10 of the chance of each string's last byte after the bytes before."""
-    key, n = read_grams(batches)
+    """Each list of strings with log10 of the chance of each one's last byte after the bytes
+    before, in its order."""
+    lists = read_lists(batches)
+    key, n = merged(lists)
     if not len(key):
         return
     cost = np.zeros(len(key))
@@ -442,24 +518,45 @@ def weigh_down(batches, plan: Model, least: float, above: list[tuple]):
         at = np.searchsorted(code, levels[-1].code >> _U(8))
         one = np.clip(descended(levels, mixed[at], left[at], rest[at])[place], 1e-12, 1 - 1e-12)
         cost += np.log10(np.where(bit, one, 1 - one))
-    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(cost)], names=["key", "cost"])
-
-
-def costs_of(grams: DataFrame, plan: Model) -> DataFrame:
-    """key and cost of all strings by the tree of their counts. grams: distinct key, n."""
-    rows, total = grams.agg(F.count(F.lit(1)), F.sum("n")).first()
-    least = max(1.0, int(total or 0) / plan.share) if plan.share else 1.0
-    shards = max(grams.sparkSession.sparkContext.defaultParallelism, -(-rows // plan.part))
-    dealt = grams.select("key", "n").repartition(shards, F.shiftright("key", 8).bitwiseAND(0xFFFF))
-    top = dealt.mapInArrow(
-        lambda batches: weigh_up(batches, plan, least),
-        "bit byte, code long, zeros double, ones double, total double, below double",
-    ).toArrow()  # at most 255 decisions of each two bytes
-    above = grams.sparkSession.sparkContext.broadcast(weigh_top(top, plan, least) if rows else [])
-    found = dealt.mapInArrow(
-        lambda batches: weigh_down(batches, plan, least, above.value), "key long, cost double"
+    for chunk, strings, own, _ in lists:
+        costs = packed(cost[np.searchsorted(key, own)])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([chunk]), pa.array([len(own)]), pa.array([strings], pa.binary()), pa.array([costs], pa.binary())],
+            names=["chunk", "n", "strings", "costs"],
+        )
+
+
+def costs_of(lists: DataFrame, plan: Model) -> DataFrame:
+    """The lists of strings by chunk (place, chunk, n, strings, times) with the costs of their
+    strings by the tree of all counts."""
+    rows = int(lists.agg(F.sum("n")).first()[0] or 0)
+    training = 0
+    if plan.share:
+        totals = lists.select("n", "times").mapInArrow(string_totals, "total long")
+        training = int(totals.agg(F.sum("total")).first()[0] or 0)
+    least = max(1.0, training / plan.share) if plan.share else 1.0
+    shards = max(lists.sparkSession.sparkContext.defaultParallelism, -(-rows // (4 * plan.part)))
+    dealt = lists.repartition(shards, "place")
+    top = written(
+        dealt.mapInArrow(
+            lambda batches: weigh_up(batches, plan, least),
+            "bit byte, code long, zeros double, ones double, total double, below double",
+        ),
+        "decisions",
+    )
+    table = top.toArrow()  # at most 255 decisions of each two bytes
+    discard(top)
+    above = lists.sparkSession.sparkContext.broadcast(weigh_top(table, plan, least) if rows else [])
+    return dealt.mapInArrow(
+        lambda batches: weigh_down(batches, plan, least, above.value),
+        "chunk long, n long, strings binary, costs binary",
     )
-    return written(found, "costs")
+
+
+def string_totals(batches):
+    for x in batches:
+        sums = [int(unpacked(t, n, np.int64).sum()) for n, t in zip(*(x.column(i).to_pylist() for i in range(2)), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int64())], names=["total"])
 
 
 def score_texts(batches, plan: Model, own, head: np.ndarray, head_score: np.ndarray, unknown: float):
@@ -548,14 +645,12 @@ def score(documents: DataFrame, plan: Model = Model()) -> DataFrame:
     training = rows.filter(~F.col("held_out")).select("text")
     counts = written(
         rows.select("held_out", "text").mapInArrow(
-            lambda batches: gather(batches, plan), "kind byte, chunk long, key long, check int, n long"
+            lambda batches: gather(batches, plan), GATHERED
         ),
         "counts",
     )
-    strings_ = counts.filter("kind = 0").select("chunk", "key", "n")
-    grams = written(strings_.groupBy("key").agg(F.sum("n").alias("n")), "grams")
-    costs = costs_of(grams, plan)
-    discard(grams)
+    lists = counts.filter("kind = 0").select(F.col("key").alias("place"), "chunk", "n", "strings", "times")
+    own = costs_of(lists, plan)
     vocabulary = written(
         counts.filter("kind = 1").groupBy("key", "check").agg(F.sum("n").alias("n")), "vocabulary"
     )
@@ -583,9 +678,11 @@ def score(documents: DataFrame, plan: Model = Model()) -> DataFrame:
             )
 
     def scored(texts: pa.Table, own: pa.Table) -> pa.Table:
-        key = own.column(1).to_numpy().view(np.uint64)
+        n, strings, costs = (own.column(i).to_pylist() for i in (1, 2, 3))
+        key = np.concatenate([np.zeros(0, np.uint64), *map(unpacked_strings, strings, n)])
+        cost = np.concatenate([np.zeros(0), *(unpacked(c, m, np.float64) for c, m in zip(costs, n, strict=True))])
         order = np.argsort(key)
-        own = key[order], own.column(2).to_numpy()[order]
+        own = key[order], cost[order]
         return pa.Table.from_batches(
             score_texts(texts.to_batches(), plan, own, *shared.value, end_score), arrow_schema
         )
@@ -601,11 +698,10 @@ def score(documents: DataFrame, plan: Model = Model()) -> DataFrame:
         + [("score", pa.float64()), ("n_symbols", pa.int64()), ("tail", pa.list_(word))]
     )
     texts = rows.select("row", "doc_id", "held_out", "text").mapInArrow(numbered, read)
-    own = strings_.select("chunk", "key").join(costs, "key").select("chunk", "key", "cost")
     found = written(
         texts.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInArrow(scored, schema), "scores"
     )
-    discard(counts, costs)
+    discard(counts)
     tail = found.select("row", F.explode("tail").alias("w")).select(
         "row", F.col("w.key").alias("key"), F.col("w.check").alias("check"), F.col("w.times").alias("times")
     )

@@ -191,3 +191,23 @@ def test_tables_of_strings_go_after_their_last_reader(spark, messy):
     found = lm.score(messy)
     assert {f.name.partition("-")[0] for f in there() - before} == {"scores"}
     assert found.count() == messy.count()
+
+
+def test_lists_of_strings_are_packed_and_come_back_whole():
+    import pyarrow as pa
+
+    texts = pa.array([" ".join(prose(s, 300) for s in range(40)), prose(1, 50)], pa.large_string())
+    key, _ = lm.strings(texts, 6)
+    counter = lm.Counter()
+    counter.add(key, np.zeros(len(key), np.int32))
+    batches = [pa.RecordBatch.from_arrays(b.columns[2:3] + b.columns[1:2] + b.columns[4:], ["place", "chunk", "n", "strings", "times"]) for b in lm.string_rows(counter, 5)]
+    places = [p for b in batches for p in b.column(0).to_pylist()]
+    assert len(places) == len(set(places)) > 10  # a row for each place, not for each string
+    lists = lm.read_lists(batches)
+    found, n = lm.merged(lists + lists)
+    distinct, times = np.unique(key, return_counts=True)
+    assert (found == distinct).all() and (n == 2 * times).all()
+    assert {x[0] for x in lists} == {5}
+    assert sum(b.nbytes for b in batches) < 10 * len(distinct)  # 24 bytes a row before, without the kind
+    many = np.array([0, 1, 4095, 4096, 123456])
+    assert np.allclose(lm.log_gamma_of(many, 0.5, lm._FEW_HALF), [math.lgamma(x + 0.5) for x in many], rtol=1e-10)
