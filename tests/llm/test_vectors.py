@@ -1,4 +1,5 @@
 import math
+import os
 
 import numpy as np
 import pytest
@@ -79,3 +80,57 @@ def test_empty_table(spark):
 def test_query(spark, small):
     rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{small}/embeddings.parquet").collect()]
     check(queries.QUERIES["op5_pivot_cells"](spark, small).collect(), rows)
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_each_two_blocks_meet_once(spark, kind):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(20, 6))
+    points = np.concatenate([c + rng.normal(size=(20, 6)) * 0.13 for c in centres] + [rng.normal(size=(60, 6))])
+    rows = [(i * 7 - 99, p.astype(np.float32).astype(float).tolist()) for i, p in enumerate(points)]
+    rows += [(5000 + i, rows[3][1]) for i in range(5)] + rows[10:15]
+    rows += [(6000 + i, p.tolist()) for i, p in enumerate(rng.normal(size=(30, 4)).round(1))]  # another space
+    frame = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").repartition(3)
+    plan = vectors.Range(cell=9, block=4, step=3, side=5000)
+    check(vectors.join(frame, plan).collect(), rows)
+
+
+@pytest.fixture
+def steps(monkeypatch):
+    """Plans of the tables that the operator writes on the way, and the tables still there."""
+    plans, tables = {}, {}
+    write, remove = vectors.written, getattr(vectors, "discard", None)
+
+    def written(frame, name):
+        plans[name] = frame._jdf.queryExecution().executedPlan().toString()
+        out = write(frame, name)
+        tables[name] = out
+        return out
+
+    monkeypatch.setattr(vectors, "written", written)
+    if remove:
+        def discard(*frames):
+            remove(*frames)
+            for name in [n for n, t in tables.items() if any(t is x for x in frames)]:
+                del tables[name]
+
+        monkeypatch.setattr(vectors, "discard", discard)
+    return plans, tables
+
+
+def test_no_vector_is_shuffled_to_be_compared(spark, steps):
+    plans, _ = steps
+    points = np.random.default_rng(3).normal(size=(400, 64))  # all cells meet
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    check(vectors.join(made(spark, rows), vectors.Range(cell=40, block=10)).collect(), rows)
+    assert "MapInArrow" in plans["cells"]
+    assert "Exchange" not in plans["cells"]
+
+
+def test_tables_of_vectors_do_not_pile_up(spark, steps):
+    _, tables = steps
+    points = np.random.default_rng(4).normal(size=(2000, 64)).astype(np.float32)
+    frame = made(spark, [(i, p.tolist()) for i, p in enumerate(points)])
+    vectors.join(frame, vectors.Range(cell=500, block=100)).collect()
+    left = [f.removeprefix("file:") for t in tables.values() for f in t.inputFiles()]
+    assert sum(map(os.path.getsize, left)) < points.nbytes
