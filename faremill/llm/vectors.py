@@ -205,9 +205,11 @@ class Meeting:
 
     def run(self) -> None:
         left, right = self.left, self.right
-        cosine = left.pivots.astype(np.float64) @ right.pivots.astype(np.float64).T
+        p, q = left.pivots.astype(np.float64), right.pivots.astype(np.float64)
+        # pivots are rounded, so their lengths count where they almost meet
+        apart = np.square(p).sum(axis=1)[:, None] + np.square(q).sum(axis=1) - 2 * (p @ q.T)
         # on the line through two pivots, times their distance
-        limit = (np.sqrt(np.maximum(2 - 2 * cosine, 0.0)) + 1e-3 * self.error + 1e-7) * self.plan.reach + 8 * self.error
+        limit = (np.sqrt(np.maximum(apart, 0.0)) + 1e-7) * self.plan.reach + 8 * self.error
         s, t = left.block[:, None], right.block[None, :]
         mine = (s == t) | ((s < t) == ((s + t) % 2 == 0)) & (s != t)
         for at in range(0, len(left.block), 16):

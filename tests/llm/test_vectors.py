@@ -134,3 +134,20 @@ def test_tables_of_vectors_do_not_pile_up(spark, steps):
     vectors.join(frame, vectors.Range(cell=500, block=100)).collect()
     left = [f.removeprefix("file:") for t in tables.values() for f in t.inputFiles()]
     assert sum(map(os.path.getsize, left)) < points.nbytes
+
+
+def test_pivots_that_are_almost_equal_leave_no_link_out():
+    rng = np.random.default_rng(6)
+    for k in range(300):
+        p = vectors.units(rng.normal(size=(1, 64)))
+        step = rng.normal(size=(1, 64))
+        step -= (step @ p.T) * p
+        step /= np.linalg.norm(step)
+        pivots = vectors.units(np.concatenate([p, p + step * 10.0 ** rng.uniform(-8, -3)])).astype(np.float32)
+        x, y = vectors.units(np.concatenate([p - 0.157 * step, p + 0.157 * step]))
+        for a, b in ((x, y), (y, x)):
+            rows = [[(i * 2, i, np.int64(i + 7).tobytes(), np.int64(1).tobytes(), v.tobytes())] for i, v in enumerate((a, b))]
+            meeting = vectors.Meeting(*(vectors.Side(r, pivots, "<f8") for r in rows), vectors.Range())
+            meeting.run()
+            assert x @ y >= 0.95
+            assert meeting.left.links.tolist() == [1], k
